@@ -83,16 +83,18 @@ def any_overflows(arr, field: str, decimal_type: str) -> Column:
     )
 
 
-def scalar_text(v: str, path: str = "$.value") -> Column:
-    """Python ``str()`` of a JSON scalar held in variant column ``v``:
-    42 -> '42', true -> 'True'.  JSON null -> NULL (divergence D27).
+def scalar_text(v: str, text: str, path: str = "$.value") -> Column:
+    """Python ``str()`` of a JSON scalar: 42 -> '42', 17.0 -> '17.0',
+    true -> 'True'; JSON null -> NULL (divergence D27).
+
+    The kind comes from the parsed variant ``v``; numbers and strings are read
+    from the raw ``text`` because the variant normalises 17.0 to 17.
     """
     kind = F.expr(f"schema_of_variant(variant_get({v}, '{path}'))")
-    as_text = F.try_variant_get(F.col(v), path, "string")
     return (
-        F.when(kind == "BOOLEAN", F.initcap(as_text))
+        F.when(kind == "BOOLEAN", F.initcap(F.try_variant_get(F.col(v), path, "string")))
         .when(kind == "VOID", F.lit(None).cast("string"))
-        .otherwise(as_text)
+        .otherwise(F.get_json_object(F.col(text), path))
     )
 
 

@@ -86,7 +86,7 @@ def _activity() -> Column:
 
 
 def _metadata() -> Column:
-    return F.struct(_get("$.label", "string").alias("label"), scalar_text("v").alias("value"))
+    return F.struct(_get("$.label", "string").alias("label"), scalar_text("v", "json").alias("value"))
 
 
 FAMILIES: dict[str, tuple[tuple[str, ...], callable]] = {

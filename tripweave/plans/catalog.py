@@ -308,3 +308,335 @@ def queries() -> dict[str, QueryFn]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
+
+
+# ---------------------------------------------------------------------------
+# H7 user context (X1-X5, A4), H8 timeline
+# ---------------------------------------------------------------------------
+
+_LAT = "CAST(CAST(50.0 + {u} / 10000.0 AS DECIMAL(10,8)) AS DOUBLE)"
+
+
+@query("context_header", O.sql(f"""
+SELECT id AS context_id, user_id,
+       CASE WHEN tipo = 'requestUserContext' THEN 'MANUAL' ELSE 'LISTENER' END AS context_source_type,
+       CASE WHEN hour(first_ts) < 6 THEN 'NIGHT' WHEN hour(first_ts) < 12 THEN 'MORNING'
+            WHEN hour(first_ts) < 18 THEN 'AFTERNOON' ELSE 'EVENING' END AS semantic_time,
+       CASE WHEN user_num % 4 <> 0 THEN {_LAT.format(u='user_num')} END AS last_known_latitude,
+       CASE WHEN user_num % 4 <> 0 THEN 4.55 END AS last_known_longitude,
+       CASE WHEN user_num % 4 <> 0 THEN 20.0 END AS last_known_accuracy
+FROM cxp
+""", O.CONTEXT, O.CX_PAYLOADS))
+def context_header(spark, sf_dir):
+    h = pipeline(spark, sf_dir).context_header
+    return h.select("context_id", "user_id", "context_source_type", "semantic_time",
+                    dbl("last_known_latitude"), dbl("last_known_longitude"), dbl("last_known_accuracy"))
+
+
+@query("context_criteria", O.sql("""
+SELECT id AS context_id, 0 AS pos, CASE WHEN tipo = 'requestUserContext' THEN 'MANUAL_REQUEST' ELSE 'CURRENT_EVENT' END AS criteria_code
+FROM cxp
+UNION ALL
+SELECT id, 1, CASE WHEN user_num % 2 = 0 THEN 'VISITED_VENUES' ELSE 'ACTIVE_SEGMENTS' END
+FROM cxp WHERE tipo = 'UserContextUpdate'
+""", O.CONTEXT, O.CX_PAYLOADS))
+def context_criteria(spark, sf_dir):
+    return pipeline(spark, sf_dir).context_criteria.select("context_id", "pos", "criteria_code")
+
+
+def _place_query(which: str, residue: int, venue: str, lon: float) -> tuple[QueryFn, str]:
+    oracle = O.sql(f"""
+SELECT id AS context_id, user_id, '{which.upper()}' AS significance, '{venue}' AS venue_type,
+       {_LAT.format(u='user_num')} AS latitude, {lon} AS longitude, 15.0 AS accuracy
+FROM cxp WHERE user_num % 3 = {residue}
+""", O.CONTEXT, O.CX_PAYLOADS)
+
+    def fn(spark, sf_dir):
+        t = pipeline(spark, sf_dir)
+        df = t.context_home if which == "home" else t.context_work
+        return df.select("context_id", "user_id", "significance", "venue_type",
+                         dbl("latitude"), dbl("longitude"), dbl("accuracy"))
+
+    return fn, oracle
+
+
+REGISTRY["context_home"] = _place_query("home", 0, "RESIDENTIAL", 4.5)
+REGISTRY["context_work"] = _place_query("work", 1, "OFFICE", 4.6)
+
+SEGMENTS = """
+seg AS (
+  SELECT payload_id AS context_id, any_value(uid) AS user_id, k,
+         row_number() OVER (PARTITION BY payload_id ORDER BY k) - 1 AS pos,
+         count(*) AS n, min(ts) AS s_start, max(ts) AS s_end
+  FROM cx GROUP BY payload_id, k
+)"""
+
+
+@query("context_segment", O.sql("""
+SELECT context_id, user_id, pos, CAST(k AS VARCHAR) AS segment_id,
+       CASE k % 3 WHEN 0 THEN 'LEISURE' WHEN 1 THEN 'MOBILITY' ELSE 'WORK_LIFE' END AS category,
+       concat('SUB', k % 5) AS subcategory, concat('SEG_', k) AS segment_type,
+       date_trunc('millisecond', s_start) AS start_time, epoch_us(s_start) // 1000 AS start_time_epoch,
+       date_trunc('millisecond', s_end) AS end_time, epoch_us(s_end) // 1000 AS end_time_epoch
+FROM seg
+""", O.CONTEXT, SEGMENTS))
+def context_segment(spark, sf_dir):
+    s = pipeline(spark, sf_dir).context_segment
+    return s.select("context_id", "user_id", "pos", "segment_id", "category", "subcategory", "segment_type",
+                    "start_time", "start_time_epoch", "end_time", "end_time_epoch")
+
+
+@query("context_segment_attribute", O.sql("""
+SELECT context_id, CAST(k AS VARCHAR) AS segment_id, 0 AS attr_pos, 'k_score' AS attribute_name,
+       CAST(CAST(k / 100.0 AS DECIMAL(18,4)) AS DOUBLE) AS attribute_value FROM seg
+UNION ALL
+SELECT context_id, CAST(k AS VARCHAR), 1, 'n_events', CAST(CAST(n AS DECIMAL(18,4)) AS DOUBLE) FROM seg
+""", O.CONTEXT, SEGMENTS))
+def context_segment_attribute(spark, sf_dir):
+    a = pipeline(spark, sf_dir).context_segment_attribute
+    return a.select("context_id", "segment_id", "attr_pos", "attribute_name", dbl("attribute_value"))
+
+
+@query("segment_attr_count", O.sql("""
+SELECT context_id, CAST(k AS VARCHAR) AS segment_id, 2 AS n_attributes FROM seg
+""", O.CONTEXT, SEGMENTS))
+def segment_attr_count(spark, sf_dir):
+    """A4: attributes per segment as aggregate + left join, missing -> 0."""
+    p = pipeline(spark, sf_dir)
+    n = p.context_segment_attribute.groupBy("segment_detail_id").agg(F.count("*").alias("n_attributes"))
+    return p.context_segment.join(n, "segment_detail_id", "left").select(
+        "context_id", "segment_id", F.coalesce("n_attributes", F.lit(0)).cast("bigint").alias("n_attributes"))
+
+
+def _event_oracle(src: str, id_col: str) -> str:
+    frag = O.TIMELINE if src == "tl" else O.CONTEXT
+    return O.sql(f"""
+SELECT payload_id AS {id_col}, uid AS user_id, pos, event_key AS event_id, ev_type AS event_type,
+       start_time, start_time_epoch, end_time, end_time_epoch,
+       CAST(CAST(dur AS DECIMAL(10,0)) AS DOUBLE) AS duration_in_seconds, is_provisional, transport_mode,
+       CAST(distance_meters AS DOUBLE) AS distance_meters, occupant_role,
+       CASE WHEN event_type IN ('click', 'purchase') THEN 1 END AS n_tags,
+       CAST(CAST(lat AS DECIMAL(10,8)) AS DOUBLE) AS location_latitude,
+       CAST(CAST(lon AS DECIMAL(11,8)) AS DOUBLE) AS location_longitude,
+       venue_significance, venue_type
+FROM {src}
+""", frag)
+
+
+def _event_select(df: DataFrame, id_col: str) -> DataFrame:
+    return df.select(
+        id_col, "user_id", "pos", "event_id", "event_type", "start_time", "start_time_epoch", "end_time",
+        "end_time_epoch", dbl("duration_in_seconds"), "is_provisional", "transport_mode", dbl("distance_meters"),
+        "occupant_role", F.when(F.col("transport_tags").isNotNull(), F.size("transport_tags")).alias("n_tags"),
+        dbl("location_latitude"), dbl("location_longitude"), "venue_significance", "venue_type")
+
+
+@query("context_event", _event_oracle("cx", "context_id"))
+def context_event(spark, sf_dir):
+    return _event_select(pipeline(spark, sf_dir).context_event, "context_id")
+
+
+@query("timeline_event", _event_oracle("tl", "source_event_id"))
+def timeline_event(spark, sf_dir):
+    return _event_select(pipeline(spark, sf_dir).timeline_event, "source_event_id")
+
+
+# ---------------------------------------------------------------------------
+# H9-H13 flat handlers
+# ---------------------------------------------------------------------------
+
+_FL_OK = "FROM fl WHERE status = 'PROCESSED' AND tipo = '{t}'"
+
+
+@query("crash_event", O.sql(f"""
+SELECT id AS crash_event_id, uid AS user_id, epoch_us(ts) // 1000 AS crash_time_epoch,
+       CASE WHEN event_id % 5 <> 0 THEN {_LAT.format(u='user_id')} END AS latitude,
+       CASE WHEN event_id % 5 <> 0 THEN CAST(CAST(4.0 + (event_id % 1000) / 1000.0 AS DECIMAL(11,8)) AS DOUBLE) END AS longitude,
+       CASE WHEN event_id % 5 <> 0 THEN CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) END AS altitude,
+       CAST(CAST(value / 10.0 AS DECIMAL(6,3)) AS DOUBLE) AS magnitude,
+       CAST(CAST(value AS DECIMAL(7,2)) AS DOUBLE) AS speed_at_impact,
+       CAST(CAST(value * 2.0 AS DECIMAL(7,2)) AS DOUBLE) AS delta_v,
+       CAST(CAST((event_id % 100) / 100.0 AS DECIMAL(6,3)) AS DOUBLE) AS confidence,
+       CASE WHEN value < 10 THEN 'LOW' WHEN value < 100 THEN 'MEDIUM' ELSE 'HIGH' END AS severity,
+       CASE WHEN user_id % 2 = 0 THEN 'CAR' ELSE 'TWO_WHEELER' END AS detector_mode,
+       CASE WHEN user_id % 5 > 0 THEN user_id % 5 END AS n_preceding
+{_FL_OK.format(t='VehicleCrash')}
+""", O.FLAT))
+def crash_event(spark, sf_dir):
+    c = pipeline(spark, sf_dir).crash_event
+    return c.select("crash_event_id", "user_id", "crash_time_epoch", dbl("latitude"), dbl("longitude"),
+                    dbl("altitude"), dbl("magnitude"), dbl("speed_at_impact"), dbl("delta_v"), dbl("confidence"),
+                    "severity", "detector_mode", F.size("preceding_locations").alias("n_preceding"))
+
+
+@query("sdk_status", O.sql(f"""
+SELECT id AS sdk_status_id, uid AS user_id,
+       CASE WHEN event_id % 2 = 0 THEN 'STARTED' ELSE 'NOT_STARTED' END AS start_status,
+       CASE WHEN event_type = 'error' THEN 'DISABLED' ELSE 'ENABLED_AND_DETECTING' END AS detection_status,
+       CASE user_id % 3 WHEN 0 THEN 'ALWAYS' WHEN 1 THEN 'WHILE_IN_USE' ELSE 'NEVER' END AS location_permission,
+       event_id % 4 = 0 AS precise_location_granted, event_id % 3 <> 0 AS is_location_available,
+       'OK' AS quota_status_wifi, CASE WHEN value > 100 THEN 'EXCEEDED' ELSE 'OK' END AS quota_status_mobile,
+       'OK' AS quota_status_disk, user_id % 7 <> 0 AS can_detect
+{_FL_OK.format(t='SDKStatus')}
+""", O.FLAT))
+def sdk_status(spark, sf_dir):
+    s = pipeline(spark, sf_dir).sdk_status
+    return s.select("sdk_status_id", "user_id", "start_status", "detection_status", "location_permission",
+                    "precise_location_granted", "is_location_available", "quota_status_wifi",
+                    "quota_status_mobile", "quota_status_disk", "can_detect")
+
+
+@query("user_activity", O.sql(f"""
+SELECT id AS activity_id, uid AS user_id,
+       CASE WHEN event_type IN ('click', 'purchase') THEN 'IN_TRANSPORT' WHEN event_type = 'view' THEN 'STATIONARY'
+            ELSE 'UNKNOWN' END AS activity_type,
+       CASE WHEN event_type = 'click' THEN 'TRIP_TYPE_SDK' END AS trip_type,
+       CASE WHEN event_type = 'view' THEN {_LAT.format(u='user_id')} END AS stationary_latitude,
+       CASE WHEN event_type = 'view' THEN CAST(CAST(4.0 + (event_id % 1000) / 1000.0 AS DECIMAL(11,8)) AS DOUBLE) END
+         AS stationary_longitude,
+       event_type IN ('click', 'purchase') AS is_trip
+{_FL_OK.format(t='UserActivity')}
+""", O.FLAT))
+def user_activity(spark, sf_dir):
+    a = pipeline(spark, sf_dir).user_activity
+    return a.select("activity_id", "user_id", "activity_type", "trip_type", dbl("stationary_latitude"),
+                    dbl("stationary_longitude"), "is_trip")
+
+
+@query("technical_event", O.sql(f"""
+SELECT id AS technical_event_id, uid AS user_id, upper(event_type) AS technical_event_type,
+       concat('k=', k) AS message
+{_FL_OK.format(t='TechnicalEvent')}
+""", O.FLAT))
+def technical_event(spark, sf_dir):
+    return pipeline(spark, sf_dir).technical_event.select(
+        "technical_event_id", "user_id", "technical_event_type", "message")
+
+
+_META_LABEL = "CASE user_id % 3 WHEN 0 THEN 'fleet' WHEN 1 THEN 'tier' ELSE 'vehicle' END"
+_META_VALUE = ("CASE (event_id // 6) % 3 WHEN 0 THEN CAST(value AS VARCHAR) "
+               "WHEN 1 THEN CASE WHEN user_id % 2 = 0 THEN 'True' ELSE 'False' END ELSE event_type END")
+
+
+@query("user_metadata", O.sql(f"""
+SELECT id AS metadata_id, uid AS user_id, {_META_LABEL} AS label, {_META_VALUE} AS value
+{_FL_OK.format(t='UserMetadata')}
+""", O.FLAT))
+def user_metadata(spark, sf_dir):
+    return pipeline(spark, sf_dir).user_metadata.select("metadata_id", "user_id", "label", "value")
+
+
+# ---------------------------------------------------------------------------
+# H0 audit rows, U2-U6 dedup, O6/J8 unified events
+# ---------------------------------------------------------------------------
+
+SOURCE_EVENTS = """
+se AS (
+  SELECT 'DrivingInsights' AS record_type, o_orderdate AS source_time, canonical_id AS ref FROM p WHERE NOT failed
+  UNION ALL
+  SELECT tipo, created_at, CAST(id AS VARCHAR) FROM c WHERE status = 'PROCESSED'
+  UNION ALL
+  SELECT any_value(tlp.tipo),
+         CASE WHEN any_value(tlp.user_num) % 2 = 0 THEN any_value(tlp.created_at) ELSE arg_min(tl.start_time, tl.event_id) END,
+         CASE WHEN any_value(tlp.user_num) % 2 = 0 THEN CAST(tlp.id AS VARCHAR) ELSE concat('e', min(tl.event_id)) END
+  FROM tlp JOIN tl ON tl.payload_id = tlp.id GROUP BY tlp.id
+  UNION ALL
+  SELECT tipo, created_at, CAST(id AS VARCHAR) FROM cxp
+  UNION ALL
+  SELECT tipo, CASE WHEN tipo = 'UserActivity' THEN date_trunc('millisecond', ts) ELSE ts END, CAST(id AS VARCHAR)
+  FROM fl WHERE status = 'PROCESSED'
+)"""
+
+
+@query("source_event", O.sql("""
+SELECT record_type, count(*) AS n_rows, count(DISTINCT ref) AS n_refs,
+       min(source_time) AS min_source_time, max(source_time) AS max_source_time
+FROM se GROUP BY record_type
+""", *O.ALL, SOURCE_EVENTS))
+def source_event(spark, sf_dir):
+    """H0 + P16/P17: audit rows per processed payload."""
+    se = pipeline(spark, sf_dir).source_event
+    return se.groupBy("record_type").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("source_event_ref").alias("n_refs"),
+        F.min("source_time").alias("min_source_time"), F.max("source_time").alias("max_source_time"))
+
+
+@query("payload_dedup", O.sql("""
+SELECT 'DrivingInsights' AS tipo, count(*) AS n_rows, count(DISTINCT k) AS n_kept FROM p WHERE NOT failed
+UNION ALL SELECT tipo, count(*), count(*) FROM c WHERE status = 'PROCESSED' GROUP BY tipo
+UNION ALL SELECT tipo, count(*), count(*) FROM tlp GROUP BY tipo
+UNION ALL SELECT tipo, count(*), count(*) FROM cxp WHERE tipo = 'UserContextUpdate' GROUP BY tipo
+UNION ALL SELECT tipo, count(*), count(DISTINCT (uid, date_trunc('millisecond', ts), event_type IN ('click', 'purchase'), event_type = 'view', event_type = 'click'))
+  FROM fl WHERE status = 'PROCESSED' AND tipo = 'UserActivity' GROUP BY tipo
+""", *O.ALL))
+def payload_dedup(spark, sf_dir):
+    """First copy per (user, type, payload hash); snapshot types exempt."""
+    from tripweave.operators.dedup import payload_dedup as dedup
+    p = pipeline(spark, sf_dir)
+    kept = dedup(p.source_event.withColumnRenamed("record_type", "tipo"), key="source_event_id")
+    rows = p.source_event.withColumnRenamed("record_type", "tipo")
+    exempt = list(S.SNAPSHOT_TYPES) + [S.CRASH]
+    n = rows.filter(~F.col("tipo").isin(*exempt)).groupBy("tipo").agg(F.count("*").alias("n_rows"))
+    k = kept.filter(~F.col("tipo").isin(*exempt)).groupBy("tipo").agg(F.count("*").alias("n_kept"))
+    return n.join(k, "tipo")
+
+
+@query("latest_metadata", O.sql(f"""
+SELECT uid AS user_id, {_META_LABEL} AS label, arg_max({_META_VALUE}, id) AS value, max(id) AS metadata_id
+{_FL_OK.format(t='UserMetadata')} GROUP BY 1, 2
+""", O.FLAT))
+def latest_metadata(spark, sf_dir):
+    from tripweave.operators.dedup import latest_metadata as latest
+    return latest(pipeline(spark, sf_dir).user_metadata).select("user_id", "label", "value", "metadata_id")
+
+
+@query("latest_place", O.sql(f"""
+SELECT user_id, CASE WHEN user_num % 3 = 0 THEN 'HOME' ELSE 'WORK' END AS significance,
+       max(id) AS context_id, any_value({_LAT.format(u='user_num')}) AS latitude
+FROM cxp WHERE user_num % 3 IN (0, 1) GROUP BY 1, 2
+""", O.CONTEXT, O.CX_PAYLOADS))
+def latest_place(spark, sf_dir):
+    from tripweave.operators.dedup import latest_place as latest
+    p = pipeline(spark, sf_dir)
+    return latest(p.context_home.unionByName(p.context_work)).select(
+        "user_id", "significance", "context_id", dbl("latitude"))
+
+
+@query("segment_dedup", O.sql("""
+SELECT user_id, CAST(k AS VARCHAR) AS segment_id, max(context_id) AS context_id, count(*) AS n_versions
+FROM seg GROUP BY 1, 2
+""", O.CONTEXT, SEGMENTS))
+def segment_dedup(spark, sf_dir):
+    from tripweave.operators.dedup import latest_by_key
+    s = pipeline(spark, sf_dir).context_segment
+    return latest_by_key(s, ["user_id", "segment_id"], "segment_detail_id").select(
+        "user_id", "segment_id", "context_id", "n_versions")
+
+
+@query("event_dedup", O.sql("""
+SELECT coalesce(cx.uid, tl.uid) AS user_id, coalesce(cx.event_key, tl.event_key) AS event_id,
+       CASE WHEN cx.event_id IS NOT NULL THEN 'context' ELSE 'timeline' END AS latest_source,
+       (cx.event_id IS NOT NULL)::INT + (tl.event_id IS NOT NULL)::INT AS n_versions
+FROM tl FULL OUTER JOIN cx ON tl.event_id = cx.event_id
+""", O.TIMELINE, O.CONTEXT))
+def event_dedup(spark, sf_dir):
+    from tripweave.operators.dedup import latest_by_key
+    p = pipeline(spark, sf_dir)
+    ev = p.timeline_event.select("user_id", "event_id", F.col("timeline_event_id").alias("detail_id"),
+                                 F.lit("timeline").alias("latest_source")).unionByName(
+        p.context_event.select("user_id", "event_id", F.col("event_detail_id").alias("detail_id"),
+                               F.lit("context").alias("latest_source")))
+    return latest_by_key(ev, ["user_id", "event_id"], "detail_id").select(
+        "user_id", "event_id", "latest_source", "n_versions")
+
+
+@query("unified_events", O.sql("""
+SELECT uid AS user_id, event_key AS event_id, ev_type AS event_type, start_time, 'timeline' AS fuente FROM tl
+UNION
+SELECT uid, event_key, ev_type, start_time, 'context' FROM cx
+WHERE NOT EXISTS (SELECT 1 FROM tl WHERE tl.uid = cx.uid AND tl.event_key = cx.event_key)
+""", O.TIMELINE, O.CONTEXT))
+def unified_events(spark, sf_dir):
+    from tripweave.operators.dedup import unified_events as unify
+    p = pipeline(spark, sf_dir)
+    return unify(p.timeline_event, p.context_event)

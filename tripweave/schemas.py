@@ -165,3 +165,7 @@ DEC_METRES = "decimal(12,2)"
 DEC_ATTRIBUTE = "decimal(18,4)"
 DEC_LAT = "decimal(10,8)"
 DEC_LON = "decimal(11,8)"
+
+# Types whose equal payloads are legitimate repeated snapshots, so payload
+# dedup is off for them (divergence D11).
+SNAPSHOT_TYPES = (STATUS, METADATA, TECHNICAL, CONTEXT_MANUAL)

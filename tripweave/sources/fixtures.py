@@ -394,7 +394,7 @@ def flat_payloads(events: DataFrame) -> DataFrame:
         F.when(eid % 5 != 0, loc).alias("location"),
         F.when(eid % 89 == 0, F.lit(1000.0) + val).otherwise(val / F.lit(10.0)).alias("magnitude"),
         val.alias("speedAtImpact"),
-        (val / F.lit(2.0)).alias("deltaV"),
+        (val * F.lit(2.0)).alias("deltaV"),
         ((eid % 100) / F.lit(100.0)).alias("confidence"),
         F.when(val < 10, "LOW").when(val < 100, "MEDIUM").otherwise("HIGH").alias("severity"),
         F.when(uid % 2 == 0, "CAR").otherwise("TWO_WHEELER").alias("detectorMode"),
