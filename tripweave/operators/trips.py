@@ -73,9 +73,9 @@ def _exploded(acc: DataFrame, types: tuple[str, ...], arr: str, origin: str) ->
 
 def trip_candidates(acc: DataFrame) -> DataFrame:
     insight = _transport_row(acc.filter(F.col("tipo") == S.DRIVING_INSIGHTS),
-                             F.col("p_insight.transportEvent"), "DrivingInsights", F.lit(0))
-    context = _exploded(acc, S.CONTEXT_TYPES, "p_context.ctx.events", "UserContext")
-    timeline = _exploded(acc, S.TIMELINE_TYPES, "p_timeline", "Timeline")
+                             F.col("p_insight.transportEvent"), "DRIVING_INSIGHTS", F.lit(0))
+    context = _exploded(acc, S.CONTEXT_TYPES, "p_context.ctx.events", "CONTEXT")
+    timeline = _exploded(acc, S.TIMELINE_TYPES, "p_timeline", "TIMELINE")
     a = F.col("p_activity")
     act_rows = acc.filter((F.col("tipo") == S.ACTIVITY) & activity_is_trip())
     # activity has no transport id: the source event id stands in, prefixed
@@ -90,7 +90,7 @@ def trip_candidates(acc: DataFrame) -> DataFrame:
         F.col("_ev.id").alias("canonical_id"),
         F.lit(False).alias("is_provisional"),
         (F.col("id") * F.lit(POS_SCALE)).alias("ord"),
-        F.lit("UserActivity").alias("first_seen_from"),
+        F.lit("ACTIVITY").alias("first_seen_from"),
         format_ts(F.col("_ev.startTime")).alias("start_time"),
         F.lit(None).cast("bigint").alias("start_time_epoch"),
         F.lit(None).cast("map<string,string>").alias("transport_tags"),

@@ -218,7 +218,7 @@ def child_orphans(spark, sf_dir):
 
 TRIP_CANDIDATES = """
 cand AS (
-  SELECT user_id, canonical_id, id * 1000000 AS ord, 'DrivingInsights' AS first_seen_from,
+  SELECT user_id, canonical_id, id * 1000000 AS ord, 'DRIVING_INSIGHTS' AS first_seen_from,
          o_orderdate AS start_time, epoch_ms(o_orderdate) AS start_time_epoch,
          o_orderdate + to_seconds(dur) AS end_time, epoch_ms(o_orderdate + to_seconds(dur)) AS end_time_epoch,
          CAST(dur AS DECIMAL(10,0)) AS duration_in_seconds, CAST(o_totalprice AS DECIMAL(12,2)) AS distance_meters,
@@ -226,17 +226,17 @@ cand AS (
          CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 2 END AS n_tags
   FROM p WHERE NOT failed AND NOT is_provisional
   UNION ALL
-  SELECT uid, event_key, payload_id * 1000000 + pos, 'Timeline', start_time, start_time_epoch, end_time, end_time_epoch,
+  SELECT uid, event_key, payload_id * 1000000 + pos, 'TIMELINE', start_time, start_time_epoch, end_time, end_time_epoch,
          CAST(dur AS DECIMAL(10,0)), distance_meters, transport_mode, occupant_role, payload_id,
          CASE WHEN ev_type = 'IN_TRANSPORT' THEN 2 END, CASE WHEN ev_type = 'IN_TRANSPORT' THEN 1 END
   FROM tl WHERE (ev_type = 'IN_TRANSPORT' OR transport_mode IS NOT NULL) AND NOT is_provisional
   UNION ALL
-  SELECT uid, event_key, payload_id * 1000000 + pos, 'UserContext', start_time, start_time_epoch, end_time, end_time_epoch,
+  SELECT uid, event_key, payload_id * 1000000 + pos, 'CONTEXT', start_time, start_time_epoch, end_time, end_time_epoch,
          CAST(dur AS DECIMAL(10,0)), distance_meters, transport_mode, occupant_role, payload_id,
          CASE WHEN ev_type = 'IN_TRANSPORT' THEN 2 END, CASE WHEN ev_type = 'IN_TRANSPORT' THEN 1 END
   FROM cx WHERE (ev_type = 'IN_TRANSPORT' OR transport_mode IS NOT NULL) AND NOT is_provisional
   UNION ALL
-  SELECT uid, concat('activity:', id), id * 1000000, 'UserActivity', date_trunc('millisecond', ts), NULL, NULL, NULL,
+  SELECT uid, concat('activity:', id), id * 1000000, 'ACTIVITY', date_trunc('millisecond', ts), NULL, NULL, NULL,
          NULL, NULL, CASE WHEN event_type = 'click' THEN 'TRIP_TYPE_SDK' END, NULL, id, NULL, NULL
   FROM fl WHERE tipo = 'UserActivity' AND status = 'PROCESSED' AND event_type IN ('click', 'purchase')
 )"""
@@ -288,7 +288,7 @@ def trip_fold_enrich(spark, sf_dir):
 
 @query("trip_lookup", O.sql("""
 SELECT p.id AS insight_trip_id, p.canonical_id, p.is_provisional,
-       CASE WHEN p.is_provisional THEN NULL ELSE 'DrivingInsights' END AS trip_first_seen_from,
+       CASE WHEN p.is_provisional THEN NULL ELSE 'DRIVING_INSIGHTS' END AS trip_first_seen_from,
        CASE WHEN p.is_provisional THEN NULL ELSE p.o_orderdate END AS trip_start_time,
        CASE WHEN p.is_provisional THEN NULL WHEN p.k % 7 = 0 THEN 2 ELSE 1 END AS trip_writers
 FROM p WHERE NOT p.failed
@@ -640,3 +640,584 @@ def unified_events(spark, sf_dir):
     from tripweave.operators.dedup import unified_events as unify
     p = pipeline(spark, sf_dir)
     return unify(p.timeline_event, p.context_event)
+
+
+# ---------------------------------------------------------------------------
+# Views: A2 id range, J5/O2 newest insights, J7 lineage, J11 labels
+# ---------------------------------------------------------------------------
+
+
+@query("processed_id_range", O.sql("""
+SELECT tipo, min(id) AS min_id, max(id) AS max_id FROM st WHERE status = 'PROCESSED' GROUP BY tipo
+""", *O.ALL))
+def processed_id_range(spark, sf_dir):
+    """A2: min / max processed id per type."""
+    s = pipeline(spark, sf_dir).landing_status.filter(F.col("status") == S.PROCESSED)
+    return s.groupBy("tipo").agg(F.min("id").alias("min_id"), F.max("id").alias("max_id"))
+
+
+RECENT_N = 20
+
+
+@query("recent_insights", O.sql(f"""
+SELECT id, user_id, created_at, CASE WHEN failed THEN NULL ELSE id END AS source_event_id,
+       CASE WHEN failed THEN NULL ELSE id END AS insight_trip_id,
+       CASE WHEN failed THEN NULL ELSE canonical_id END AS canonical_id,
+       CASE WHEN failed THEN NULL ELSE is_provisional END AS is_provisional
+FROM p ORDER BY created_at DESC, id DESC LIMIT {RECENT_N}
+""", O.PARENTS))
+def recent_insights(spark, sf_dir):
+    """Newest insight payloads with audit row and insight row (left joins)."""
+    from tripweave.operators.views import recent_insights as recent
+    p = pipeline(spark, sf_dir)
+    return recent(p.landing, p.source_event, p.insight_trip, RECENT_N).select(
+        "id", "user_id", "created_at", "source_event_id", "insight_trip_id", "canonical_id", "is_provisional")
+
+
+_KIND_TIPO = {kind: t for t, kind in S.CHILD_KIND.items()}
+
+
+@query("lineage_tree", O.sql(f"""
+SELECT p.id AS insight_trip_id, p.canonical_id,
+       CASE WHEN p.is_provisional THEN NULL ELSE 'DRIVING_INSIGHTS' END AS trip_first_seen_from,
+       CASE WHEN p.is_provisional THEN NULL WHEN p.k % 7 = 0 THEN 2 ELSE 1 END AS trip_writers,
+       {", ".join(f"coalesce(sum(CASE WHEN l.tipo = '{t}' THEN 1 ELSE 0 END), 0) AS n_{kind}" for t, kind in S.CHILD_KIND.items())}
+FROM p LEFT JOIN c_lines l
+  ON l.l_orderkey = p.k AND p.id = p.k * 1000 + 500 AND {_ACCEPTED_LINE.replace('l_orderkey', 'l.l_orderkey')}
+     AND NOT (l.tipo = 'DrivingInsightsSpeedingEvents' AND l.l_orderkey % 53 = 0)
+WHERE NOT p.failed
+GROUP BY p.id, p.canonical_id, p.is_provisional, p.k
+""", O.PARENTS, O.CHILDREN))
+def lineage_tree(spark, sf_dir):
+    """Insight -> trip + five child sets, nested; branch sizes reported."""
+    from tripweave.operators.views import lineage_tree as tree
+    p = pipeline(spark, sf_dir)
+    kids = {kind: p.child(t) for t, kind in S.CHILD_KIND.items()}
+    t = tree(p.insight_trip, p.trips(), kids)
+    return t.select("insight_trip_id", "canonical_id", "trip_first_seen_from", "trip_writers",
+                    *[F.size(kind).alias(f"n_{kind}") for kind in kids])
+
+
+def _labels_values() -> str:
+    from tripweave.functions.labels import LABELS
+    rows = ", ".join("('{}', '{}')".format(c, lbl.replace("'", "''")) for c, lbl in LABELS)
+    return f"lbl(code, label) AS (VALUES {rows})"
+
+
+@query("enum_labels", O.sql("""
+SELECT column_name, value, coalesce(lbl.label, value, 'Desconocido') AS label, count(*) AS n_rows
+FROM (SELECT 'event_type' AS column_name, ev_type AS value FROM tl
+      UNION ALL SELECT 'transport_mode', transport_mode FROM tl
+      UNION ALL SELECT 'venue_type', venue_type FROM tl) v
+LEFT JOIN lbl ON lbl.code = v.value
+GROUP BY 1, 2, 3
+""", O.TIMELINE, _labels_values()))
+def enum_labels(spark, sf_dir):
+    """Dictionary labels for timeline enums (fixed-size broadcast dimension)."""
+    from tripweave.operators.views import label_dim, with_label
+    t = pipeline(spark, sf_dir).timeline_event
+    dim = label_dim(spark)
+    parts = []
+    for col in ("event_type", "transport_mode", "venue_type"):
+        lab = with_label(t.select(F.col(col).alias("value")), "value", dim, "label")
+        parts.append(lab.groupBy("value", "label").agg(F.count("*").alias("n_rows"))
+                     .select(F.lit(col).alias("column_name"), "value", "label", "n_rows"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ---------------------------------------------------------------------------
+# Reconciliation R1-R9 and data quality R10, J12, P25, R8
+# ---------------------------------------------------------------------------
+
+
+def _recon_tables(p: Pipeline) -> dict[str, tuple[DataFrame, str]]:
+    t = {
+        "insight_trip": (p.insight_trip, "source_event_id"),
+        "context_header": (p.context_header, "context_id"),
+        "context_criteria": (p.context_criteria, "context_id"),
+        "context_home": (p.context_home, "context_id"),
+        "context_work": (p.context_work, "context_id"),
+        "context_segment": (p.context_segment, "context_id"),
+        "context_segment_attribute": (p.context_segment_attribute, "context_id"),
+        "context_event": (p.context_event, "context_id"),
+        "timeline_event": (p.timeline_event, "source_event_id"),
+        "crash_event": (p.crash_event, "source_event_id"),
+        "sdk_status": (p.sdk_status, "source_event_id"),
+        "user_activity": (p.user_activity, "source_event_id"),
+        "technical_event": (p.technical_event, "source_event_id"),
+        "user_metadata": (p.user_metadata, "metadata_id"),
+    }
+    for ty, kind in S.CHILD_KIND.items():
+        t[f"insight_{kind}"] = (p.child(ty), "source_event_id")
+    return t
+
+
+def _reconcile(spark, sf_dir) -> DataFrame:
+    from tripweave.operators.quality import reconcile
+    p = pipeline(spark, sf_dir)
+    return reconcile(p.accepted, _recon_tables(p), p.trips())
+
+
+RECON_EXPECTED = """
+tr AS (
+  SELECT payload_id, count(*) FILTER (WHERE (ev_type = 'IN_TRANSPORT' OR transport_mode IS NOT NULL)
+                                      AND NOT is_provisional) AS n_trips
+  FROM (SELECT payload_id, ev_type, transport_mode, is_provisional FROM tl
+        UNION ALL SELECT payload_id, ev_type, transport_mode, is_provisional FROM cx) GROUP BY payload_id
+),
+rx AS (
+  SELECT id AS landing_id, 'DrivingInsights' AS tipo, 1 AS expected_rows,
+         CASE WHEN is_provisional THEN 0 ELSE 1 END AS expected_trips FROM p WHERE NOT failed
+  UNION ALL SELECT id, tipo, n_events, 0 FROM c WHERE status = 'PROCESSED'
+  UNION ALL SELECT tlp.id, tlp.tipo, tlp.n_events, tr.n_trips FROM tlp JOIN tr ON tr.payload_id = tlp.id
+  UNION ALL SELECT cxp.id, cxp.tipo,
+         1 + CASE WHEN cxp.tipo = 'requestUserContext' THEN 1 ELSE 2 END
+           + CASE WHEN user_num % 3 IN (0, 1) THEN 1 ELSE 0 END + 3 * n_segments + n_events, tr.n_trips
+  FROM cxp JOIN tr ON tr.payload_id = cxp.id
+  UNION ALL SELECT id, tipo, 1, CASE WHEN tipo = 'UserActivity' AND event_type IN ('click', 'purchase') THEN 1 ELSE 0 END
+  FROM fl WHERE status = 'PROCESSED'
+)"""
+
+
+@query("reconcile_rows", O.sql("""
+SELECT landing_id AS id, tipo, expected_rows, expected_rows AS actual_rows, expected_trips,
+       expected_trips AS found_trips, 0 AS provisional_in_trip, 'PASS' AS status
+FROM rx
+""", *O.ALL, RECON_EXPECTED))
+def reconcile_rows(spark, sf_dir):
+    """Expected (payload arrays) vs actual (tables) per processed landing row."""
+    return _reconcile(spark, sf_dir).select("id", "tipo", "expected_rows", "actual_rows", "expected_trips",
+                                            "found_trips", "provisional_in_trip", "status")
+
+
+@query("reconcile_summary", O.sql("""
+SELECT tipo, 'PASS' AS status, count(*) AS n_rows,
+       CAST(floor(count(*) * 10000 / (SELECT count(*) FROM rx)) AS BIGINT) AS share_bp
+FROM rx GROUP BY tipo
+""", *O.ALL, RECON_EXPECTED))
+def reconcile_summary(spark, sf_dir):
+    """PASS/FAIL totals per type with basis-point shares."""
+    from tripweave.operators.quality import reconcile_summary as summary
+    return summary(_reconcile(spark, sf_dir))
+
+
+_SCORE_PATHS = {"safetyScores.smoothScore": "smooth_score", "safetyScores.focusScore": "focus_score",
+                "safetyScores.legalScore": "legal_score", "safetyScores.overallScore": "overall_score",
+                "safetyScores.attentionScore": "attention_score",
+                "safetyScores.harshBrakingScore": "harsh_braking_score"}
+
+
+@query("payload_diff", O.sql("""
+SELECT path, count(*) AS n_payload, count(*) AS n_table, count(*) AS n_matched FROM (
+  SELECT 'safetyScores.smoothScore' AS path FROM p WHERE NOT failed
+  UNION ALL SELECT 'safetyScores.focusScore' FROM p WHERE NOT failed AND k % 5 <> 0
+  UNION ALL SELECT 'safetyScores.legalScore' FROM p WHERE NOT failed
+  UNION ALL SELECT 'safetyScores.overallScore' FROM p WHERE NOT failed
+  UNION ALL SELECT 'safetyScores.attentionScore' FROM p WHERE NOT failed
+) GROUP BY path
+""", O.PARENTS))
+def payload_diff(spark, sf_dir):
+    """Payload leaves vs table columns, order-insensitive with repetition."""
+    from tripweave.operators.quality import leaf_diff, payload_leaves, table_leaves
+    p = pipeline(spark, sf_dir)
+    acc = p.accepted.filter(F.col("tipo") == S.DRIVING_INSIGHTS)
+    pl = payload_leaves(acc, "$.safetyScores", "safetyScores.")
+    tl = table_leaves(p.insight_trip, "source_event_id", _SCORE_PATHS)
+    return leaf_diff(pl, tl)
+
+
+@query("enum_violations", O.sql("""
+SELECT 'trip' AS table_name, 'transport_mode' AS column_name,
+       CASE WHEN event_type = 'click' THEN 'TRIP_TYPE_SDK' END AS value, count(*) AS n_rows
+FROM fl WHERE tipo = 'UserActivity' AND status = 'PROCESSED' AND event_type IN ('click', 'purchase') GROUP BY 3
+UNION ALL
+SELECT 'trip', 'first_seen_from', 'ACTIVITY', count(*)
+FROM fl WHERE tipo = 'UserActivity' AND status = 'PROCESSED' AND event_type IN ('click', 'purchase')
+UNION ALL
+SELECT 'trip', 'occupant_role', 'LOW', count(DISTINCT (user_id, canonical_id))
+FROM p WHERE NOT failed AND NOT is_provisional AND occupant_role = 'LOW'
+UNION ALL
+SELECT 'insight_harsh', 'harsh_type', 'TURNING', count(*)
+FROM c_lines WHERE tipo = 'DrivingInsightsHarshEvents' AND l_returnflag NOT IN ('A', 'N')
+  AND l_orderkey % 10 <> 9 AND l_orderkey % 997 <> 0
+UNION ALL
+SELECT 'landing', 'tipo', tipo, count(*) FROM st
+WHERE tipo NOT IN ('UserContextUpdate', 'requestUserContext', 'TimelineUpdate', 'DrivingInsightsReady', 'CrashEvent')
+GROUP BY tipo
+""", *O.ALL))
+def enum_violations(spark, sf_dir):
+    """Closed-enum checks reported per offending value."""
+    from tripweave.operators.quality import enum_violations as check
+    p = pipeline(spark, sf_dir)
+    return check({
+        "timeline_event": p.timeline_event, "trip": p.trips(), "insight_harsh": p.child(S.HARSH),
+        "crash_event": p.crash_event, "context_segment": p.context_segment,
+        "context_criteria": p.context_criteria, "landing": p.landing,
+    })
+
+
+@query("fk_orphans", O.sql("""
+SELECT 'insight_trip.trip_id' AS fk_name, (SELECT count(*) FROM p WHERE NOT failed) AS n_rows, 0 AS n_orphans
+UNION ALL SELECT concat('insight_', CASE tipo WHEN 'DrivingInsightsHarshEvents' THEN 'harsh'
+                 WHEN 'DrivingInsightsPhoneEvents' THEN 'phone' WHEN 'DrivingInsightsCallEvents' THEN 'call'
+                 WHEN 'DrivingInsightsSpeedingEvents' THEN 'speeding' ELSE 'wrong_way' END, '.insight_trip_id'),
+       sum(n_events), 0 FROM c WHERE status = 'PROCESSED' GROUP BY tipo
+UNION ALL SELECT 'context_criteria.context_id',
+       (SELECT count(*) + count(*) FILTER (WHERE tipo = 'UserContextUpdate') FROM cxp), 0
+UNION ALL SELECT 'context_segment.context_id', (SELECT sum(n_segments) FROM cxp), 0
+UNION ALL SELECT 'context_segment_attribute.segment_detail_id', (SELECT 2 * sum(n_segments) FROM cxp), 0
+UNION ALL SELECT 'context_event.context_id', (SELECT count(*) FROM cx), 0
+UNION ALL SELECT 'timeline_event.source_event_id', (SELECT count(*) FROM tl), 0
+UNION ALL SELECT 'source_event.landing_id', (SELECT count(*) FROM st WHERE status = 'PROCESSED'), 0
+""", *O.ALL))
+def fk_orphans(spark, sf_dir):
+    """Documented foreign keys checked by anti joins (report, not enforce)."""
+    from tripweave.operators.quality import fk_orphans as check
+    p = pipeline(spark, sf_dir)
+    it, se = p.insight_trip, p.source_event
+    checks = [("insight_trip.trip_id", it, "trip_id", p.trips(), "trip_id")]
+    for t, kind in S.CHILD_KIND.items():
+        checks.append((f"insight_{kind}.insight_trip_id", p.child(t), "insight_trip_id", it, "insight_trip_id"))
+    hdr = p.context_header
+    checks += [
+        ("context_criteria.context_id", p.context_criteria, "context_id", hdr, "context_id"),
+        ("context_segment.context_id", p.context_segment, "context_id", hdr, "context_id"),
+        ("context_segment_attribute.segment_detail_id", p.context_segment_attribute, "segment_detail_id",
+         p.context_segment, "segment_detail_id"),
+        ("context_event.context_id", p.context_event, "context_id", hdr, "context_id"),
+        ("timeline_event.source_event_id", p.timeline_event, "source_event_id", se, "source_event_id"),
+        ("source_event.landing_id", se, "landing_id", p.landing, "id"),
+    ]
+    return check(checks)
+
+
+@query("version_check", O.sql("""
+SELECT tipo, count(*) AS n_rows, count(*) FILTER (WHERE NOT regexp_full_match(app_version, '\\d+\\.\\d+\\.\\d+')) AS n_invalid
+FROM st GROUP BY tipo
+""", *O.ALL))
+def version_check(spark, sf_dir):
+    """P25: app_version whitelist per type."""
+    from tripweave.operators.quality import version_check as check
+    return check(derive_landing(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Retention L1, L3
+# ---------------------------------------------------------------------------
+
+AS_OF = "2024-02-01 00:00:00"
+
+
+@query("raw_purge", O.sql(f"""
+SELECT tipo, CASE WHEN status = 'PROCESSED' AND created_at < TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY
+                  THEN 'purge' ELSE 'keep' END AS action, count(*) AS n_rows
+FROM st GROUP BY 1, 2
+""", *O.ALL))
+def raw_purge(spark, sf_dir):
+    """L1: processed rows older than 30 days (min 7) as of a fixed date."""
+    from tripweave.operators.retention import raw_purge_plan
+    p = pipeline(spark, sf_dir)
+    return raw_purge_plan(p.landing, p.landing_status, AS_OF).groupBy("tipo", "action").agg(
+        F.count("*").alias("n_rows"))
+
+
+@query("cold_purge", O.sql(f"""
+SELECT first_seen_from, count(*) AS n_trips,
+       count(*) FILTER (WHERE start_time < TIMESTAMP '{AS_OF}' - INTERVAL 90 DAY) AS n_cold,
+       count(*) FILTER (WHERE NOT coalesce(start_time < TIMESTAMP '{AS_OF}' - INTERVAL 90 DAY, false)
+                        AND n_waypoints IS NOT NULL) AS n_with_waypoints
+FROM (SELECT user_id, canonical_id, first(first_seen_from ORDER BY ord) AS first_seen_from,
+             first(start_time ORDER BY ord) AS start_time, first(n_waypoints ORDER BY ord) AS n_waypoints
+      FROM cand GROUP BY 1, 2)
+GROUP BY 1
+""", O.PARENTS, O.TIMELINE, O.CONTEXT, O.FLAT, TRIP_CANDIDATES))
+def cold_purge(spark, sf_dir):
+    """L3: trips older than 90 days keep the row, lose waypoints and tags."""
+    from tripweave.operators.retention import cold_purge as purge
+    t = purge(pipeline(spark, sf_dir).trips(), AS_OF)
+    return t.groupBy("first_seen_from").agg(
+        F.count("*").alias("n_trips"), F.sum(F.col("is_cold").cast("int")).cast("bigint").alias("n_cold"),
+        F.sum(F.col("waypoints").isNotNull().cast("int")).cast("bigint").alias("n_with_waypoints"))
+
+
+# ---------------------------------------------------------------------------
+# X12-X14 generators, M1-M9 marts
+# ---------------------------------------------------------------------------
+
+TRIP_POINTS = """
+wp_cand AS (
+  SELECT user_id, canonical_id, id * 1000000 AS ord, 0 AS point_pos,
+         40.0::DOUBLE + (o_custkey % 1000) / 1000.0::DOUBLE AS latitude,
+         -3.0::DOUBLE - (k % 1000) / 1000.0::DOUBLE AS longitude,
+         epoch_ms(o_orderdate) AS point_epoch, (k % 40) + 0.5::DOUBLE AS speed_mps
+  FROM p WHERE NOT failed AND NOT is_provisional AND k % 4 <> 0
+  UNION ALL
+  SELECT user_id, canonical_id, id * 1000000, 1,
+         (40.0::DOUBLE + (o_custkey % 1000) / 1000.0::DOUBLE) + 0.01::DOUBLE,
+         (-3.0::DOUBLE - (k % 1000) / 1000.0::DOUBLE) - 0.01::DOUBLE,
+         epoch_ms(o_orderdate + to_seconds(dur)), CASE WHEN k % 3 <> 0 THEN (o_custkey % 30) + 0.25::DOUBLE END
+  FROM p WHERE NOT failed AND NOT is_provisional AND k % 4 <> 0
+  UNION ALL
+  SELECT uid, event_key, payload_id * 1000000 + pos, 0, 50.0::DOUBLE + user_id / 10000.0::DOUBLE,
+         4.0::DOUBLE + (event_id % 1000) / 1000.0::DOUBLE, start_time_epoch, value / 10.0::DOUBLE
+  FROM tl WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional
+  UNION ALL
+  SELECT uid, event_key, payload_id * 1000000 + pos, 1, (50.0::DOUBLE + user_id / 10000.0::DOUBLE) + 0.02::DOUBLE,
+         (4.0::DOUBLE + (event_id % 1000) / 1000.0::DOUBLE) + 0.02::DOUBLE, end_time_epoch, value / 20.0::DOUBLE
+  FROM tl WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional
+  UNION ALL
+  SELECT uid, event_key, payload_id * 1000000 + pos, 0, 50.0::DOUBLE + user_id / 10000.0::DOUBLE,
+         4.0::DOUBLE + (event_id % 1000) / 1000.0::DOUBLE, start_time_epoch, value / 10.0::DOUBLE
+  FROM cx WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional
+  UNION ALL
+  SELECT uid, event_key, payload_id * 1000000 + pos, 1, (50.0::DOUBLE + user_id / 10000.0::DOUBLE) + 0.02::DOUBLE,
+         (4.0::DOUBLE + (event_id % 1000) / 1000.0::DOUBLE) + 0.02::DOUBLE, end_time_epoch, value / 20.0::DOUBLE
+  FROM cx WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional
+),
+fw AS (SELECT user_id, canonical_id, min(ord) AS ord FROM cand GROUP BY 1, 2),
+pts AS (SELECT w.* FROM wp_cand w JOIN fw USING (user_id, canonical_id, ord))"""
+
+_TRIP_FRAGS = (O.PARENTS, O.TIMELINE, O.CONTEXT, O.FLAT, TRIP_CANDIDATES, TRIP_POINTS)
+
+
+@query("waypoint_points", O.sql("""
+SELECT user_id, canonical_id, point_pos, latitude, longitude, point_epoch, speed_mps FROM pts
+""", *_TRIP_FRAGS))
+def waypoint_points(spark, sf_dir):
+    """Trip waypoints -> point rows (first writer's route)."""
+    from tripweave.operators.handlers import waypoint_points as points
+    return points(pipeline(spark, sf_dir).trips(), ["user_id", "canonical_id"]).select(
+        "user_id", "canonical_id", "point_pos", "latitude", "longitude", "point_epoch", "speed_mps")
+
+
+@query("preceding_points", O.sql("""
+SELECT id AS crash_event_id, i AS point_pos,
+       (50.0::DOUBLE + user_id / 10000.0::DOUBLE) - i * 0.001::DOUBLE AS latitude,
+       (4.0::DOUBLE + (event_id % 1000) / 1000.0::DOUBLE) - i * 0.001::DOUBLE AS longitude,
+       value AS altitude
+FROM fl, range(0, 5) r(i)
+WHERE tipo = 'VehicleCrash' AND status = 'PROCESSED' AND i < user_id % 5
+""", O.FLAT))
+def preceding_points(spark, sf_dir):
+    """Crash preceding locations -> point rows."""
+    from tripweave.operators.handlers import preceding_points as points
+    return points(pipeline(spark, sf_dir).crash_event).select(
+        "crash_event_id", "point_pos", "latitude", "longitude", "altitude")
+
+
+@query("tag_rows", O.sql("""
+SELECT user_id, canonical_id, 'status' AS tag_key, o_orderstatus AS tag_value
+FROM p JOIN (SELECT user_id, canonical_id, min(ord) AS ord FROM cand GROUP BY 1, 2) f USING (user_id, canonical_id)
+WHERE f.ord = p.id * 1000000 AND o_orderstatus <> 'P' AND NOT failed AND NOT is_provisional
+UNION ALL
+SELECT user_id, canonical_id, 'priority', o_orderpriority
+FROM p JOIN (SELECT user_id, canonical_id, min(ord) AS ord FROM cand GROUP BY 1, 2) f USING (user_id, canonical_id)
+WHERE f.ord = p.id * 1000000 AND o_orderstatus <> 'P' AND NOT failed AND NOT is_provisional
+UNION ALL
+SELECT e.uid, e.event_key, 'k', CAST(e.k AS VARCHAR)
+FROM (SELECT uid, event_key, k, payload_id * 1000000 + pos AS ord FROM tl WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional
+      UNION ALL
+      SELECT uid, event_key, k, payload_id * 1000000 + pos FROM cx WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional) e
+JOIN (SELECT user_id, canonical_id, min(ord) AS ord FROM cand GROUP BY 1, 2) f
+  ON f.user_id = e.uid AND f.canonical_id = e.event_key AND f.ord = e.ord
+""", *_TRIP_FRAGS))
+def tag_rows(spark, sf_dir):
+    """Trip transport tags -> (key, value) rows."""
+    from tripweave.operators.handlers import tag_rows as tags
+    return tags(pipeline(spark, sf_dir).trips(), ["user_id", "canonical_id"])
+
+
+_ROUTE = """
+route AS (
+  SELECT user_id, canonical_id, count(*) AS n_points,
+         arg_min(latitude, point_pos) AS inicio_lat, arg_min(longitude, point_pos) AS inicio_lng,
+         arg_max(latitude, point_pos) AS fin_lat, arg_max(longitude, point_pos) AS fin_lng,
+         max(coalesce(speed_mps, 0.0)) AS maxima_velocidad_mps
+  FROM pts GROUP BY 1, 2
+),
+trips_last AS (
+  SELECT user_id, canonical_id, last(distance_meters ORDER BY ord) AS distance_meters,
+         last(transport_mode ORDER BY ord) AS transport_mode, first(start_time ORDER BY ord) AS start_time,
+         last(end_time ORDER BY ord) AS end_time, last(duration_in_seconds ORDER BY ord) AS duration_in_seconds
+  FROM cand GROUP BY 1, 2
+)"""
+
+
+@query("route_summary", O.sql("""
+SELECT r.user_id AS usuario, r.canonical_id AS viaje, CAST(t.distance_meters AS DOUBLE) AS distancia_m,
+       n_points, inicio_lat, inicio_lng, fin_lat, fin_lng, maxima_velocidad_mps,
+       round(maxima_velocidad_mps * 3.6, 1) AS maxima_velocidad
+FROM route r JOIN trips_last t USING (user_id, canonical_id)
+""", *_TRIP_FRAGS, _ROUTE))
+def route_summary(spark, sf_dir):
+    """M2 + A8: route geometry per trip (first/last point, max speed)."""
+    from tripweave.operators.marts import route_mart
+    r = route_mart(pipeline(spark, sf_dir).trips())
+    return r.select("usuario", "viaje", "distancia_m", "n_points", "inicio_lat", "inicio_lng", "fin_lat",
+                    "fin_lng", "maxima_velocidad_mps", "maxima_velocidad")
+
+
+@query("route_polyline", None)
+def route_polyline(spark, sf_dir):
+    """M2 polyline (encoded with native expressions; rows-only check plus the
+    published test vector in the unit tests)."""
+    from tripweave.operators.marts import route_mart
+    return route_mart(pipeline(spark, sf_dir).trips()).select("usuario", "viaje", "polyline")
+
+
+@query("mart_trip", O.sql("""
+SELECT CAST(NULL AS INTEGER) AS IdOffload, CAST(NULL AS DATE) AS FechaOffload,
+       t.user_id AS usuario, t.canonical_id AS viaje, t.transport_mode AS modo_transporte,
+       t.start_time AS comienzo, t.end_time AS fin, CAST(t.duration_in_seconds AS INTEGER) AS duracion,
+       '[]' AS metadata, round(r.maxima_velocidad_mps * 3.6, 1) AS velocidad_maxima
+FROM trips_last t LEFT JOIN route r USING (user_id, canonical_id)
+""", *_TRIP_FRAGS, _ROUTE))
+def mart_trip(spark, sf_dir):
+    """M1 Transporte."""
+    from tripweave.operators.marts import trip_mart
+    return trip_mart(pipeline(spark, sf_dir).trips())
+
+
+@query("mart_role", O.sql("""
+SELECT user_id AS usuario, canonical_id AS viaje, last(occupant_role ORDER BY id) AS ocupante,
+       last(created_at ORDER BY id) AS registro
+FROM p WHERE NOT failed AND NOT is_provisional GROUP BY 1, 2
+""", O.PARENTS))
+def mart_role(spark, sf_dir):
+    """M3 Conduccion."""
+    from tripweave.operators.marts import role_mart
+    return role_mart(pipeline(spark, sf_dir).trips()).select("usuario", "viaje", "ocupante", "registro")
+
+
+def _events_counts(df: DataFrame) -> DataFrame:
+    from tripweave.operators.marts import EVENT_COLUMNS
+    return df.select("usuario", "viaje", *[F.json_array_length(c).alias(f"n_{c}") for c in EVENT_COLUMNS],
+                     "celular_fijo", "pantalla")
+
+
+def _events_oracle(extra_harsh: str) -> str:
+    cats = {
+        "aceleracion": "tipo = 'DrivingInsightsHarshEvents' AND l_returnflag = 'A'" + extra_harsh,
+        "frenado": "tipo = 'DrivingInsightsHarshEvents' AND l_returnflag = 'N'" + extra_harsh,
+        "curvas": "tipo = 'DrivingInsightsHarshEvents' AND l_returnflag NOT IN ('A', 'N')" + extra_harsh,
+        "uso_telefono": "tipo = 'DrivingInsightsPhoneEvents'",
+        "llamados": "tipo = 'DrivingInsightsCallEvents'",
+        "exceso_de_velocidad": "tipo = 'DrivingInsightsSpeedingEvents' AND l.l_orderkey % 53 <> 0",
+    }
+    sums = ", ".join(f"coalesce(sum(CASE WHEN {cond} THEN 1 ELSE 0 END), 0) AS n_{col}" for col, cond in cats.items())
+    return O.sql(f"""
+SELECT t.user_id AS usuario, t.canonical_id AS viaje, {sums}, '[]' AS celular_fijo, '[]' AS pantalla
+FROM (SELECT DISTINCT user_id, canonical_id, k FROM p WHERE NOT failed) t
+LEFT JOIN c_lines l ON l.l_orderkey = t.k AND t.canonical_id = concat('t', t.k) AND l.l_orderkey % 997 <> 0
+GROUP BY 1, 2
+""", O.PARENTS, O.CHILDREN)
+
+
+def _children(p: Pipeline) -> dict[str, DataFrame]:
+    return {kind: p.child(t) for t, kind in S.CHILD_KIND.items()}
+
+
+@query("mart_events", _events_oracle(""))
+def mart_events(spark, sf_dir):
+    """M4 Eventos: JSON arrays per category (sizes compared)."""
+    from tripweave.operators.marts import events_mart
+    p = pipeline(spark, sf_dir)
+    return _events_counts(events_mart(p.insight_trip, _children(p)))
+
+
+SIGNIFICANT_MAGNITUDE = 25.0
+SIGNIFICANT_CONFIDENCE = 50.0
+
+
+@query("mart_significant", _events_oracle(
+    f" AND l_quantity >= {SIGNIFICANT_MAGNITUDE} AND CAST(l_discount * 1000.0 AS DECIMAL(6,3)) >= {SIGNIFICANT_CONFIDENCE}"))
+def mart_significant(spark, sf_dir):
+    """M5 EventosSignificantes: M4 with magnitude / confidence thresholds."""
+    from tripweave.operators.marts import events_mart
+    p = pipeline(spark, sf_dir)
+    return _events_counts(events_mart(p.insight_trip, _children(p), SIGNIFICANT_MAGNITUDE, SIGNIFICANT_CONFIDENCE))
+
+
+@query("mart_scores_primary", O.sql("""
+SELECT CAST(NULL AS INTEGER) AS IdOffload, CAST(NULL AS DATE) AS FechaOffload, user_id AS usuario, canonical_id AS viaje,
+       CAST(CAST(arg_max(((k * 7) % 1000) / 1000.0, id) AS DECIMAL(4,3)) AS DOUBLE) AS legal,
+       CAST(CAST(arg_max((o_custkey % 100) / 100.0, id) AS DECIMAL(4,3)) AS DOUBLE) AS suavidad,
+       CAST(CAST(arg_max_null(CASE WHEN k % 5 <> 0 THEN ((k * 3) % 1000) / 1000.0 END, id) AS DECIMAL(4,3)) AS DOUBLE) AS atencion,
+       CAST(CAST(arg_max((k % 1000) / 1000.0, id) AS DECIMAL(4,3)) AS DOUBLE) AS promedio
+FROM p WHERE NOT failed GROUP BY user_id, canonical_id
+""", O.PARENTS))
+def mart_scores_primary(spark, sf_dir):
+    """M6 PuntajesPrirmariosTr."""
+    from tripweave.operators.marts import scores_primary
+    return scores_primary(pipeline(spark, sf_dir).insight_trip)
+
+
+@query("mart_scores_secondary", O.sql(f"""
+SELECT CAST(NULL AS INTEGER) AS IdOffload, CAST(NULL AS DATE) AS FechaOffload, t.user_id AS usuario, t.canonical_id AS viaje,
+       CAST(CAST(CASE WHEN t.k % 5 <> 0 THEN ((t.k * 3) % 1000) / 1000.0 END AS DECIMAL(4,3)) AS DOUBLE) AS concentracion,
+       -1.0 AS aceleracion_fuerte, -1.0 AS frenado_fuerte, -1.0 AS curvas_fuertes, -1.0 AS anticipacion,
+       -1 AS celular_fijo, CAST(coalesce(count(l.l_orderkey), 0) AS INTEGER) AS eventos_fuertes
+FROM (SELECT DISTINCT user_id, canonical_id, k FROM p WHERE NOT failed) t
+LEFT JOIN c_lines l ON l.l_orderkey = t.k AND t.canonical_id = concat('t', t.k) AND l.l_orderkey % 997 <> 0
+     AND l.tipo = 'DrivingInsightsHarshEvents'
+GROUP BY t.user_id, t.canonical_id, t.k
+""", O.PARENTS, O.CHILDREN))
+def mart_scores_secondary(spark, sf_dir):
+    """M7 PuntajesSecundariosTr + A9 harsh-event count."""
+    from tripweave.operators.marts import scores_secondary
+    p = pipeline(spark, sf_dir)
+    return scores_secondary(p.insight_trip, p.child(S.HARSH))
+
+
+@query("mart_crash", O.sql("""
+SELECT id AS Id, ts AS Registro, id AS EventoId, uid AS usuario, date_trunc('millisecond', ts) AS LeidoFechaHora
+FROM fl WHERE tipo = 'VehicleCrash' AND status = 'PROCESSED'
+""", O.FLAT))
+def mart_crash(spark, sf_dir):
+    """M8 ChoqueDeVehiculo (raw payload column kept in the mart, not compared)."""
+    from tripweave.operators.marts import crash_mart
+    return crash_mart(pipeline(spark, sf_dir).crash_event).drop("json")
+
+
+@query("mart_profile", O.sql("""
+SELECT arg_max(id, id) AS Id, arg_max(created_at, id) AS Registro, max(id) AS EventoId, user_id AS usuario,
+       arg_max(created_at, id) AS LeidoFechaHora
+FROM cxp GROUP BY user_id
+""", O.CONTEXT, O.CX_PAYLOADS))
+def mart_profile(spark, sf_dir):
+    """M9 PerfilDeUsuario: latest context payload per user."""
+    from tripweave.operators.marts import profile_mart
+    p = pipeline(spark, sf_dir)
+    rows = p.accepted.filter(F.col("tipo").isin(*S.CONTEXT_TYPES)).select("id", "user_id", "created_at", "json")
+    return profile_mart(rows).drop("json")
+
+
+# ---------------------------------------------------------------------------
+# Sources: S4/A11 insert-if-absent, S5/O4 historical extract
+# ---------------------------------------------------------------------------
+
+INCREMENT_CUTOFF = "2024-01-15 00:00:00"
+EXTRACT_SINCE = "2024-01-29 00:00:00"
+
+
+@query("incremental_landing", O.sql(f"""
+SELECT tipo, count(*) FILTER (WHERE created_at >= TIMESTAMP '{INCREMENT_CUTOFF}') AS n_inserted,
+       count(*) FILTER (WHERE created_at < TIMESTAMP '{INCREMENT_CUTOFF}') AS n_skipped
+FROM st GROUP BY tipo
+""", *O.ALL))
+def incremental_landing(spark, sf_dir):
+    """Replaying the whole landing onto the rows loaded before a cutoff."""
+    from tripweave.sources.landing import insert_if_absent_counts
+    land = derive_landing(spark, sf_dir)
+    existing = land.filter(F.col("created_at") < F.lit(INCREMENT_CUTOFF).cast("timestamp_ntz"))
+    return insert_if_absent_counts(land, existing)
+
+
+@query("extract_since", O.sql(f"""
+SELECT id AS original_id, user_id AS sentianceid, tipo, created_at, app_version
+FROM st WHERE created_at >= TIMESTAMP '{EXTRACT_SINCE}'
+""", *O.ALL))
+def extract_since(spark, sf_dir):
+    """Rows since a cutoff, newest first, id renamed to original_id."""
+    from tripweave.sources.landing import extract_since as extract
+    return extract(derive_landing(spark, sf_dir), EXTRACT_SINCE)

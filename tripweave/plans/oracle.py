@@ -33,7 +33,8 @@ p AS (
          CASE o_orderstatus WHEN 'F' THEN 'CAR' WHEN 'O' THEN 'MOTORCYCLE' ELSE 'BUS' END AS transport_mode,
          CASE o_orderpriority WHEN '1-URGENT' THEN 'DRIVER' WHEN '2-HIGH' THEN 'PASSENGER'
               WHEN '3-MEDIUM' THEN 'UNAVAILABLE' WHEN '5-LOW' THEN 'LOW' END AS occupant_role,
-         CASE WHEN k % 4 <> 0 THEN 2 ELSE 0 END AS n_waypoints
+         CASE WHEN k % 4 <> 0 THEN 2 ELSE 0 END AS n_waypoints,
+         CASE WHEN o_custkey % 17 = 0 THEN '1.1.17-test' ELSE '1.4.2' END AS app_version
   FROM p_raw
 )"""
 
@@ -50,6 +51,7 @@ c_lines AS (
 c AS (
   SELECT l_orderkey AS k, tipo, l_orderkey * 1000 + any_value(ordinal) AS id,
          concat('c', any_value(o_custkey)) AS user_id, count(*) AS n_events,
+         CASE WHEN any_value(o_custkey) % 17 = 0 THEN '1.1.17-test' ELSE '1.4.2' END AS app_version,
          any_value(o_orderdate) + to_seconds(l_orderkey % 86400 - 60) AS created_at,
          CASE WHEN tipo = 'DrivingInsightsSpeedingEvents' AND l_orderkey % 53 = 0 THEN 'FAILED'
               WHEN l_orderkey % 10 = 9 OR l_orderkey % 997 = 0 THEN 'PENDING'
@@ -134,12 +136,12 @@ STATUS = """
 st AS (
   SELECT id, user_id, 'DrivingInsights' AS tipo, created_at,
          CASE WHEN failed THEN 'FAILED' ELSE 'PROCESSED' END AS status,
-         CASE WHEN failed THEN 'numeric_overflow' END AS reason
+         CASE WHEN failed THEN 'numeric_overflow' END AS reason, app_version
   FROM p
-  UNION ALL SELECT id, user_id, tipo, created_at, status, reason FROM c
-  UNION ALL SELECT id, user_id, tipo, created_at, 'PROCESSED', NULL FROM tlp
-  UNION ALL SELECT id, user_id, tipo, created_at, 'PROCESSED', NULL FROM cxp
-  UNION ALL SELECT id, uid, tipo, ts, status, reason FROM fl
+  UNION ALL SELECT id, user_id, tipo, created_at, status, reason, app_version FROM c
+  UNION ALL SELECT id, user_id, tipo, created_at, 'PROCESSED', NULL, '1.4.2' FROM tlp
+  UNION ALL SELECT id, user_id, tipo, created_at, 'PROCESSED', NULL, '1.4.2' FROM cxp
+  UNION ALL SELECT id, uid, tipo, ts, status, reason, '1.4.2' FROM fl
 )"""
 
 ALL = [PARENTS, CHILDREN, TIMELINE, CONTEXT, FLAT, TL_PAYLOADS, CX_PAYLOADS, STATUS]
