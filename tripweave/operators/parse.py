@@ -115,6 +115,22 @@ def _evaluate_once(df: DataFrame, cols: list[Column]) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*cols))))
 
 
+def _audit_fields() -> list[Column]:
+    """P16/P17 inputs of the audit row, read while the variant is at hand.
+
+    source_time: first non-empty of transportEvent.startTime, [0].startTime,
+    startTime; source_ref: transportEvent.id, [0].id, id.
+    """
+    def g(path: str) -> Column:
+        return nonblank(F.try_variant_get(F.col("v"), path, "string"))
+
+    return [
+        format_ts(F.coalesce(g("$.transportEvent.startTime"), g("$[0].startTime"), g("$.startTime")))
+        .alias("src_time"),
+        F.coalesce(g("$.transportEvent.id"), g("$[0].id"), g("$.id")).alias("src_ref"),
+    ]
+
+
 def typed(parsed: DataFrame, families: tuple[str, ...] | None = None) -> DataFrame:
     """Add the typed payload column of each requested family.
 
@@ -126,7 +142,7 @@ def typed(parsed: DataFrame, families: tuple[str, ...] | None = None) -> DataFra
         for name, (types, build) in FAMILIES.items()
         if families is None or name in families
     ]
-    return _evaluate_once(parsed, cols)
+    return _evaluate_once(parsed, cols + _audit_fields())
 
 
 # ---------------------------------------------------------------------------
@@ -272,21 +288,16 @@ def accepted(resolved: DataFrame) -> DataFrame:
 def source_event(acc: DataFrame) -> DataFrame:
     """One audit row per processed payload.
 
-    source_time: first non-empty of transportEvent.startTime, [0].startTime,
-    startTime, else landing created_at (divergence D18).
-    source_event_ref: transportEvent.id, [0].id, id, else the landing id.
+    source_time falls back to the landing created_at (divergence D18);
+    source_event_ref falls back to the landing id.
     """
-    def g(path: str) -> Column:
-        return nonblank(F.try_variant_get(F.col("v"), path, "string"))
-
-    st = F.coalesce(g("$.transportEvent.startTime"), g("$[0].startTime"), g("$.startTime"))
     return acc.select(
         F.col("id").alias("source_event_id"),
         F.col("id").alias("landing_id"),
         F.col("tipo").alias("record_type"),
         "user_id",
-        F.coalesce(format_ts(st), F.col("created_at")).alias("source_time"),
-        F.coalesce(g("$.transportEvent.id"), g("$[0].id"), g("$.id"), F.col("id").cast("string")).alias("source_event_ref"),
+        F.coalesce(F.col("src_time"), F.col("created_at")).alias("source_time"),
+        F.coalesce(F.col("src_ref"), F.col("id").cast("string")).alias("source_event_ref"),
         "payload_hash",
         "created_at",
     )

@@ -691,7 +691,7 @@ GROUP BY p.id, p.canonical_id, p.is_provisional, p.k
 def lineage_tree(spark, sf_dir):
     """Insight -> trip + five child sets, nested; branch sizes reported."""
     from tripweave.operators.views import lineage_tree as tree
-    p = pipeline(spark, sf_dir)
+    p = pipeline(spark, sf_dir).materialized()
     kids = {kind: p.child(t) for t, kind in S.CHILD_KIND.items()}
     t = tree(p.insight_trip, p.trips(), kids)
     return t.select("insight_trip_id", "canonical_id", "trip_first_seen_from", "trip_writers",
@@ -754,7 +754,7 @@ def _recon_tables(p: Pipeline) -> dict[str, tuple[DataFrame, str]]:
 
 def _reconcile(spark, sf_dir) -> DataFrame:
     from tripweave.operators.quality import reconcile
-    p = pipeline(spark, sf_dir)
+    p = pipeline(spark, sf_dir).materialized()
     return reconcile(p.accepted, _recon_tables(p), p.trips())
 
 
@@ -848,7 +848,7 @@ GROUP BY tipo
 def enum_violations(spark, sf_dir):
     """Closed-enum checks reported per offending value."""
     from tripweave.operators.quality import enum_violations as check
-    p = pipeline(spark, sf_dir)
+    p = pipeline(spark, sf_dir).materialized()
     return check({
         "timeline_event": p.timeline_event, "trip": p.trips(), "insight_harsh": p.child(S.HARSH),
         "crash_event": p.crash_event, "context_segment": p.context_segment,
@@ -873,7 +873,7 @@ UNION ALL SELECT 'source_event.landing_id', (SELECT count(*) FROM st WHERE statu
 def fk_orphans(spark, sf_dir):
     """Documented foreign keys checked by anti joins (report, not enforce)."""
     from tripweave.operators.quality import fk_orphans as check
-    p = pipeline(spark, sf_dir)
+    p = pipeline(spark, sf_dir).materialized()
     it, se = p.insight_trip, p.source_event
     checks = [("insight_trip.trip_id", it, "trip_id", p.trips(), "trip_id")]
     for t, kind in S.CHILD_KIND.items():
@@ -1221,3 +1221,46 @@ def extract_since(spark, sf_dir):
     """Rows since a cutoff, newest first, id renamed to original_id."""
     from tripweave.sources.landing import extract_since as extract
     return extract(derive_landing(spark, sf_dir), EXTRACT_SINCE)
+
+
+# ---------------------------------------------------------------------------
+# Structured Streaming T1-T7: drain equals batch
+# ---------------------------------------------------------------------------
+
+
+def _drain(spark, sf_dir, dedup: bool = False):
+    import tempfile
+    import uuid
+
+    from tripweave.session import checkpoint_dir
+    from tripweave.streaming.stream import drain, stage_files
+    tune(spark)
+    base = checkpoint_dir(spark, fallback=lambda: tempfile.mkdtemp(prefix="tripweave-ckpt-"))
+    zone = f"{base}/tripweave-zone-{uuid.uuid4().hex}"
+    stage_files(derive_landing(spark, sf_dir), zone, n_files=8)
+    return drain(spark, zone, files_per_trigger=2, dedup=dedup)
+
+
+@query("stream_drain", O.sql("""
+SELECT tipo, status, count(*) AS n_rows, count(DISTINCT user_id) AS n_users FROM st GROUP BY tipo, status
+""", *O.ALL))
+def stream_drain(spark, sf_dir):
+    """availableNow drain in 4 micro-batches; equals the batch status."""
+    s = _drain(spark, sf_dir).status()
+    return s.groupBy("tipo", "status").agg(F.count("*").alias("n_rows"), F.countDistinct("user_id").alias("n_users"))
+
+
+@query("stream_trips", _trip_oracle(False))
+def stream_trips(spark, sf_dir):
+    """T4: incremental trip refold across micro-batches equals the batch fold."""
+    return _trip_select(_drain(spark, sf_dir).trips())
+
+
+@query("stream_dedup", O.sql("""
+SELECT tipo, CASE WHEN tipo = 'DrivingInsights' THEN count(DISTINCT id // 1000) ELSE count(*) END AS n_rows
+FROM st GROUP BY tipo
+""", *O.ALL))
+def stream_dedup(spark, sf_dir):
+    """Retried payloads (same user, type, hash) dropped across micro-batches."""
+    s = _drain(spark, sf_dir, dedup=True).status()
+    return s.groupBy("tipo").agg(F.count("*").alias("n_rows"))

@@ -17,10 +17,13 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+import tempfile
+
 from tripweave.operators import handlers as H
 from tripweave.operators import parse as P
 from tripweave.operators import trips as T
 from tripweave import schemas as S
+from tripweave.session import checkpoint_dir
 
 
 class Pipeline:
@@ -41,6 +44,21 @@ class Pipeline:
     def accepted(self) -> DataFrame:
         return P.accepted(self.resolved)
 
+    def materialized(self) -> "Pipeline":
+        """A pipeline over a checkpointed copy of the resolved stage.
+
+        For plans that read many output tables (reconciliation, FK checks,
+        lineage) the parse/classify/guard stage would otherwise be recomputed
+        once per table.  The copy goes to the cluster's shared checkpoint
+        folder (``spark.checkpoint.dir``); a local folder is installed only
+        when the session names none (tests).  The VARIANT column is dropped:
+        every consumer reads the typed columns.
+        """
+        spark = self.landing.sparkSession
+        checkpoint_dir(spark, fallback=lambda: tempfile.mkdtemp(prefix="tripweave-ckpt-"))
+        stage = self.resolved.drop("v").checkpoint(eager=True)
+        return _StoredPipeline(stage, self.landing)
+
     # -- audit / status -----------------------------------------------------
     @property
     def landing_status(self) -> DataFrame:
@@ -161,10 +179,6 @@ def write_all(landing: DataFrame, out_dir: str, mode: str = "overwrite") -> dict
     # the typed columns are plain structs, so the stage is ordinary Parquet
     resolved.write.mode(mode).option("compression", "zstd").partitionBy("tipo").parquet(stage)
     stored = spark.read.parquet(stage)
-    # handlers read ``v`` only for the audit row; re-parse there from text
-    from pyspark.sql import functions as F
-
-    stored = stored.withColumn("v", F.expr("try_parse_json(json)"))
     paths = {}
     pipe = _StoredPipeline(stored)
     for name, df in pipe.tables().items():
@@ -177,6 +191,6 @@ def write_all(landing: DataFrame, out_dir: str, mode: str = "overwrite") -> dict
 class _StoredPipeline(Pipeline):
     """A pipeline whose stage-1 result was read back from storage."""
 
-    def __init__(self, resolved: DataFrame):
-        super().__init__(resolved)
+    def __init__(self, resolved: DataFrame, landing: DataFrame | None = None):
+        super().__init__(landing if landing is not None else resolved)
         self.__dict__["resolved"] = resolved

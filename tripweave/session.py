@@ -39,16 +39,18 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tripw
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TRIPWEAVE_DRIVER_MEM", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+def checkpoint_dir(spark: SparkSession, fallback=None) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Only when the session has none (tests) is ``fallback`` installed.
+    Only when the session has none (tests) is ``fallback`` installed; it may
+    be a path or a zero-argument callable returning one.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -57,6 +59,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if not current:
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set on this session")
+        if callable(fallback):
+            fallback = fallback()
         spark.conf.set("spark.checkpoint.dir", fallback)
         spark.sparkContext.setCheckpointDir(fallback)
         current = fallback
