@@ -1214,7 +1214,7 @@ def incremental_landing(spark, sf_dir):
 
 
 @query("extract_since", O.sql(f"""
-SELECT id AS original_id, user_id AS sentianceid, tipo, created_at, app_version
+SELECT id AS original_id, user_id AS source_user_id, tipo, created_at, app_version
 FROM st WHERE created_at >= TIMESTAMP '{EXTRACT_SINCE}'
 """, *O.ALL))
 def extract_since(spark, sf_dir):

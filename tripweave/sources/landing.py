@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 
 from tripweave import schemas as S
 
-# Bulk document shape: an array of objects with ``original_id`` and ``sentianceid``
-DOCUMENT_DDL = ("original_id BIGINT, sentianceid STRING, json STRING, tipo STRING, created_at STRING, "
-                "app_version STRING")
-# Small tagged fixture: rows for several tables, the landing ones have table='SentianceEventos'
-TAGGED_DDL = "table STRING, id BIGINT, sentianceid STRING, json STRING, tipo STRING"
-LANDING_TABLE_TAG = "SentianceEventos"
+# Bulk document shape: an array of objects with ``original_id``, a user-id
+# field (its name is an argument, ``user_field``), the payload text and type.
+def _document_ddl(user_field: str) -> str:
+    return (f"original_id BIGINT, {user_field} STRING, json STRING, tipo STRING, created_at STRING, "
+            "app_version STRING")
+
+
+# Small tagged fixture: rows for several tables; the landing ones carry the
+# landing table's name in ``table`` (an argument, ``landing_tag``).
+def _tagged_ddl(user_field: str) -> str:
+    return f"table STRING, id BIGINT, {user_field} STRING, json STRING, tipo STRING"
 
 
 def pending_queue(landing: DataFrame, status: DataFrame | None = None, limit: int | None = None) -> DataFrame:
@@ -34,20 +39,22 @@ def pending_queue(landing: DataFrame, status: DataFrame | None = None, limit: in
     return q.orderBy("id").limit(limit) if limit else q
 
 
-def read_json_documents(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+def read_json_documents(spark: SparkSession, path: str, limit: int | None = None,
+                        user_field: str = "user_id") -> DataFrame:
     """JSON-array documents, plain or ``.gz`` (decompressed by extension)."""
-    df = spark.read.option("multiLine", True).schema(DOCUMENT_DDL).json(path)
+    df = spark.read.option("multiLine", True).schema(_document_ddl(user_field)).json(path)
     df = df.select(
-        F.col("original_id").alias("id"), F.col("sentianceid").alias("user_id"), "tipo", "json",
+        F.col("original_id").alias("id"), F.col(user_field).alias("user_id"), "tipo", "json",
         F.col("created_at").try_cast("timestamp_ntz").alias("created_at"), "app_version")
     return df.limit(limit) if limit else df
 
 
-def read_tagged_fixture(spark: SparkSession, path: str) -> DataFrame:
+def read_tagged_fixture(spark: SparkSession, path: str, landing_tag: str = "landing",
+                        user_field: str = "user_id") -> DataFrame:
     """S3: keep rows tagged for the landing table; missing user -> 'unknown'."""
-    df = spark.read.option("multiLine", True).schema(TAGGED_DDL).json(path)
-    return df.filter(F.col("table") == LANDING_TABLE_TAG).select(
-        "id", F.coalesce("sentianceid", F.lit("unknown")).alias("user_id"), "tipo", "json",
+    df = spark.read.option("multiLine", True).schema(_tagged_ddl(user_field)).json(path)
+    return df.filter(F.col("table") == landing_tag).select(
+        "id", F.coalesce(user_field, F.lit("unknown")).alias("user_id"), "tipo", "json",
         F.lit(None).cast("timestamp_ntz").alias("created_at"), F.lit(None).cast("string").alias("app_version"))
 
 
@@ -67,7 +74,7 @@ def insert_if_absent_counts(new: DataFrame, existing: DataFrame, key: str = "id"
 def extract_since(landing: DataFrame, since: str) -> DataFrame:
     """Rows created since ``since`` (an argument, not now()), newest first."""
     return landing.filter(F.col("created_at") >= F.lit(since).cast("timestamp_ntz")).select(
-        F.col("id").alias("original_id"), F.col("user_id").alias("sentianceid"), "tipo", "created_at",
+        F.col("id").alias("original_id"), F.col("user_id").alias("source_user_id"), "tipo", "created_at",
         "app_version").orderBy(F.desc("created_at"))
 
 

@@ -13,15 +13,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame) -> DataFrame:
+def _spread(df: DataFrame) -> DataFrame:
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+               spread: bool = True) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     if columns:
         df = df.select(*columns)
-    return spread(df)
+    return _spread(df) if spread else df
