@@ -131,6 +131,18 @@ def _audit_fields() -> list[Column]:
     ]
 
 
+# Only what the parent guard needs from a driving-insights payload: its key
+# and the fields whose narrowing can fail the row (no waypoints, no tags).
+_INSIGHT_KEY = (f"struct<transportEvent:struct<id:string,distance:double,durationInSeconds:double>,"
+                f"safetyScores:{S.SAFETY_SCORES}>")
+
+
+def parent_source(parsed: DataFrame) -> DataFrame:
+    """Driving-insights rows with the narrow struct the guard needs."""
+    di = parsed.filter(F.col("tipo") == S.DRIVING_INSIGHTS)
+    return classify(_evaluate_once(di, [F.when(~F.col("malformed"), _get("$", _INSIGHT_KEY)).alias("p_insight")]))
+
+
 def typed(parsed: DataFrame, families: tuple[str, ...] | None = None) -> DataFrame:
     """Add the typed payload column of each requested family.
 
@@ -226,11 +238,16 @@ def parent_keys(classified: DataFrame) -> DataFrame:
     )
 
 
-def guard(classified: DataFrame) -> DataFrame:
-    """Child rows + ``insight_trip_id`` of their parent (NULL = orphan)."""
+def guard(classified: DataFrame, parents: DataFrame | None = None) -> DataFrame:
+    """Child rows + ``insight_trip_id`` of their parent (NULL = orphan).
+
+    ``parents`` is a classified frame holding the driving-insights rows
+    (``parent_source``); by default the parents come from ``classified``.
+    """
     children = classified.filter(F.col("tipo").isin(*S.CHILD_TYPES)).withColumn(
         "canonical_id", nonblank(F.col("p_child.transportId")))
-    return children.join(parent_keys(classified), ["user_id", "canonical_id"], "left")
+    keys = parent_keys(classified if parents is None else parents)
+    return children.join(keys, ["user_id", "canonical_id"], "left")
 
 
 def status_column(df: DataFrame) -> Column:
@@ -245,14 +262,14 @@ def status_column(df: DataFrame) -> Column:
     )
 
 
-def resolve(classified: DataFrame) -> DataFrame:
+def resolve(classified: DataFrame, parents: DataFrame | None = None) -> DataFrame:
     """Every landing row with its final ``status`` and ``insight_trip_id``.
 
     Non-child rows never enter the guard join.
     """
     others = classified.filter(~F.col("tipo").isin(*S.CHILD_TYPES) | F.col("tipo").isNull()).select(
         "*", F.lit(None).cast("string").alias("canonical_id"), F.lit(None).cast("bigint").alias("insight_trip_id"))
-    children = guard(classified).select(*others.columns)
+    children = guard(classified, parents).select(*others.columns)
     both = others.unionByName(children)
     status = status_column(both)
     detail = (

@@ -8,7 +8,7 @@ against the trip table.  Violations are reported, never rejected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave import schemas as S
@@ -71,13 +71,14 @@ def reconcile(acc: DataFrame, tables: dict[str, tuple[DataFrame, str]], trips: D
 def reconcile_summary(rows: DataFrame) -> DataFrame:
     """PASS/FAIL totals per type with a basis-point share of all rows.
 
-    The grand total is a one-row aggregate cross-joined back (broadcast of a
-    single row), not a window over everything.
+    The grand total is a sum over the already aggregated (type, status)
+    rows - a handful of rows - so the unpartitioned window never sees the
+    input rows.
     """
-    total = rows.agg(F.count("*").alias("_total"))
     per = rows.groupBy("tipo", "status").agg(F.count("*").alias("n_rows"))
-    return per.crossJoin(F.broadcast(total)).select(
-        "tipo", "status", "n_rows", F.floor(F.col("n_rows") * 10000 / F.col("_total")).cast("bigint").alias("share_bp"))
+    total = F.sum("n_rows").over(Window.partitionBy())
+    return per.select("tipo", "status", "n_rows",
+                      F.floor(F.col("n_rows") * 10000 / total).cast("bigint").alias("share_bp"))
 
 
 def payload_leaves(acc: DataFrame, obj_path: str, prefix: str) -> DataFrame:
@@ -151,16 +152,18 @@ def enum_violations(tables: dict[str, DataFrame]) -> DataFrame:
 def fk_orphans(checks: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """Per foreign key, child rows and rows whose key has no parent.
 
-    Each check is one left-anti join of the child key column against the
-    distinct parent keys; NULL keys are not orphans (nullable FKs).
+    Each check is one left join of the child key column against the
+    distinct parent keys followed by one aggregate; NULL keys are not
+    orphans (nullable FKs).
     """
     parts = []
     for name, child, ck, parent, pk in checks:
-        keys = parent.select(F.col(pk).alias("_k")).distinct()
-        n = child.select(F.count("*").alias("n_rows"))
-        orph = child.filter(F.col(ck).isNotNull()).join(keys, F.col(ck) == F.col("_k"), "left_anti") \
-            .select(F.count("*").alias("n_orphans"))
-        parts.append(n.crossJoin(orph).select(F.lit(name).alias("fk_name"), "n_rows", "n_orphans"))
+        keys = parent.select(F.col(pk).alias("_k"), F.lit(True).alias("_found")).distinct()
+        j = child.select(F.col(ck).alias("_ck")).join(keys, F.col("_ck") == F.col("_k"), "left")
+        parts.append(j.agg(
+            F.count("*").alias("n_rows"),
+            F.sum((F.col("_ck").isNotNull() & F.col("_found").isNull()).cast("int")).cast("bigint").alias("n_orphans"),
+        ).select(F.lit(name).alias("fk_name"), "n_rows", F.coalesce("n_orphans", F.lit(0)).alias("n_orphans")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -38,7 +38,8 @@ class Pipeline:
 
     @cached_property
     def resolved(self) -> DataFrame:
-        return P.resolve(self.classified)
+        # the guard's parent side re-reads only the narrow insight fields
+        return P.resolve(self.classified, P.parent_source(P.parse(self.landing)))
 
     @cached_property
     def accepted(self) -> DataFrame:
