@@ -385,7 +385,11 @@ FLAT_KIND = (S.CRASH, S.STATUS, S.METADATA, S.ACTIVITY, S.TECHNICAL, "DebugLog")
 
 def flat_payloads(events: DataFrame) -> DataFrame:
     eid, uid, et, val = F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("value")
-    kind = F.element_at(F.array(*[F.lit(x) for x in FLAT_KIND]), (eid % 6 + 1).cast("int"))
+    # CASE over literals (not an array lookup) so that a filter on ``tipo``
+    # folds at plan time and prunes this branch when no flat type is needed
+    kind = F.when(eid % 6 == 0, FLAT_KIND[0])
+    for i, k in enumerate(FLAT_KIND[1:], start=1):
+        kind = kind.when(eid % 6 == i, k)
     loc = F.struct((F.lit(50.0) + uid / F.lit(10000.0)).alias("latitude"),
                    (F.lit(4.0) + (eid % 1000) / F.lit(1000.0)).alias("longitude"),
                    F.lit(10.0).alias("accuracy"), val.alias("altitude"))
