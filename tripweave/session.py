@@ -52,16 +52,16 @@ def checkpoint_dir(spark: SparkSession, fallback=None) -> str:
     Only when the session has none (tests) is ``fallback`` installed; it may
     be a path or a zero-argument callable returning one.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        sc_dir = spark.sparkContext.getCheckpointDir()
-        current = sc_dir
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set on this session")
-        if callable(fallback):
-            fallback = fallback()
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        spark.sparkContext.setCheckpointDir(fallback)
-        current = fallback
+        current = fallback() if callable(fallback) else fallback
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # core confs may be read-only at run time
+            pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
