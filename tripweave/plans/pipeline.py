@@ -17,8 +17,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-import tempfile
-
 from tripweave.operators import handlers as H
 from tripweave.operators import parse as P
 from tripweave.operators import trips as T
@@ -56,7 +54,7 @@ class Pipeline:
         every consumer reads the typed columns.
         """
         spark = self.landing.sparkSession
-        checkpoint_dir(spark, fallback=lambda: tempfile.mkdtemp(prefix="tripweave-ckpt-"))
+        checkpoint_dir(spark)
         stage = self.resolved.drop("v").checkpoint(eager=True)
         return _StoredPipeline(stage, self.landing)
 

@@ -9,8 +9,10 @@ cluster's shared checkpoint location instead of inventing a local one.
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime options every plan here relies on.
 RUNTIME_CONF = {
@@ -47,21 +49,35 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tripw
 
 
 def checkpoint_dir(spark: SparkSession, fallback=None) -> str:
-    """The shared checkpoint folder named by the cluster.
+    """The shared folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (tests) is ``fallback`` installed; it may
-    be a path or a zero-argument callable returning one.
+    Where the session names none, ``fallback`` (a path or a callable giving
+    one) is installed; without it a temporary folder is made only for a
+    single-machine ``local[..]`` session (tests, smoke runs), where the driver
+    and the tasks are one process.  On a cluster the missing setting is an
+    error: a machine-local folder would not be seen by other executors.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        if fallback is None:
+        if fallback is not None:
+            current = fallback() if callable(fallback) else fallback
+        elif sc.master.split("[")[0] == "local":
+            current = tempfile.mkdtemp(prefix="tripweave-")
+        else:
             raise RuntimeError("spark.checkpoint.dir is not set on this session")
-        current = fallback() if callable(fallback) else fallback
-        try:
-            spark.conf.set("spark.checkpoint.dir", current)
-        except Exception:  # core confs may be read-only at run time
-            pass
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back.
+
+    Cuts lineage: a lost executor repeats only the stage that reads the copy.
+    Every call takes a folder of its own.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
