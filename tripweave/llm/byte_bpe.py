@@ -92,9 +92,8 @@ class Codec:
         import sentencepiece
 
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
-        letters = byte_map()
-        self.to_letters = {b: letters[b] for b in range(256)}
-        back = {c: b for b, c in letters.items()}
+        self.to_letters = byte_map()
+        back = {c: b for b, c in self.to_letters.items()}
         n = self.pieces.get_piece_size() - 1
         self.token_bytes = [bytes(map(back.__getitem__, self.pieces.id_to_piece(i))) for i in range(n)]
         self.whole = {t: i for i, t in enumerate(self.token_bytes)}

@@ -28,9 +28,11 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tripweave.llm.common import slices, table, texts_of
+from tripweave.llm.byte_bpe import byte_map
+from tripweave.llm.common import SLICE_BYTES, slices, table
 from tripweave.session import stored
 
 VOCABULARY = "word_bpe_49k.json"
@@ -40,17 +42,18 @@ SLACK = 4
 #: Partitions that meet in one partition of the next round, and items that a task packs at most.
 FAN_IN, ITEMS = 16, 200_000
 #: Words that a worker remembers, in each of two tables; beyond, it starts anew.
-CACHE = 500_000
+CACHE = 700_000
 
-_PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class WordIds:
-    """Token ids (little-endian unsigned 32-bit bytes) of texts, word by word.
+    """Token ids (little-endian unsigned 32-bit) of texts, word by word.
 
     The vocabulary's own splitting drops white space and never joins across it,
     so a text's ids are those of its words in order.  A word's trailing ASCII
-    punctuation (no apostrophe) is likewise a split of its own.
+    punctuation (no apostrophe) is likewise a split of its own, and what is left
+    mostly is one run of Latin letters, which goes to the merge model at once.
     """
 
     def __init__(self, path: str):
@@ -58,35 +61,48 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
-
-    def _learn(self, words: set[bytes]) -> None:
-        cut = {w: (w[:n], w[n:]) for w in words if 0 < (n := len(w.rstrip(_PUNCTUATION))) < len(w)}
-        need = {w for w in words if w not in cut} | {x for pair in cut.values() for x in pair}
-        lower = {x: x.lower() for x in need}  # ASCII letters only; the vocabulary is lower case
-        new = [x for x in set(lower.values()) if x not in self.parts]
-        if len(self.parts) + len(new) > CACHE:
-            self.parts.clear()
-            new = list(set(lower.values()))
-        got = self.tokenizer.encode_batch([x.decode() for x in new], add_special_tokens=False)
-        self.parts.update((x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(new, got))
-        part = self.parts
-        for w in words:
-            a, b = cut.get(w, (w, b""))
-            self.words[w] = part[lower[a]] + (part[lower[b]] if b else b"")
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        known = self.words
-        new = {w for x in split for w in x if w not in known}
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = {w for x in split for w in x}
-        if new:
-            self._learn(new)
-        ids = known.__getitem__
-        return [b"".join(map(ids, x)) for x in split]
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _part_ids(self, part: str) -> bytes:
+        low = part.lower()
+        if low.isalpha() and max(low) < "\u0250":  # one lower-case run, composed already: no splitting, no normalising
+            mapped = low.encode().decode("latin-1").translate(byte_map())
+            return np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
+        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word_ids(self, word: str) -> bytes:
+        stem = word.rstrip(_PUNCTUATION)
+        out = b""
+        for part in (stem, word[len(stem):]) if stem else (word,):
+            if part:
+                key = part.lower() if part.isascii() else part
+                if (ids := self.parts.get(key)) is None:
+                    ids = self.parts[key] = self._part_ids(key)
+                out += ids
+        return out
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text; null is empty.  Words are numbered by Arrow, so each is looked up once a call."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+        coded = split.flatten().dictionary_encode()
+        for memory in (self.words, self.parts):
+            if len(memory) + len(coded.dictionary) > CACHE:
+                memory.clear()
+        known, ids = self.words, []
+        for w in coded.dictionary.to_pylist():
+            if (x := known.get(w)) is None:
+                x = known[w] = self._word_ids(w)
+            ids.append(x)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        words = coded.indices.to_numpy()
+        each = sizes[words] if len(words) else np.zeros(0, np.int64)
+        ends = np.concatenate([[0], np.cumsum(each)])
+        first = (np.cumsum(sizes) - sizes)[words] if len(words) else each
+        data = flat[np.repeat(first - ends[:-1], each) + np.arange(ends[-1])].tobytes()
+        at = 4 * ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
 @lru_cache(2)
@@ -109,8 +125,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
     def run(batches):
         coder = _word_ids(path)
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids = [x + b"\0\0\0\0" for x in coder.encode(texts_of(part, "text"))]
+            for part in slices(batch, "text", 4 * SLICE_BYTES):
+                ids = [x + b"\0\0\0\0" for x in coder.encode(part.column("text"))]
                 rows = [(d, i, x[a : a + wide]) for d, x in zip(part.column("doc_id").to_pylist(), ids)
                         for i, a in enumerate(range(0, len(x), wide))]
                 yield pa.RecordBatch.from_arrays([
