@@ -21,6 +21,7 @@ sees one and the same packing.
 from __future__ import annotations
 
 import math
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -68,8 +69,10 @@ class WordIds:
         low = part.lower()
         if low.isalpha() and max(low) < "\u0250":  # one lower-case run, composed already: no splitting, no normalising
             mapped = low.encode().decode("latin-1").translate(byte_map())
-            return np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
-        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = [t.id for t in self.tokenizer.model.tokenize(mapped)]
+        else:
+            ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word_ids(self, word: str) -> bytes:
         stem = word.rstrip(_PUNCTUATION)

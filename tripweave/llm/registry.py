@@ -5,9 +5,11 @@ from __future__ import annotations
 from tripweave.llm.byte_bpe import op4_byte_bpe
 from tripweave.llm.packing import op10_best_fit_packing
 from tripweave.llm.pseudonyms import op5_pseudonyms
+from tripweave.llm.rabitq import op7_rotated_codes
 from tripweave.llm.secret_scan import op2_secret_scan
+from tripweave.llm.topk import op1_topk_search
 
-QUERIES = (op2_secret_scan, op4_byte_bpe, op5_pseudonyms, op10_best_fit_packing)
+QUERIES = (op1_topk_search, op2_secret_scan, op4_byte_bpe, op5_pseudonyms, op7_rotated_codes, op10_best_fit_packing)
 #: None of these results can be stated in SQL over the whole tables; tests/llm holds them against brute force.
 ORACLES: dict[str, str] = {}
 
