@@ -90,3 +90,29 @@ def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     begins = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
     return data, starts, ends, np.searchsorted(begins, starts, "right") - 1
 
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with equal ``keys`` (integers) of a sorted stream, over the bounds of its batches."""
+    tail: list[pa.RecordBatch] = []
+
+    def whole(parts):
+        return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        if tail and any(tail[-1].column(k)[-1].as_py() != c[0] for k, c in zip(keys, columns)):
+            yield whole(tail)
+            tail = []
+        for a, b in zip(cuts[:-2], cuts[1:-1]):
+            yield whole([*tail, batch.slice(a, b - a)])
+            tail = []
+        tail.append(batch.slice(cuts[-2], cuts[-1] - cuts[-2]))
+    if tail:
+        yield whole(tail)
