@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tripweave.llm.common import _powers, groups, mixed, slices, span_hashes, table, texts_of, word_spans
 from tripweave.session import stored
 
-WINDOW, GRAM = 13, 3
+WINDOW, GRAM = 13, 4
 #: Blocks whose grams or passages make one shard; shards at least.
 BLOCKS_A_SHARD, SHARDS = 8, 12
 _LAST = np.iinfo(np.int64).max
@@ -82,7 +82,9 @@ class Windows:
         if n < WINDOW:
             return
         w = self.words
-        gram = mixed(w[: n - 2] + np.uint64(3) * mixed(w[1 : n - 1]) + np.uint64(7) * mixed(mixed(w[2:])))
+        gram = w[: n - GRAM + 1]
+        for i in range(1, GRAM):
+            gram = mixed(gram * np.uint64(3) + w[i : n - GRAM + 1 + i])
         # smallest gram of WINDOW - GRAM + 1 in a row: 34 bits of hash, then place
         key = (gram & ~_PLACE) | np.arange(len(gram), dtype=np.uint64)
         span = WINDOW - GRAM + 1
@@ -244,15 +246,15 @@ def _judged(mail: DataFrame) -> DataFrame:
             count = n - WINDOW + 1
             owner = np.repeat(np.arange(len(n)), count)
             offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            length, lo, hi = index.statistics(stream, lay[owner] + offset + WINDOW, WINDOW)
+            length, lo, hi = index.statistics(stream, lay[owner] + offset + WINDOW, WINDOW, alone=True)
             passage = np.repeat(np.arange(len(n)), n + 1)[index.suffixes]  # of each suffix
-            # ranges of equally long matches are equal or apart
-            ranges, which = np.unique(lo, return_inverse=True)
-            top = np.zeros(len(ranges), np.int64)
-            top[which] = hi
-            edges = np.stack([ranges, top], axis=1).ravel()
-            smallest = np.minimum.reduceat(np.append(least[passage], _LAST), edges)[::2][which]
-            smallest[length < WINDOW] = _LAST  # below the threshold
+            # a range of one suffix is the window itself; other ranges of equally long matches are equal or apart
+            smallest = np.where(hi - lo == 1, least[owner], _LAST)
+            full = np.flatnonzero((hi - lo > 1) & (length == WINDOW))  # at the threshold
+            if len(full):
+                ranges, at_, which = np.unique(lo[full], return_index=True, return_inverse=True)
+                edges = np.stack([ranges, hi[full][at_]], axis=1).ravel()
+                smallest[full] = np.minimum.reduceat(np.append(least[passage], _LAST), edges)[::2][which]
             first = np.cumsum(count) - count
             cuts = np.cumsum([0, *(len(x[0]) for x in sent)])
             for block, a, b in zip(blocks, cuts, cuts[1:]):
