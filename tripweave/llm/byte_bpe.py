@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tripweave.llm.common import slices, table
+from tripweave.llm.common import slices, table, worker_memory
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pre-tokens that a worker remembers; beyond, it starts anew.
@@ -129,9 +129,8 @@ class Codec:
         return [b"".join(map(piece, np.frombuffer(x or b"", "<u4").tolist())) for x in ids]
 
 
-@lru_cache(2)
 def _codec(model: bytes, pattern: str) -> Codec:
-    return Codec(model, pattern)
+    return worker_memory((model, pattern), lambda: Codec(model, pattern))
 
 
 def _model(path: str | None) -> bytes:

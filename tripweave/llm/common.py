@@ -11,7 +11,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a task turns into numpy arrays at one time.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+
+_MEMORY: dict = {}
+
+
+def worker_memory(owner, make=dict):
+    """What a Python worker remembers between tasks, made on first use.
+
+    Workers are reused: the memory of one owner takes the place of any other's.
+    """
+    if owner not in _MEMORY:
+        _MEMORY.clear()
+        _MEMORY[owner] = make()
+    return _MEMORY[owner]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,24 +62,24 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse, modulo 2^64."""
-    if "up" not in _POWERS or len(_POWERS["up"]) < n:
+    known = worker_memory("powers")
+    if "up" not in known or len(known["up"]) < n:
         m = max(n, 1 << 16)
         inverse = pow(_BASE, -1, 1 << 64)
         for key, base in (("up", _BASE), ("down", inverse)):
             p = np.full(m, base, np.uint64)
             p[0] = 1
-            _POWERS[key] = np.multiply.accumulate(p)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+            known[key] = np.multiply.accumulate(p)
+    return known["up"][:n], known["down"][:n]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte ranges [start, end) of ``data``: equal bytes, equal hash, wherever they lie."""
-    up, down = _powers(len(data) + 1)
+    up, down = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
     h = (total[ends] - total[starts]) * down[starts]

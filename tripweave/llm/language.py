@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tripweave.llm.common import free_name, slices, table, texts_of
+from tripweave.llm.common import free_name, slices, table, texts_of, worker_memory
 from tripweave.session import stored
 
 BINS = 1 << 14
@@ -77,6 +77,7 @@ def _evidence(df: DataFrame, text: str, grams: np.ndarray, out: str) -> DataFram
     columns = df.columns
 
     def run(batches):
+        worker_memory("language")
         for batch in batches:
             for part in slices(batch, text):
                 bins, owner = trigrams(texts_of(_lower(part, text), "t"))
@@ -106,6 +107,7 @@ def fit(df: DataFrame, text: str = "text", declared: str = "lang", host: str | N
     place = {x: i for i, x in enumerate(languages)}
 
     def count(batches):
+        worker_memory("language")
         held = np.zeros((len(languages), BINS), np.int64)
         for batch in batches:
             for part in slices(batch, "text"):

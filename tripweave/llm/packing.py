@@ -24,7 +24,6 @@ import math
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -33,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tripweave.llm.byte_bpe import byte_map
-from tripweave.llm.common import SLICE_BYTES, slices, table
+from tripweave.llm.common import SLICE_BYTES, slices, table, worker_memory
 from tripweave.session import stored
 
 VOCABULARY = "word_bpe_49k.json"
@@ -42,8 +41,8 @@ CAPACITY = 2048
 SLACK = 4
 #: Partitions that meet in one partition of the next round, and items that a task packs at most.
 FAN_IN, ITEMS = 16, 200_000
-#: Words that a worker remembers, in each of two tables; beyond, it starts anew.
-CACHE = 700_000
+#: Words, and parts of words, that a worker remembers; beyond, it starts anew.
+WORDS, PARTS = 250_000, 700_000
 
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -89,8 +88,8 @@ class WordIds:
         """Ids of each text; null is empty.  Words are numbered by Arrow, so each is looked up once a call."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
         coded = split.flatten().dictionary_encode()
-        for memory in (self.words, self.parts):
-            if len(memory) + len(coded.dictionary) > CACHE:
+        for memory, most in ((self.words, WORDS), (self.parts, PARTS)):
+            if len(memory) + len(coded.dictionary) > most:
                 memory.clear()
         known, ids = self.words, []
         for w in coded.dictionary.to_pylist():
@@ -108,9 +107,8 @@ class WordIds:
         return [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
-@lru_cache(2)
 def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
+    return worker_memory(path, lambda: WordIds(path))
 
 
 PIECES = T.StructType([

@@ -39,12 +39,12 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tripweave.llm.common import _powers, groups, mixed, slices, span_hashes, table, texts_of, word_spans
+from tripweave.llm.common import groups, mixed, powers, slices, span_hashes, table, texts_of, word_spans
 from tripweave.session import stored
 
 WINDOW, GRAM = 13, 4
-#: Blocks whose grams or passages make one shard; shards at least.
-BLOCKS_A_SHARD, SHARDS = 8, 12
+#: Blocks (of ``SLICE_BYTES``) whose grams or passages make one shard; shards at least.
+BLOCKS_A_SHARD, SHARDS = 12, 12
 _LAST = np.iinfo(np.int64).max
 _PLACE = np.uint64((1 << 30) - 1)
 
@@ -98,7 +98,7 @@ class Windows:
         self.chosen = (least[inside] & _PLACE).astype(np.int64)
         self.grams = gram[self.chosen]
         total = np.zeros(n + 1, np.uint64)
-        up, self.down = _powers(n + 1)
+        up, self.down = powers(n + 1)
         np.cumsum((w + np.uint64(1)) * up[:n], out=total[1:])
         self.total = total
 
