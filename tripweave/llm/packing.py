@@ -42,7 +42,7 @@ SLACK = 4
 #: Partitions that meet in one partition of the next round, and items that a task packs at most.
 FAN_IN, ITEMS = 16, 200_000
 #: Words, and parts of words, that a worker remembers; beyond, it starts anew.
-WORDS, PARTS = 250_000, 700_000
+WORDS, PARTS = 500_000, 700_000
 
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -126,7 +126,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
     def run(batches):
         coder = _word_ids(path)
         for batch in batches:
-            for part in slices(batch, "text", 4 * SLICE_BYTES):
+            for part in slices(batch, "text", 8 * SLICE_BYTES):
                 ids = [x + b"\0\0\0\0" for x in coder.encode(part.column("text"))]
                 rows = [(d, i, x[a : a + wide]) for d, x in zip(part.column("doc_id").to_pylist(), ids)
                         for i, a in enumerate(range(0, len(x), wide))]
