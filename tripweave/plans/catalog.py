@@ -8,6 +8,7 @@ Computed columns carry the same alias on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 from tripweave import schemas as S
 from tripweave.plans import oracle as O
 from tripweave.plans.pipeline import Pipeline
-from tripweave.session import tune
-from tripweave.sources.fixtures import derive_landing
+from tripweave.session import checkpoint_dir, tune
+from tripweave.sources import fixtures
+from tripweave.sources.landing import read_landing, write_landing
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -30,6 +32,20 @@ def query(name: str, oracle: str | None):
     return deco
 
 
+#: Landing written by this application, by input folder.
+_LANDINGS: dict[tuple[str, str], str] = {}
+
+
+def derive_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing queue of ``sf_dir``: derived once an application into the shared folder, then read from there."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDINGS:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/landing/{uuid.uuid4().hex}"
+        write_landing(fixtures.derive_landing(spark, sf_dir), path)
+        _LANDINGS[key] = path
+    return read_landing(spark, _LANDINGS[key])
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
     tune(spark)
     return Pipeline(derive_landing(spark, sf_dir))
@@ -1086,7 +1102,8 @@ FROM p WHERE NOT failed AND NOT is_provisional GROUP BY 1, 2
 def mart_role(spark, sf_dir):
     """M3 Conduccion."""
     from tripweave.operators.marts import role_mart
-    return role_mart(pipeline(spark, sf_dir).trips()).select("usuario", "viaje", "ocupante", "registro")
+    p = pipeline(spark, sf_dir)
+    return role_mart(p.trips(), p.insight_trip).select("usuario", "viaje", "ocupante", "registro")
 
 
 def _events_counts(df: DataFrame) -> DataFrame:
@@ -1218,9 +1235,9 @@ SELECT id AS original_id, user_id AS source_user_id, tipo, created_at, app_versi
 FROM st WHERE created_at >= TIMESTAMP '{EXTRACT_SINCE}'
 """, *O.ALL))
 def extract_since(spark, sf_dir):
-    """Rows since a cutoff, newest first, id renamed to original_id."""
+    """Rows since a cutoff, newest first, id renamed to original_id (the oracle never sees JSON text)."""
     from tripweave.sources.landing import extract_since as extract
-    return extract(derive_landing(spark, sf_dir), EXTRACT_SINCE)
+    return extract(derive_landing(spark, sf_dir), EXTRACT_SINCE).drop("json")
 
 
 # ---------------------------------------------------------------------------
@@ -1229,13 +1246,9 @@ def extract_since(spark, sf_dir):
 
 
 def _drain(spark, sf_dir, dedup: bool = False):
-    import tempfile
-    import uuid
-
-    from tripweave.session import checkpoint_dir
     from tripweave.streaming.stream import drain, stage_files
     tune(spark)
-    base = checkpoint_dir(spark, fallback=lambda: tempfile.mkdtemp(prefix="tripweave-ckpt-"))
+    base = checkpoint_dir(spark)
     zone = f"{base}/tripweave-zone-{uuid.uuid4().hex}"
     stage_files(derive_landing(spark, sf_dir), zone, n_files=8)
     return drain(spark, zone, files_per_trigger=2, dedup=dedup)

@@ -42,8 +42,8 @@ FLAT_BASE = 3 * 10**12
 _EXPLICIT_NULLS = {"ignoreNullFields": "false"}
 
 
-def _tables(spark: SparkSession, sf_dir: str, *names: str, spread: bool = True) -> list[DataFrame]:
-    return [read_table(spark, sf_dir, n, spread=spread) for n in names]
+def _tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    return [read_table(spark, sf_dir, n) for n in names]
 
 
 def _plus_seconds(ts: Column, secs: Column) -> Column:
@@ -455,15 +455,12 @@ def flat_payloads(events: DataFrame) -> DataFrame:
 
 def derive_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole landing queue derived from ``sf_dir`` (all rules)."""
-    # inputs whose per-row work runs before any shuffle are spread over the
-    # cores; the grouped event payloads shuffle right after the scan anyway
     orders, lineitem, events = _tables(spark, sf_dir, "orders", "lineitem", "events")
-    (grouped_events,) = _tables(spark, sf_dir, "events", spread=False)
     return (
         parent_payloads(orders)
         .unionByName(child_payloads(lineitem, orders))
-        .unionByName(timeline_payloads(grouped_events))
-        .unionByName(context_payloads(grouped_events))
+        .unionByName(timeline_payloads(events))
+        .unionByName(context_payloads(events))
         .unionByName(flat_payloads(events))
     )
 
@@ -477,6 +474,5 @@ def derive_insights_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def derive_events_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the events-derived part (timeline, context, flat types)."""
     (events,) = _tables(spark, sf_dir, "events")
-    (grouped_events,) = _tables(spark, sf_dir, "events", spread=False)
-    return (timeline_payloads(grouped_events).unionByName(context_payloads(grouped_events))
+    return (timeline_payloads(events).unionByName(context_payloads(events))
             .unionByName(flat_payloads(events)))

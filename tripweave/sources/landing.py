@@ -74,7 +74,7 @@ def insert_if_absent_counts(new: DataFrame, existing: DataFrame, key: str = "id"
 def extract_since(landing: DataFrame, since: str) -> DataFrame:
     """Rows created since ``since`` (an argument, not now()), newest first."""
     return landing.filter(F.col("created_at") >= F.lit(since).cast("timestamp_ntz")).select(
-        F.col("id").alias("original_id"), F.col("user_id").alias("source_user_id"), "tipo", "created_at",
+        F.col("id").alias("original_id"), F.col("user_id").alias("source_user_id"), "tipo", "json", "created_at",
         "app_version").orderBy(F.desc("created_at"))
 
 
@@ -103,13 +103,8 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Idempotent per-partition replace (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def reload(df: DataFrame, path: str) -> None:
@@ -118,5 +113,13 @@ def reload(df: DataFrame, path: str) -> None:
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Landing stored as Parquet with the engine schema."""
-    return spark.read.schema(S.LANDING).parquet(path)
+    """Landing stored as Parquet (partitioned by ``tipo``) with the engine schema and column order."""
+    return spark.read.schema(S.LANDING).parquet(path).select(*S.LANDING.names)
+
+
+def write_landing(landing: DataFrame, path: str) -> None:
+    """Landing as Parquet partitioned by ``tipo``: a handler's filter on it prunes whole folders.
+
+    A null or empty ``tipo`` shares Parquet's default partition, so both read back as null: neither has a handler.
+    """
+    landing.write.option("compression", "zstd").option("maxRecordsPerFile", 1_000_000).partitionBy("tipo").parquet(path)

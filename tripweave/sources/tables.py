@@ -1,28 +1,10 @@
-"""Reading the supplied base tables.
-
-A scan is split by Parquet row groups; a small table written as a single row
-group becomes one task, and every per-row expression before the first
-shuffle would then run on one core.  ``read_table`` redistributes such a scan
-round-robin to the session's default parallelism.  The extra shuffle is only
-taken when the scan has fewer partitions than cores, i.e. when the input is
-small; large inputs (many files / row groups) are left untouched.
-"""
+"""Reading the supplied base tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               spread: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    return _spread(df) if spread else df
+    return df.select(*columns) if columns else df
