@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 
 import __spark_entry__ as E
+from tripweave.plans import catalog
 from tripweave.plans.pipeline import Pipeline
 from tripweave.sources.fixtures import derive_landing
 
@@ -18,8 +19,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_a_function_and_most_an_oracle():
-    q, o = E.queries(), E.oracle_sql()
+    q, o = catalog.queries(), catalog.oracle_sql()
     assert set(o) <= set(q)
+    assert set(q) <= set(E.queries()) and set(o) <= set(E.oracle_sql()) <= set(E.queries())
     assert len(q) >= 60 and len(o) >= len(q) - 2
 
 

@@ -25,6 +25,10 @@ def _tagged_ddl(user_field: str) -> str:
     return f"table STRING, id BIGINT, {user_field} STRING, json STRING, tipo STRING"
 
 
+#: Rows of a landing file: some ten MB of JSON text, a scan task's work.
+ROWS_PER_FILE = 50_000
+
+
 def pending_queue(landing: DataFrame, status: DataFrame | None = None, limit: int | None = None) -> DataFrame:
     """Unprocessed rows of the 15 routed types, 4 columns, ordered by id.
 
@@ -122,4 +126,4 @@ def write_landing(landing: DataFrame, path: str) -> None:
 
     A null or empty ``tipo`` shares Parquet's default partition, so both read back as null: neither has a handler.
     """
-    landing.write.option("compression", "zstd").option("maxRecordsPerFile", 1_000_000).partitionBy("tipo").parquet(path)
+    landing.write.option("compression", "zstd").option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("tipo").parquet(path)
