@@ -3,7 +3,7 @@
 Input of every builder is the *accepted* landing rows (``parse.accepted``)
 carrying the typed payload columns.  Keys are deterministic (section 1.4 of
 the survey): ``source_event_id`` = landing id; detail rows are keyed by
-(landing id, array position) with ``detail_id = id * 1_000_000 + pos``.
+(landing id, array position), packed into one exact decimal.
 """
 
 from __future__ import annotations
@@ -14,12 +14,17 @@ from pyspark.sql import functions as F
 from tripweave import schemas as S
 from tripweave.functions import format_ts, narrow, nonblank, nonempty, truthy
 
-POS_SCALE = 1_000_000  # detail ids: landing id * POS_SCALE + position
+POSITION_KEY = "decimal(32,0)"
 
 
 def detail_id(pos: Column | str = "pos") -> Column:
+    """``id * 10^10 + pos`` as a decimal: every BIGINT id and every array position (an INT) gets a key of its own.
+
+    It sorts like (id, pos), and unlike a struct it may sit in the buffer of a hash aggregate.
+    """
     p = F.col(pos) if isinstance(pos, str) else pos
-    return F.col("id") * F.lit(POS_SCALE) + p
+    scale = F.lit("10000000000").cast("decimal(11,0)")
+    return (F.col("id").cast("decimal(19,0)") * scale + p.cast("decimal(10,0)")).cast(POSITION_KEY)
 
 
 def trip_key(user: Column, canonical: Column) -> Column:

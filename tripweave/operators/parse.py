@@ -297,6 +297,11 @@ def accepted(resolved: DataFrame) -> DataFrame:
     return resolved.filter(F.col("status") == S.PROCESSED)
 
 
+def accepted_alone(classified: DataFrame) -> DataFrame:
+    """The accepted rows of all types that wait for no parent: no guard join in their plans."""
+    return classified.filter(F.col("routed") & F.col("reason").isNull() & ~F.col("tipo").isin(*S.CHILD_TYPES))
+
+
 # ---------------------------------------------------------------------------
 # Audit row
 # ---------------------------------------------------------------------------

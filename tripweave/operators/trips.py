@@ -10,12 +10,12 @@ provisional and id-less transports are dropped.
   overwrites (the two MERGE branches of the reference).
 * policy ``"enrich"`` - first / last *non-null* value per column.
 
-Order of writers is ``ord = landing id * 1e6 + array position`` (landing ids
-stay below 9.2e12 so the product fits a BIGINT).  The fold is one hash-keyed
-aggregate with map-side partial aggregation: a hot key collapses to one row
-per map task before the shuffle, so skewed users/trips never concentrate raw
-rows in one task.  It is also associative, so an incremental refold of
-(previous trips + new candidates) gives the same table.
+Order of writers is (landing id, array position) as one decimal; a landing id
+names one row.  The reference fold aggregates only the first and the last
+order of a trip (fixed-width buffers, hash aggregate with a map-side phase) and
+joins the winners back by (trip, order), so waypoints and tags never enter an
+aggregate and a hot trip never meets in one task.  The fold is associative, so
+an incremental refold of (previous trips + new candidates) gives the same table.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tripweave import schemas as S
 from tripweave.functions import format_ts, narrow, nonblank, nonempty, truthy
-from tripweave.operators.handlers import POS_SCALE, activity_is_trip, trip_key
+from tripweave.operators.handlers import activity_is_trip, detail_id, trip_key
 
 FIRST_COLS = ("first_seen_from", "start_time", "start_time_epoch", "transport_tags", "waypoints",
               "creating_source_event_id", "created_at")
@@ -34,13 +34,44 @@ LAST_COLS = ("last_update_time", "last_update_time_epoch", "end_time", "end_time
              "last_updated_by_source_event_id", "updated_at")
 
 
-def _transport_row(df: DataFrame, ev: Column, origin: str, pos: Column) -> DataFrame:
-    return df.select(
+TRIP_TYPES = (S.DRIVING_INSIGHTS, *S.CONTEXT_TYPES, *S.TIMELINE_TYPES, S.ACTIVITY)
+#: nested columns: they never enter an aggregate's buffer
+NESTED_COLS = ("transport_tags", "waypoints")
+
+
+def _is_transport(e: Column) -> Column:
+    """type == IN_TRANSPORT or a non-empty transport mode."""
+    return F.coalesce(e["type"] == "IN_TRANSPORT", F.lit(False)) | nonblank(e["transportMode"]).isNotNull()
+
+
+def trip_candidates(acc: DataFrame) -> DataFrame:
+    """One row per reported transport, from one pass over the accepted rows."""
+    rows = acc.filter(F.col("tipo").isin(*TRIP_TYPES))
+    event_type = acc.schema["p_timeline"].dataType.elementType
+    a = F.col("p_activity")
+    # activity has no transport id: the source event id stands in, prefixed
+    # with its origin so it cannot collide with a real id (divergence D21)
+    known = {"id": F.concat(F.lit("activity:"), F.col("id").cast("string")),
+             "startTime": a["startTime"], "transportMode": a["tripType"], "isProvisional": F.lit(False)}
+    activity_ev = F.struct(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in event_type])
+    insight, activity = F.col("tipo") == S.DRIVING_INSIGHTS, F.col("tipo") == S.ACTIVITY
+    context = F.col("tipo").isin(*S.CONTEXT_TYPES)
+    found = (F.when(insight, F.array(F.col("p_insight.transportEvent")))
+             .when(context, F.col("p_context.ctx.events"))
+             .when(activity, F.filter(F.array(activity_ev), lambda _: activity_is_trip()))
+             .otherwise(F.col("p_timeline")))
+    origin = (F.when(insight, "DRIVING_INSIGHTS").when(context, "CONTEXT").when(activity, "ACTIVITY")
+              .otherwise("TIMELINE"))
+    events = rows.select("id", "user_id", "created_at", origin.alias("origin"), F.posexplode(found).alias("pos", "ev"))
+    ev = F.col("ev")
+    whole = F.col("origin").isin("DRIVING_INSIGHTS", "ACTIVITY")
+    # Provisional or id-less transports never reach the trip table
+    kept = events.filter((whole | _is_transport(ev)) & ~truthy(ev["isProvisional"]) & nonblank(ev["id"]).isNotNull())
+    return kept.select(
         "user_id",
         nonblank(ev["id"]).alias("canonical_id"),
-        truthy(ev["isProvisional"]).alias("is_provisional"),
-        (F.col("id") * F.lit(POS_SCALE) + pos).alias("ord"),
-        F.lit(origin).alias("first_seen_from"),
+        detail_id().alias("ord"),
+        F.col("origin").alias("first_seen_from"),
         format_ts(ev["startTime"]).alias("start_time"),
         ev["startTimeEpoch"].alias("start_time_epoch"),
         nonempty(ev["transportTags"]).alias("transport_tags"),
@@ -60,124 +91,54 @@ def _transport_row(df: DataFrame, ev: Column, origin: str, pos: Column) -> DataF
     )
 
 
-def _is_transport(e: Column) -> Column:
-    """type == IN_TRANSPORT or a non-empty transport mode."""
-    return F.coalesce(e["type"] == "IN_TRANSPORT", F.lit(False)) | nonblank(e["transportMode"]).isNotNull()
-
-
-def _exploded(acc: DataFrame, types: tuple[str, ...], arr: str, origin: str) -> DataFrame:
-    rows = acc.filter(F.col("tipo").isin(*types)).select(
-        "id", "user_id", "created_at", F.posexplode(F.col(arr)).alias("pos", "e"))
-    return _transport_row(rows.filter(_is_transport(F.col("e"))), F.col("e"), origin, F.col("pos"))
+def _at(keys: DataFrame, rows: DataFrame, order: str, cols: list[str], at: str) -> DataFrame:
+    """``keys`` + ``cols`` of the row of the same trip whose ``order`` equals ``at``.
 
-
-def trip_candidates(acc: DataFrame) -> DataFrame:
-    insight = _transport_row(acc.filter(F.col("tipo") == S.DRIVING_INSIGHTS),
-                             F.col("p_insight.transportEvent"), "DRIVING_INSIGHTS", F.lit(0))
-    context = _exploded(acc, S.CONTEXT_TYPES, "p_context.ctx.events", "CONTEXT")
-    timeline = _exploded(acc, S.TIMELINE_TYPES, "p_timeline", "TIMELINE")
-    a = F.col("p_activity")
-    act_rows = acc.filter((F.col("tipo") == S.ACTIVITY) & activity_is_trip())
-    # activity has no transport id: the source event id stands in, prefixed
-    # with its origin so it cannot collide with a real id (divergence D21)
-    activity_ev = F.struct(
-        F.concat(F.lit("activity:"), F.col("id").cast("string")).alias("id"),
-        a["startTime"].alias("startTime"),
-        a["tripType"].alias("transportMode"),
-    )
-    activity = act_rows.select("*", activity_ev.alias("_ev")).select(
-        "user_id",
-        F.col("_ev.id").alias("canonical_id"),
-        F.lit(False).alias("is_provisional"),
-        (F.col("id") * F.lit(POS_SCALE)).alias("ord"),
-        F.lit("ACTIVITY").alias("first_seen_from"),
-        format_ts(F.col("_ev.startTime")).alias("start_time"),
-        F.lit(None).cast("bigint").alias("start_time_epoch"),
-        F.lit(None).cast("map<string,string>").alias("transport_tags"),
-        F.lit(None).cast(insight.schema["waypoints"].dataType).alias("waypoints"),
-        F.col("id").alias("creating_source_event_id"),
-        "created_at",
-        F.lit(None).cast("timestamp_ntz").alias("last_update_time"),
-        F.lit(None).cast("bigint").alias("last_update_time_epoch"),
-        F.lit(None).cast("timestamp_ntz").alias("end_time"),
-        F.lit(None).cast("bigint").alias("end_time_epoch"),
-        F.lit(None).cast(S.DEC_SECONDS).alias("duration_in_seconds"),
-        F.lit(None).cast(S.DEC_METRES).alias("distance_meters"),
-        F.col("_ev.transportMode").alias("transport_mode"),
-        F.lit(None).cast("string").alias("occupant_role"),
-        F.col("id").alias("last_updated_by_source_event_id"),
-        F.col("created_at").alias("updated_at"),
-    )
-    allc = insight.unionByName(context).unionByName(timeline).unionByName(activity)
-    # Provisional or id-less transports never reach the trip table
-    return allc.filter(~F.col("is_provisional") & F.col("canonical_id").isNotNull()).drop("is_provisional")
+    The order is part of the join key, so the rows of a hot trip spread over all tasks.
+    """
+    w = rows.select(F.col("user_id").alias("_u"), F.col("canonical_id").alias("_c"), F.col(order).alias("_o"), *cols)
+    on = F.col("user_id").eqNullSafe(F.col("_u")) & (F.col("canonical_id") == F.col("_c")) & (F.col(at) == F.col("_o"))
+    return keys.join(w, on, "left").drop("_u", "_c", "_o")
 
 
 def fold_trips(cands: DataFrame, policy: str = "reference") -> DataFrame:
     """One row per (user_id, canonical_id)."""
-    ord_ = F.col("ord")
-    if policy == "reference":
-        aggs = [F.min_by(F.struct(*FIRST_COLS), ord_).alias("f"), F.max_by(F.struct(*LAST_COLS), ord_).alias("l")]
-        first = [F.col(f"f.{c}").alias(c) for c in FIRST_COLS]
-        last = [F.col(f"l.{c}").alias(c) for c in LAST_COLS]
-    elif policy == "enrich":
-        def present(c: str) -> Column:
-            return F.col(c).isNotNull()
-        aggs = [F.min_by(c, F.when(present(c), ord_)).alias(c) for c in FIRST_COLS] + \
-               [F.max_by(c, F.when(present(c), ord_)).alias(c) for c in LAST_COLS]
-        first = [F.col(c) for c in FIRST_COLS]
-        last = [F.col(c) for c in LAST_COLS]
-    else:
-        raise ValueError(f"unknown policy {policy!r}")
-    folded = cands.groupBy("user_id", "canonical_id").agg(
-        *aggs, F.min(ord_).alias("first_ord"), F.max(ord_).alias("last_ord"),
-        F.count(F.lit(1)).alias("n_writers"))
-    return folded.select(
-        trip_key(F.col("user_id"), F.col("canonical_id")).alias("trip_id"),
-        "user_id", "canonical_id", *first, *last,
-        F.lit(False).alias("is_provisional"),
-        "first_ord", "last_ord", "n_writers",
-    )
+    return refold(None, cands, policy)
 
 
-def refold(previous: DataFrame, cands: DataFrame, policy: str = "reference") -> DataFrame:
+def refold(previous: DataFrame | None, cands: DataFrame, policy: str = "reference") -> DataFrame:
     """Incremental U1: fold new candidates into an existing trip table.
 
-    A stored trip row re-enters as two candidates (its first writer at
-    ``first_ord`` and its last writer at ``last_ord``), so the result equals a
-    full fold over all candidates ever seen.  ``n_writers`` is summed.
+    A stored trip row stands for its first writer at ``first_ord`` and for its
+    last writer at ``last_ord``, so the result equals a full fold over all
+    candidates ever seen.  ``n_writers`` is summed.
     """
-    base = previous.select("user_id", "canonical_id", *FIRST_COLS, *LAST_COLS, "first_ord", "last_ord", "n_writers")
-    nulls_last = [F.lit(None).cast(base.schema[c].dataType).alias(c) for c in LAST_COLS]
-    nulls_first = [F.lit(None).cast(base.schema[c].dataType).alias(c) for c in FIRST_COLS]
-    as_first = base.select("user_id", "canonical_id", F.col("first_ord").alias("ord"),
-                           *[F.col(c) for c in FIRST_COLS], *nulls_last, F.col("n_writers").alias("w"),
-                           F.lit(True).alias("is_first"))
-    as_last = base.select("user_id", "canonical_id", F.col("last_ord").alias("ord"),
-                          *nulls_first, *[F.col(c) for c in LAST_COLS], F.lit(0).cast("bigint").alias("w"),
-                          F.lit(False).alias("is_first"))
-    new = cands.select("user_id", "canonical_id", "ord", *FIRST_COLS, *LAST_COLS,
-                       F.lit(1).cast("bigint").alias("w"), F.lit(None).cast("boolean").alias("is_first"))
-    u = as_first.unionByName(as_last).unionByName(new)
-    ord_ = F.col("ord")
-    # stored first-writer rows only compete for the first columns, stored
-    # last-writer rows only for the last columns
-    f_ord = F.when(F.col("is_first").isNull() | F.col("is_first"), ord_)
-    l_ord = F.when(F.col("is_first").isNull() | ~F.col("is_first"), ord_)
+    key = ["user_id", "canonical_id"]
+    rows = cands.select(*key, F.col("ord").alias("first_ord"), F.col("ord").alias("last_ord"),
+                        F.lit(1).cast("bigint").alias("n_writers"), *FIRST_COLS, *LAST_COLS)
+    if previous is not None:
+        rows = rows.unionByName(previous.select(*rows.columns))
+    ends = [F.min("first_ord").alias("first_ord"), F.max("last_ord").alias("last_ord"),
+            F.sum("n_writers").alias("n_writers")]
     if policy == "reference":
-        aggs = [F.min_by(F.struct(*FIRST_COLS), f_ord).alias("f"), F.max_by(F.struct(*LAST_COLS), l_ord).alias("l")]
-        first = [F.col(f"f.{c}").alias(c) for c in FIRST_COLS]
-        last = [F.col(f"l.{c}").alias(c) for c in LAST_COLS]
+        folded = rows.groupBy(*key).agg(*ends)
+        folded = _at(folded, rows, "first_ord", list(FIRST_COLS), "first_ord")
+        folded = _at(folded, rows, "last_ord", list(LAST_COLS), "last_ord")
+    elif policy == "enrich":
+        def order(c: str, o: str) -> Column:
+            return F.when(F.col(c).isNotNull(), F.col(o))
+        folded = rows.groupBy(*key).agg(
+            *ends, *[F.min_by(c, order(c, "first_ord")).alias(c) for c in FIRST_COLS if c not in NESTED_COLS],
+            *[F.max_by(c, order(c, "last_ord")).alias(c) for c in LAST_COLS],
+            *[F.min(order(c, "first_ord")).alias(f"_at_{c}") for c in NESTED_COLS])
+        for c in NESTED_COLS:
+            folded = _at(folded, rows, "first_ord", [c], f"_at_{c}")
     else:
-        aggs = [F.min_by(c, F.when(F.col(c).isNotNull(), f_ord)).alias(c) for c in FIRST_COLS] + \
-               [F.max_by(c, F.when(F.col(c).isNotNull(), l_ord)).alias(c) for c in LAST_COLS]
-        first = [F.col(c) for c in FIRST_COLS]
-        last = [F.col(c) for c in LAST_COLS]
-    folded = u.groupBy("user_id", "canonical_id").agg(
-        *aggs, F.min(f_ord).alias("first_ord"), F.max(l_ord).alias("last_ord"), F.sum("w").alias("n_writers"))
+        raise ValueError(f"unknown policy {policy!r}")
     return folded.select(
         trip_key(F.col("user_id"), F.col("canonical_id")).alias("trip_id"),
-        "user_id", "canonical_id", *first, *last, F.lit(False).alias("is_provisional"),
+        *key, *FIRST_COLS, *LAST_COLS,
+        F.lit(False).alias("is_provisional"),
         "first_ord", "last_ord", "n_writers",
     )
 

@@ -234,7 +234,7 @@ def child_orphans(spark, sf_dir):
 
 TRIP_CANDIDATES = """
 cand AS (
-  SELECT user_id, canonical_id, id * 1000000 AS ord, 'DRIVING_INSIGHTS' AS first_seen_from,
+  SELECT user_id, canonical_id, id::HUGEINT * 10000000000 AS ord, 'DRIVING_INSIGHTS' AS first_seen_from,
          o_orderdate AS start_time, epoch_ms(o_orderdate) AS start_time_epoch,
          o_orderdate + to_seconds(dur) AS end_time, epoch_ms(o_orderdate + to_seconds(dur)) AS end_time_epoch,
          CAST(dur AS DECIMAL(10,0)) AS duration_in_seconds, CAST(o_totalprice AS DECIMAL(12,2)) AS distance_meters,
@@ -242,17 +242,17 @@ cand AS (
          CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 2 END AS n_tags
   FROM p WHERE NOT failed AND NOT is_provisional
   UNION ALL
-  SELECT uid, event_key, payload_id * 1000000 + pos, 'TIMELINE', start_time, start_time_epoch, end_time, end_time_epoch,
+  SELECT uid, event_key, payload_id::HUGEINT * 10000000000 + pos, 'TIMELINE', start_time, start_time_epoch, end_time, end_time_epoch,
          CAST(dur AS DECIMAL(10,0)), distance_meters, transport_mode, occupant_role, payload_id,
          CASE WHEN ev_type = 'IN_TRANSPORT' THEN 2 END, CASE WHEN ev_type = 'IN_TRANSPORT' THEN 1 END
   FROM tl WHERE (ev_type = 'IN_TRANSPORT' OR transport_mode IS NOT NULL) AND NOT is_provisional
   UNION ALL
-  SELECT uid, event_key, payload_id * 1000000 + pos, 'CONTEXT', start_time, start_time_epoch, end_time, end_time_epoch,
+  SELECT uid, event_key, payload_id::HUGEINT * 10000000000 + pos, 'CONTEXT', start_time, start_time_epoch, end_time, end_time_epoch,
          CAST(dur AS DECIMAL(10,0)), distance_meters, transport_mode, occupant_role, payload_id,
          CASE WHEN ev_type = 'IN_TRANSPORT' THEN 2 END, CASE WHEN ev_type = 'IN_TRANSPORT' THEN 1 END
   FROM cx WHERE (ev_type = 'IN_TRANSPORT' OR transport_mode IS NOT NULL) AND NOT is_provisional
   UNION ALL
-  SELECT uid, concat('activity:', id), id * 1000000, 'ACTIVITY', date_trunc('millisecond', ts), NULL, NULL, NULL,
+  SELECT uid, concat('activity:', id), id::HUGEINT * 10000000000, 'ACTIVITY', date_trunc('millisecond', ts), NULL, NULL, NULL,
          NULL, NULL, CASE WHEN event_type = 'click' THEN 'TRIP_TYPE_SDK' END, NULL, id, NULL, NULL
   FROM fl WHERE tipo = 'UserActivity' AND status = 'PROCESSED' AND event_type IN ('click', 'purchase')
 )"""
@@ -962,31 +962,31 @@ def cold_purge(spark, sf_dir):
 
 TRIP_POINTS = """
 wp_cand AS (
-  SELECT user_id, canonical_id, id * 1000000 AS ord, 0 AS point_pos,
+  SELECT user_id, canonical_id, id::HUGEINT * 10000000000 AS ord, 0 AS point_pos,
          40.0::DOUBLE + (o_custkey % 1000) / 1000.0::DOUBLE AS latitude,
          -3.0::DOUBLE - (k % 1000) / 1000.0::DOUBLE AS longitude,
          epoch_ms(o_orderdate) AS point_epoch, (k % 40) + 0.5::DOUBLE AS speed_mps
   FROM p WHERE NOT failed AND NOT is_provisional AND k % 4 <> 0
   UNION ALL
-  SELECT user_id, canonical_id, id * 1000000, 1,
+  SELECT user_id, canonical_id, id::HUGEINT * 10000000000, 1,
          (40.0::DOUBLE + (o_custkey % 1000) / 1000.0::DOUBLE) + 0.01::DOUBLE,
          (-3.0::DOUBLE - (k % 1000) / 1000.0::DOUBLE) - 0.01::DOUBLE,
          epoch_ms(o_orderdate + to_seconds(dur)), CASE WHEN k % 3 <> 0 THEN (o_custkey % 30) + 0.25::DOUBLE END
   FROM p WHERE NOT failed AND NOT is_provisional AND k % 4 <> 0
   UNION ALL
-  SELECT uid, event_key, payload_id * 1000000 + pos, 0, 50.0::DOUBLE + user_id / 10000.0::DOUBLE,
+  SELECT uid, event_key, payload_id::HUGEINT * 10000000000 + pos, 0, 50.0::DOUBLE + user_id / 10000.0::DOUBLE,
          4.0::DOUBLE + (event_id % 1000) / 1000.0::DOUBLE, start_time_epoch, value / 10.0::DOUBLE
   FROM tl WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional
   UNION ALL
-  SELECT uid, event_key, payload_id * 1000000 + pos, 1, (50.0::DOUBLE + user_id / 10000.0::DOUBLE) + 0.02::DOUBLE,
+  SELECT uid, event_key, payload_id::HUGEINT * 10000000000 + pos, 1, (50.0::DOUBLE + user_id / 10000.0::DOUBLE) + 0.02::DOUBLE,
          (4.0::DOUBLE + (event_id % 1000) / 1000.0::DOUBLE) + 0.02::DOUBLE, end_time_epoch, value / 20.0::DOUBLE
   FROM tl WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional
   UNION ALL
-  SELECT uid, event_key, payload_id * 1000000 + pos, 0, 50.0::DOUBLE + user_id / 10000.0::DOUBLE,
+  SELECT uid, event_key, payload_id::HUGEINT * 10000000000 + pos, 0, 50.0::DOUBLE + user_id / 10000.0::DOUBLE,
          4.0::DOUBLE + (event_id % 1000) / 1000.0::DOUBLE, start_time_epoch, value / 10.0::DOUBLE
   FROM cx WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional
   UNION ALL
-  SELECT uid, event_key, payload_id * 1000000 + pos, 1, (50.0::DOUBLE + user_id / 10000.0::DOUBLE) + 0.02::DOUBLE,
+  SELECT uid, event_key, payload_id::HUGEINT * 10000000000 + pos, 1, (50.0::DOUBLE + user_id / 10000.0::DOUBLE) + 0.02::DOUBLE,
          (4.0::DOUBLE + (event_id % 1000) / 1000.0::DOUBLE) + 0.02::DOUBLE, end_time_epoch, value / 20.0::DOUBLE
   FROM cx WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional
 ),
@@ -1024,16 +1024,16 @@ def preceding_points(spark, sf_dir):
 @query("tag_rows", O.sql("""
 SELECT user_id, canonical_id, 'status' AS tag_key, o_orderstatus AS tag_value
 FROM p JOIN (SELECT user_id, canonical_id, min(ord) AS ord FROM cand GROUP BY 1, 2) f USING (user_id, canonical_id)
-WHERE f.ord = p.id * 1000000 AND o_orderstatus <> 'P' AND NOT failed AND NOT is_provisional
+WHERE f.ord = p.id::HUGEINT * 10000000000 AND o_orderstatus <> 'P' AND NOT failed AND NOT is_provisional
 UNION ALL
 SELECT user_id, canonical_id, 'priority', o_orderpriority
 FROM p JOIN (SELECT user_id, canonical_id, min(ord) AS ord FROM cand GROUP BY 1, 2) f USING (user_id, canonical_id)
-WHERE f.ord = p.id * 1000000 AND o_orderstatus <> 'P' AND NOT failed AND NOT is_provisional
+WHERE f.ord = p.id::HUGEINT * 10000000000 AND o_orderstatus <> 'P' AND NOT failed AND NOT is_provisional
 UNION ALL
 SELECT e.uid, e.event_key, 'k', CAST(e.k AS VARCHAR)
-FROM (SELECT uid, event_key, k, payload_id * 1000000 + pos AS ord FROM tl WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional
+FROM (SELECT uid, event_key, k, payload_id::HUGEINT * 10000000000 + pos AS ord FROM tl WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional
       UNION ALL
-      SELECT uid, event_key, k, payload_id * 1000000 + pos FROM cx WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional) e
+      SELECT uid, event_key, k, payload_id::HUGEINT * 10000000000 + pos FROM cx WHERE ev_type = 'IN_TRANSPORT' AND NOT is_provisional) e
 JOIN (SELECT user_id, canonical_id, min(ord) AS ord FROM cand GROUP BY 1, 2) f
   ON f.user_id = e.uid AND f.canonical_id = e.event_key AND f.ord = e.ord
 """, *_TRIP_FRAGS))

@@ -9,9 +9,9 @@ chain.  The fragments below are shared WITH-clause members.
 
 from __future__ import annotations
 
-TL_BASE = 1_000_000_000_000
-CTX_BASE = 2_000_000_000_000
-FLAT_BASE = 3_000_000_000_000
+TL_BASE = 10**18
+CTX_BASE = 2 * 10**18
+FLAT_BASE = 3 * 10**18
 
 # parents: one row per DrivingInsights landing row (retry copies included)
 PARENTS = """

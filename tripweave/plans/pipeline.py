@@ -1,9 +1,9 @@
 """The batch pipeline as a set of lazily built DataFrames.
 
 ``Pipeline(landing)`` builds nothing until a table is asked for, and each
-table's plan contains only the work that table needs (Catalyst prunes the
-typed payload columns that are not referenced).  ``families`` limits which
-payload families are extracted at all.
+table's plan contains only the branches that table needs.  ``families`` limits
+which payload families are extracted at all.  The trip table stores its
+candidates first.
 
 ``write_all`` materialises the model: the parsed/typed landing is written
 once (partitioned by type, so every handler scans only its own partition)
@@ -21,7 +21,7 @@ from tripweave.operators import handlers as H
 from tripweave.operators import parse as P
 from tripweave.operators import trips as T
 from tripweave import schemas as S
-from tripweave.session import checkpoint_dir
+from tripweave.session import stored
 
 
 class Pipeline:
@@ -43,20 +43,20 @@ class Pipeline:
     def accepted(self) -> DataFrame:
         return P.accepted(self.resolved)
 
+    @cached_property
+    def accepted_alone(self) -> DataFrame:
+        return P.accepted_alone(self.classified)
+
     def materialized(self) -> "Pipeline":
-        """A pipeline over a checkpointed copy of the resolved stage.
+        """A pipeline over a stored copy of the resolved stage.
 
         For plans that read many output tables (reconciliation, FK checks,
         lineage) the parse/classify/guard stage would otherwise be recomputed
-        once per table.  The copy goes to the cluster's shared checkpoint
-        folder (``spark.checkpoint.dir``); a local folder is installed only
-        when the session names none (tests).  The VARIANT column is dropped:
-        every consumer reads the typed columns.
+        once per table.  The copy is Parquet in the cluster's shared folder,
+        partitioned by type, so each table reads its own folders and columns.
+        The VARIANT column is dropped: every consumer reads the typed columns.
         """
-        spark = self.landing.sparkSession
-        checkpoint_dir(spark)
-        stage = self.resolved.drop("v").checkpoint(eager=True)
-        return _StoredPipeline(stage, self.landing)
+        return _StoredPipeline(stored(self.resolved.drop("v"), "resolved", ["tipo"]), self.landing)
 
     # -- audit / status -----------------------------------------------------
     @property
@@ -74,70 +74,71 @@ class Pipeline:
     # -- handlers ----------------------------------------------------------
     @property
     def insight_trip(self) -> DataFrame:
-        return H.insight_trip(self.accepted)
+        return H.insight_trip(self.accepted_alone)
 
     def child(self, child_type: str) -> DataFrame:
         return H.child_events(self.accepted, child_type)
 
     @property
     def context_header(self) -> DataFrame:
-        return H.context_header(self.accepted)
+        return H.context_header(self.accepted_alone)
 
     @property
     def context_criteria(self) -> DataFrame:
-        return H.context_criteria(self.accepted)
+        return H.context_criteria(self.accepted_alone)
 
     @property
     def context_home(self) -> DataFrame:
-        return H.context_place(self.accepted, "home")
+        return H.context_place(self.accepted_alone, "home")
 
     @property
     def context_work(self) -> DataFrame:
-        return H.context_place(self.accepted, "work")
+        return H.context_place(self.accepted_alone, "work")
 
     @property
     def context_segment(self) -> DataFrame:
-        return H.context_segment(self.accepted)
+        return H.context_segment(self.accepted_alone)
 
     @property
     def context_segment_attribute(self) -> DataFrame:
-        return H.context_segment_attribute(self.accepted)
+        return H.context_segment_attribute(self.accepted_alone)
 
     @property
     def context_event(self) -> DataFrame:
-        return H.context_event(self.accepted)
+        return H.context_event(self.accepted_alone)
 
     @property
     def timeline_event(self) -> DataFrame:
-        return H.timeline_event(self.accepted)
+        return H.timeline_event(self.accepted_alone)
 
     @property
     def user_metadata(self) -> DataFrame:
-        return H.user_metadata(self.accepted)
+        return H.user_metadata(self.accepted_alone)
 
     @property
     def crash_event(self) -> DataFrame:
-        return H.crash_event(self.accepted)
+        return H.crash_event(self.accepted_alone)
 
     @property
     def sdk_status(self) -> DataFrame:
-        return H.sdk_status(self.accepted)
+        return H.sdk_status(self.accepted_alone)
 
     @property
     def user_activity(self) -> DataFrame:
-        return H.user_activity(self.accepted)
+        return H.user_activity(self.accepted_alone)
 
     @property
     def technical_event(self) -> DataFrame:
-        return H.technical_event(self.accepted)
+        return H.technical_event(self.accepted_alone)
 
     # -- trips -------------------------------------------------------------
     @property
     def trip_candidates(self) -> DataFrame:
-        return T.trip_candidates(self.accepted)
+        return T.trip_candidates(self.accepted_alone)
 
     def trips(self, policy: str = "reference") -> DataFrame:
-        return T.fold_trips(self.trip_candidates, policy)
+        # stored: the fold reads the narrow keys first and the winners' columns after
+        return T.fold_trips(stored(self.trip_candidates, "trip_candidates"), policy)
 
     def tables(self) -> dict[str, DataFrame]:
         """Every output table of the model, by engine name."""
@@ -193,3 +194,7 @@ class _StoredPipeline(Pipeline):
     def __init__(self, resolved: DataFrame, landing: DataFrame | None = None):
         super().__init__(landing if landing is not None else resolved)
         self.__dict__["resolved"] = resolved
+
+    @cached_property
+    def accepted_alone(self) -> DataFrame:
+        return self.accepted

@@ -71,7 +71,7 @@ def checkpoint_dir(spark: SparkSession, fallback=None) -> str:
     return current
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Cuts lineage: a lost executor repeats only the stage that reads the copy.
@@ -79,5 +79,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    w = df.write
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -34,10 +34,11 @@ from tripweave import schemas as S
 from tripweave.functions import epoch_ms, iso_ms
 from tripweave.sources.tables import read_table
 
-BLOCK = 4096  # max events per derived timeline/context payload
-TIMELINE_BASE = 10**12
-CONTEXT_BASE = 2 * 10**12
-FLAT_BASE = 3 * 10**12
+BLOCK = 4096  # parameter of the fixture: a payload of a (user, day) covers event ids of one block
+# id bands apart by 10^18: orderkey * 1000 stays in the first for 10^15 orders, event ids in theirs for 10^18 events
+TIMELINE_BASE = 10**18
+CONTEXT_BASE = 2 * 10**18
+FLAT_BASE = 3 * 10**18
 
 _EXPLICIT_NULLS = {"ignoreNullFields": "false"}
 
