@@ -210,3 +210,32 @@ def test_detail_rows_follow_array_order(landing):
     p = Pipeline(landing([(1, "u", S.TIMELINE, {"events": [{"id": "b"}, {"id": "a"}]})]))
     assert rows(p.timeline_event, "pos", "event_id") == [(0, "b"), (1, "a")]
     assert F is not None
+
+
+def test_values_of_the_wrong_kind_are_quarantined(landing):
+    te = {"id": "t1", "isProvisional": False}
+    cases = [
+        (S.TIMELINE, '"abc"', "wrong_shape"), (S.TIMELINE, '{"events":"xx"}', "wrong_field"),
+        (S.TIMELINE, '[{"id":"e"}, 3]', "wrong_field"), (S.TIMELINE, '{"foo":1}', None), (S.TIMELINE, '{"events":null}', None),
+        (S.DRIVING_INSIGHTS, '[{"transportEvent":{}}]', "wrong_shape"), (S.DRIVING_INSIGHTS, '{"transportEvent":"x"}', "wrong_field"),
+        (S.DRIVING_INSIGHTS, {"transportEvent": te}, None), (S.HARSH, '[1]', "wrong_shape"),
+        (S.HARSH, {"transportId": "t1", "events": "xx"}, "wrong_field"), (S.HARSH, {"transportId": "t1", "events": [None]}, "wrong_field"),
+        (S.HARSH, {"transportId": "t1", "events": None}, None), (S.HARSH, {"transportId": "zz", "events": "xx"}, "awaiting_parent"),
+        (S.CONTEXT_LISTENER, {"userContext": [1]}, "wrong_field"), (S.CONTEXT_LISTENER, {"userContext": {"events": {}}}, "wrong_field"),
+        (S.CONTEXT_MANUAL, {"home": 4}, "wrong_field"), (S.CONTEXT_MANUAL, {"home": None}, None),
+        (S.CRASH, {"location": "here"}, "wrong_field"), (S.STATUS, "7", "wrong_shape"), (S.METADATA, "null", "wrong_shape"),
+    ]
+    p = Pipeline(landing([(i, "u", t, body) for i, (t, body, _) in enumerate(cases)]))
+    got = {r["id"]: r["reason"] for r in p.landing_status.collect()}
+    assert [(i, got[i]) for i in sorted(got)] == [(i, c[2]) for i, c in enumerate(cases)]
+
+
+def test_locations_out_of_range_are_quarantined(landing):
+    far = {"latitude": 500.0, "longitude": 1.0}
+    p = Pipeline(landing([
+        (1, "u", S.CRASH, dict(CRASH, location=far)), (2, "u", S.CONTEXT_MANUAL, {"lastKnownLocation": far}),
+        (3, "u", S.CONTEXT_MANUAL, {"home": {"location": far}}), (4, "u", S.CONTEXT_MANUAL, {"events": [{"location": far}]}),
+        (5, "u", S.TIMELINE, [{"id": "e", "location": {"accuracy": 1e11}}]),
+        (6, "u", S.ACTIVITY, {"stationaryLocation": far}), (7, "u", S.CRASH, dict(CRASH, location={"longitude": 1000.0})),
+    ]))
+    assert {r["reason"] for r in p.landing_status.collect()} == {"numeric_overflow"} and p.quarantine.count() == 7

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from tripweave import schemas as S
+from tripweave.operators.handlers import detail_id
 from tripweave.operators import trips as T
 from tripweave.plans.pipeline import Pipeline
 
 
+DAY = dt.datetime(2024, 1, 1)
+
+
 def _ev(**kw):
     base = {"id": "e1", "type": "IN_TRANSPORT", "isProvisional": False}
     base.update(kw)
@@ -48,3 +54,30 @@ def test_refold_equals_full_fold(landing):
     cols = ["user_id", "canonical_id", "transport_mode", "distance_meters", "creating_source_event_id",
             "last_updated_by_source_event_id", "n_writers"]
     assert sorted(full.select(cols).collect()) == sorted(inc.select(cols).collect())
+
+
+def test_ids_and_positions_beyond_packed_ranges(spark, landing):
+    p = Pipeline(landing([(10**18 + 7, "u", S.TIMELINE, [_ev(id="a", transportMode="CAR")], DAY),
+                          (10**13, "u", S.TIMELINE, [_ev(id="a", transportMode="BUS")], DAY)]))
+    t = p.trips().first()
+    assert t["creating_source_event_id"] == 10**13 and t["transport_mode"] == "CAR"
+    keys = spark.createDataFrame([(1, 1_500_000), (2, 0), (-1, 5), (2**63 - 1, 2**31 - 1)], "id bigint, pos int").select(
+        "id", "pos", detail_id().alias("k")).orderBy("k").collect()
+    assert [(r["id"], r["pos"]) for r in keys] == [(-1, 5), (1, 1_500_000), (2, 0), (2**63 - 1, 2**31 - 1)]
+    assert len({r["k"] for r in keys}) == 4
+
+
+def test_fold_keeps_nested_columns_out_of_aggregates(landing):
+    p = Pipeline(landing([(1, "u", S.TIMELINE, [_ev()])]))
+    plan = p.trips()._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    enrich = p.trips("enrich")._jdf.queryExecution().executedPlan().toString()
+    assert not [ln for ln in enrich.splitlines() if "Aggregate(" in ln and "waypoints#" in ln and "functions=[" in ln
+                and ("max_by(waypoints" in ln or "min_by(waypoints" in ln)]
+
+
+def test_trips_of_unknown_users_are_kept(landing):
+    p = Pipeline(landing([(1, None, S.TIMELINE, [_ev(transportMode="CAR")]),
+                          (2, None, S.TIMELINE, [_ev(transportMode="BUS")])]))
+    (t,) = p.trips().collect()
+    assert t["user_id"] is None and t["transport_mode"] == "BUS" and t["creating_source_event_id"] == 1

@@ -27,6 +27,10 @@ def detail_id(pos: Column | str = "pos") -> Column:
     return (F.col("id").cast("decimal(19,0)") * scale + p.cast("decimal(10,0)")).cast(POSITION_KEY)
 
 
+def geo_columns(loc: Column, fields=S.GEO_FIELDS, prefix: str = "") -> list[Column]:
+    return [narrow(loc[f], d).alias(prefix + f) for f, d in fields]
+
+
 def trip_key(user: Column, canonical: Column) -> Column:
     """Deterministic trip id: 64-bit hash of the natural key (user, canonical id)."""
     return F.xxhash64(user, canonical)
@@ -125,9 +129,7 @@ def context_header(acc: DataFrame) -> DataFrame:
         "user_id",
         F.col("p_context.source_type").alias("context_source_type"),
         ctx["semanticTime"].alias("semantic_time"),
-        narrow(loc["latitude"], S.DEC_LAT).alias("last_known_latitude"),
-        narrow(loc["longitude"], S.DEC_LON).alias("last_known_longitude"),
-        narrow(loc["accuracy"], S.DEC_METRES).alias("last_known_accuracy"),
+        *geo_columns(loc, prefix="last_known_"),
         "created_at",
     )
 
@@ -146,9 +148,7 @@ def context_place(acc: DataFrame, which: str) -> DataFrame:
         "user_id",
         F.lit(which.upper()).alias("significance"),
         v["type"].alias("venue_type"),
-        narrow(v["location"]["latitude"], S.DEC_LAT).alias("latitude"),
-        narrow(v["location"]["longitude"], S.DEC_LON).alias("longitude"),
-        narrow(v["location"]["accuracy"], S.DEC_METRES).alias("accuracy"),
+        *geo_columns(v["location"]),
         "created_at",
     )
 
@@ -209,9 +209,7 @@ def event_columns(e: Column) -> list[Column]:
         narrow(e["distance"], S.DEC_METRES).alias("distance_meters"),
         e["occupantRole"].alias("occupant_role"),
         nonempty(e["transportTags"]).alias("transport_tags"),
-        narrow(e["location"]["latitude"], S.DEC_LAT).alias("location_latitude"),
-        narrow(e["location"]["longitude"], S.DEC_LON).alias("location_longitude"),
-        narrow(e["location"]["accuracy"], S.DEC_METRES).alias("location_accuracy"),
+        *geo_columns(e["location"], prefix="location_"),
         e["venue"]["significance"].alias("venue_significance"),
         e["venue"]["type"].alias("venue_type"),
     ]
@@ -264,10 +262,7 @@ def crash_event(acc: DataFrame) -> DataFrame:
         F.col("id").alias("source_event_id"),
         "user_id",
         c["time"].alias("crash_time_epoch"),
-        narrow(loc["latitude"], S.DEC_LAT).alias("latitude"),
-        narrow(loc["longitude"], S.DEC_LON).alias("longitude"),
-        narrow(loc["accuracy"], S.DEC_METRES).alias("accuracy"),
-        narrow(loc["altitude"], S.DEC_ALTITUDE).alias("altitude"),
+        *geo_columns(loc, S.CRASH_GEO_FIELDS),
         narrow(c["magnitude"], S.DEC_MAGNITUDE).alias("magnitude"),
         narrow(c["speedAtImpact"], S.DEC_SPEED).alias("speed_at_impact"),
         narrow(c["deltaV"], S.DEC_SPEED).alias("delta_v"),
@@ -313,8 +308,7 @@ def user_activity(acc: DataFrame) -> DataFrame:
         "user_id",
         a["activityType"].alias("activity_type"),
         a["tripType"].alias("trip_type"),
-        narrow(a["stationaryLocation"]["latitude"], S.DEC_LAT).alias("stationary_latitude"),
-        narrow(a["stationaryLocation"]["longitude"], S.DEC_LON).alias("stationary_longitude"),
+        *geo_columns(a["stationaryLocation"], S.GEO_FIELDS[:2], "stationary_"),
         activity_is_trip().alias("is_trip"),
         F.col("json").alias("payload_json"),  # raw text kept (divergence D28)
         F.col("created_at").alias("captured_at"),

@@ -162,8 +162,70 @@ def typed(parsed: DataFrame, families: tuple[str, ...] | None = None) -> DataFra
 # ---------------------------------------------------------------------------
 
 
+def _present(path: str) -> Column:
+    """The payload has a value at ``path`` that is not JSON null (an explicit null is a missing field, divergence D3)."""
+    at = F.try_variant_get(F.col("v"), path, "variant")
+    return F.coalesce(at.isNotNull() & ~F.is_variant_null(at), F.lit(False))
+
+
+def _bad_field(path: str, typed_value: Column) -> Column:
+    """A present value that is no object (or array) of the declared kind."""
+    return _present(path) & typed_value.isNull()
+
+
+def _bad_array(path: str, arr: Column) -> Column:
+    """A present value that is no array, or an array with an element that is no object."""
+    return _bad_field(path, arr) | F.coalesce(F.exists(arr, lambda e: e.isNull()), F.lit(False))
+
+
+def _wrong_root() -> Column:
+    """The payload's root is no object; a timeline may also be an array."""
+    return F.when(F.col("tipo").isin(*S.TIMELINE_TYPES), ~F.col("json").rlike(r"^\s*[\[{]")).otherwise(
+        ~F.col("json").rlike(r"^\s*\{"))
+
+
+def _wrong_field(df: DataFrame) -> Column:
+    """A nested value of the wrong kind, in the rows of its family."""
+    cols = set(df.columns)
+    bad = F.lit(False)
+
+    def add(types: tuple[str, ...], test: Column) -> None:
+        nonlocal bad
+        bad = bad | F.when(F.col("tipo").isin(*types), test).otherwise(False)
+
+    if "p_insight" in cols:
+        for f in ("transportEvent", "safetyScores"):
+            add((S.DRIVING_INSIGHTS,), _bad_field(f"$.{f}", F.col(f"p_insight.{f}")))
+    if "p_child" in cols:
+        add(S.CHILD_TYPES, _bad_array("$.events", F.col("p_child.events")))
+    if "p_timeline" in cols:
+        in_field = _present("$.events") & F.try_variant_get(F.col("v"), "$.events", "array<variant>").isNull()
+        add(S.TIMELINE_TYPES, in_field | F.exists(F.col("p_timeline"), lambda e: e.isNull()))
+    if "p_context" in cols:
+        ctx = F.col("p_context.ctx")
+        wrapped = (F.col("tipo") == S.CONTEXT_LISTENER) & _present("$.userContext")
+        add((S.CONTEXT_LISTENER,), wrapped & F.try_variant_get(F.col("v"), "$.userContext", "map<string,variant>").isNull())
+        for f in ("activeSegments", "events"):
+            add(S.CONTEXT_TYPES, F.when(wrapped, _bad_array(f"$.userContext.{f}", ctx[f])).otherwise(
+                _bad_array(f"$.{f}", ctx[f])))
+        for f in ("lastKnownLocation", "home", "work"):
+            add(S.CONTEXT_TYPES, F.when(wrapped, _bad_field(f"$.userContext.{f}", ctx[f])).otherwise(
+                _bad_field(f"$.{f}", ctx[f])))
+    if "p_crash" in cols:
+        add((S.CRASH,), _bad_field("$.location", F.col("p_crash.location")))
+    return F.coalesce(bad, F.lit(False))
+
+
+def _geo_overflow(loc: Column, fields=S.GEO_FIELDS) -> Column:
+    out = F.lit(False)
+    for f, d in fields:
+        out = out | overflows(loc[f], d)
+    return out
+
+
 def _event_overflow(arr: Column) -> Column:
-    return any_overflows(arr, "distance", S.DEC_METRES) | any_overflows(arr, "durationInSeconds", S.DEC_SECONDS)
+    return (any_overflows(arr, "distance", S.DEC_METRES) | any_overflows(arr, "durationInSeconds", S.DEC_SECONDS)
+            | F.coalesce(F.exists(arr, lambda e: _geo_overflow(e["location"])), F.lit(False)))
 
 
 def _overflow(df: DataFrame) -> Column:
@@ -189,7 +251,8 @@ def _overflow(df: DataFrame) -> Column:
         attrs_bad = F.coalesce(F.exists(ctx["activeSegments"],
                                         lambda s: any_overflows(s["attributes"], "value", S.DEC_ATTRIBUTE)),
                                F.lit(False))
-        checks.append(_event_overflow(ctx["events"]) | attrs_bad)
+        places = [ctx["lastKnownLocation"], ctx["home"]["location"], ctx["work"]["location"]]
+        checks += [_event_overflow(ctx["events"]) | attrs_bad, *[_geo_overflow(p) for p in places]]
     if "p_timeline" in cols:
         checks.append(_event_overflow(F.col("p_timeline")))
     if "p_crash" in cols:
@@ -197,7 +260,9 @@ def _overflow(df: DataFrame) -> Column:
         checks.append(
             overflows(c["magnitude"], S.DEC_MAGNITUDE) | overflows(c["speedAtImpact"], S.DEC_SPEED)
             | overflows(c["deltaV"], S.DEC_SPEED) | overflows(c["confidence"], S.DEC_CONFIDENCE)
-            | overflows(c["location"]["altitude"], S.DEC_ALTITUDE))
+            | _geo_overflow(c["location"], S.CRASH_GEO_FIELDS))
+    if "p_activity" in cols:
+        checks.append(_geo_overflow(F.col("p_activity.stationaryLocation"), S.GEO_FIELDS[:2]))
     out = F.lit(False)
     for c in checks:
         out = out | F.coalesce(c, F.lit(False))
@@ -207,8 +272,9 @@ def _overflow(df: DataFrame) -> Column:
 def classify(typed_df: DataFrame) -> DataFrame:
     """+ ``routed`` and ``reason`` (NULL when the row may be processed).
 
-    Precedence follows the reference's control flow: unparseable text,
-    then a child without transport id, then narrowing failures.
+    Precedence follows the reference's control flow: unparseable text, a root
+    of the wrong kind, a child without transport id, then nested values of the
+    wrong kind, then narrowing failures.
     """
     routed = F.col("tipo").isin(*S.ROUTED_TYPES)
     child = F.col("tipo").isin(*S.CHILD_TYPES)
@@ -216,7 +282,9 @@ def classify(typed_df: DataFrame) -> DataFrame:
     reason = (
         F.when(~routed, F.lit(None))
         .when(F.col("malformed"), "malformed_json")
+        .when(_wrong_root(), "wrong_shape")
         .when(child & tid.isNull(), "missing_transport_id")
+        .when(_wrong_field(typed_df), "wrong_field")
         .when(_overflow(typed_df), "numeric_overflow")
     )
     return _evaluate_once(typed_df, [routed.alias("routed"), reason.cast("string").alias("reason")])
@@ -238,15 +306,14 @@ def parent_keys(classified: DataFrame) -> DataFrame:
     )
 
 
-def guard(classified: DataFrame, parents: DataFrame | None = None) -> DataFrame:
+def guard(classified: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Child rows + ``insight_trip_id`` of their parent (NULL = orphan).
 
-    ``parents`` is a classified frame holding the driving-insights rows
-    (``parent_source``); by default the parents come from ``classified``.
+    ``keys`` are the parents (``parent_keys``); by default those in ``classified``.
     """
     children = classified.filter(F.col("tipo").isin(*S.CHILD_TYPES)).withColumn(
         "canonical_id", nonblank(F.col("p_child.transportId")))
-    keys = parent_keys(classified if parents is None else parents)
+    keys = parent_keys(classified) if keys is None else keys
     return children.join(keys, ["user_id", "canonical_id"], "left")
 
 
@@ -255,26 +322,26 @@ def status_column(df: DataFrame) -> Column:
     orphan = is_child & F.col("insight_trip_id").isNull() if "insight_trip_id" in df.columns else F.lit(False)
     return (
         F.when(~F.col("routed"), S.PENDING)
-        .when(F.col("reason").isin("malformed_json", "missing_transport_id"), S.FAILED)
+        .when(F.col("reason").isin(*S.EARLY_REASONS), S.FAILED)
         .when(orphan, S.PENDING)
         .when(F.col("reason").isNotNull(), S.FAILED)
         .otherwise(S.PROCESSED)
     )
 
 
-def resolve(classified: DataFrame, parents: DataFrame | None = None) -> DataFrame:
-    """Every landing row with its final ``status`` and ``insight_trip_id``.
+def resolve(classified: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Every landing row with its final ``status`` and ``insight_trip_id`` (``keys``: see ``guard``).
 
     Non-child rows never enter the guard join.
     """
     others = classified.filter(~F.col("tipo").isin(*S.CHILD_TYPES) | F.col("tipo").isNull()).select(
         "*", F.lit(None).cast("string").alias("canonical_id"), F.lit(None).cast("bigint").alias("insight_trip_id"))
-    children = guard(classified, parents).select(*others.columns)
+    children = guard(classified, keys).select(*others.columns)
     both = others.unionByName(children)
     status = status_column(both)
     detail = (
         F.when(~F.col("routed"), F.lit("unrouted_type"))
-        .when(F.col("reason").isin("malformed_json", "missing_transport_id"), F.col("reason"))
+        .when(F.col("reason").isin(*S.EARLY_REASONS), F.col("reason"))
         .when(F.col("tipo").isin(*S.CHILD_TYPES) & F.col("insight_trip_id").isNull(), F.lit("awaiting_parent"))
         .otherwise(F.col("reason"))
     )

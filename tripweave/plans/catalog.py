@@ -1245,20 +1245,23 @@ def extract_since(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
-def _drain(spark, sf_dir, dedup: bool = False):
+FILES_PER_TRIGGER = 8
+
+
+def _drain(spark, sf_dir, dedup: bool = False, tables: bool = False):
     from tripweave.streaming.stream import drain, stage_files
     tune(spark)
     base = checkpoint_dir(spark)
     zone = f"{base}/tripweave-zone-{uuid.uuid4().hex}"
-    stage_files(derive_landing(spark, sf_dir), zone, n_files=8)
-    return drain(spark, zone, files_per_trigger=2, dedup=dedup)
+    stage_files(derive_landing(spark, sf_dir), zone)
+    return drain(spark, zone, files_per_trigger=FILES_PER_TRIGGER, dedup=dedup, tables=tables)
 
 
 @query("stream_drain", O.sql("""
 SELECT tipo, status, count(*) AS n_rows, count(DISTINCT user_id) AS n_users FROM st GROUP BY tipo, status
 """, *O.ALL))
 def stream_drain(spark, sf_dir):
-    """availableNow drain in 4 micro-batches; equals the batch status."""
+    """availableNow drain in micro-batches; equals the batch status."""
     s = _drain(spark, sf_dir).status()
     return s.groupBy("tipo", "status").agg(F.count("*").alias("n_rows"), F.countDistinct("user_id").alias("n_users"))
 
@@ -1277,3 +1280,50 @@ def stream_dedup(spark, sf_dir):
     """Retried payloads (same user, type, hash) dropped across micro-batches."""
     s = _drain(spark, sf_dir, dedup=True).status()
     return s.groupBy("tipo").agg(F.count("*").alias("n_rows"))
+
+
+KEY_MOD = 1_000_003
+
+_STREAM_TABLES = {
+    # table -> (key column compared)
+    "source_event": "source_event_id", "quarantine": "original_id", "insight_trip": "insight_trip_id",
+    "context_header": "context_id", "context_segment": "context_id", "context_event": "context_id",
+    "timeline_event": "source_event_id", "user_metadata": "metadata_id", "crash_event": "crash_event_id",
+    "sdk_status": "sdk_status_id", "user_activity": "activity_id", "technical_event": "technical_event_id",
+    **{f"insight_{kind}": "insight_trip_id" for kind in S.CHILD_KIND.values()},
+}
+
+
+def _stream_tables_oracle() -> str:
+    def part(name: str, key: str, source: str) -> str:
+        return (f"SELECT '{name}' AS table_name, count(*) AS n_rows, CAST(sum({key} % {KEY_MOD}) AS BIGINT) AS key_sum "
+                f"FROM {source}")
+    parts = [
+        part("source_event", "id", "st WHERE status = 'PROCESSED'"),
+        part("quarantine", "id", "st WHERE status = 'FAILED'"),
+        part("insight_trip", "id", "p WHERE NOT failed"),
+        part("context_header", "id", "cxp"),
+        part("context_event", "payload_id", "cx"),
+        part("timeline_event", "payload_id", "tl"),
+        f"SELECT 'context_segment', CAST(sum(n_segments) AS BIGINT), CAST(sum(n_segments * (id % {KEY_MOD})) AS BIGINT) FROM cxp",
+    ]
+    parts += [part(t, "id", f"fl WHERE status = 'PROCESSED' AND tipo = '{tipo}'") for t, tipo in (
+        ("user_metadata", S.METADATA), ("crash_event", S.CRASH), ("sdk_status", S.STATUS),
+        ("user_activity", S.ACTIVITY), ("technical_event", S.TECHNICAL))]
+    # a child's parent is the first insight of its order, never the retried copy
+    parts += [f"SELECT 'insight_{kind}', CAST(sum(n_events) AS BIGINT), "
+              f"CAST(sum(n_events * ((k * 1000 + 500) % {KEY_MOD})) AS BIGINT) "
+              f"FROM c WHERE status = 'PROCESSED' AND tipo = '{t}'" for t, kind in S.CHILD_KIND.items()]
+    return O.sql("\nUNION ALL ".join(parts), *O.ALL)
+
+
+@query("stream_tables", _stream_tables_oracle())
+def stream_tables(spark, sf_dir):
+    """Every domain table written by the drain, by rows and by a sum over its key; equals the batch tables."""
+    d = _drain(spark, sf_dir, tables=True)
+    out = None
+    for name, key in _STREAM_TABLES.items():
+        t = d.table(name).agg(F.count("*").alias("n_rows"), F.sum(F.col(key) % KEY_MOD).alias("key_sum")).select(
+            F.lit(name).alias("table_name"), "n_rows", "key_sum")
+        out = t if out is None else out.unionByName(t)
+    return out

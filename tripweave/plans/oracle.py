@@ -105,12 +105,18 @@ fl AS (
          CASE event_id % 6 WHEN 0 THEN 'VehicleCrash' WHEN 1 THEN 'SDKStatus' WHEN 2 THEN 'UserMetadata'
               WHEN 3 THEN 'UserActivity' WHEN 4 THEN 'TechnicalEvent' ELSE 'DebugLog' END AS tipo,
          CASE WHEN event_id % 6 = 5 THEN 'PENDING'
-              WHEN event_id % 97 = 0 THEN 'FAILED'
-              WHEN event_id % 6 = 0 AND event_id % 89 = 0 THEN 'FAILED'
+              WHEN event_id % 97 = 0 OR event_id % 101 = 0 THEN 'FAILED'
+              WHEN event_id % 6 = 0 AND (event_id % 79 = 0 OR event_id % 89 = 0) THEN 'FAILED'
+              WHEN event_id % 83 = 0 AND event_id % 6 = 0 AND event_id % 5 <> 0 THEN 'FAILED'
+              WHEN event_id % 83 = 0 AND event_id % 6 = 3 AND event_type = 'view' THEN 'FAILED'
               ELSE 'PROCESSED' END AS status,
          CASE WHEN event_id % 6 = 5 THEN 'unrouted_type'
               WHEN event_id % 97 = 0 THEN 'malformed_json'
-              WHEN event_id % 6 = 0 AND event_id % 89 = 0 THEN 'numeric_overflow' END AS reason,
+              WHEN event_id % 101 = 0 THEN 'wrong_shape'
+              WHEN event_id % 6 = 0 AND event_id % 79 = 0 THEN 'wrong_field'
+              WHEN event_id % 6 = 0 AND event_id % 89 = 0 THEN 'numeric_overflow'
+              WHEN event_id % 83 = 0 AND event_id % 6 = 0 AND event_id % 5 <> 0 THEN 'numeric_overflow'
+              WHEN event_id % 83 = 0 AND event_id % 6 = 3 AND event_type = 'view' THEN 'numeric_overflow' END AS reason,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
   FROM events e
 )"""

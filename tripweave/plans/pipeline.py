@@ -37,7 +37,7 @@ class Pipeline:
     @cached_property
     def resolved(self) -> DataFrame:
         # the guard's parent side re-reads only the narrow insight fields
-        return P.resolve(self.classified, P.parent_source(P.parse(self.landing)))
+        return P.resolve(self.classified, P.parent_keys(P.parent_source(P.parse(self.landing))))
 
     @cached_property
     def accepted(self) -> DataFrame:
@@ -188,6 +188,11 @@ def write_all(landing: DataFrame, out_dir: str, mode: str = "overwrite") -> dict
     return paths
 
 
+def stored_pipeline(resolved: DataFrame) -> Pipeline:
+    """A pipeline over a resolved stage that is already stored."""
+    return _StoredPipeline(resolved)
+
+
 class _StoredPipeline(Pipeline):
     """A pipeline whose stage-1 result was read back from storage."""
 

@@ -166,6 +166,13 @@ DEC_ATTRIBUTE = "decimal(18,4)"
 DEC_LAT = "decimal(10,8)"
 DEC_LON = "decimal(11,8)"
 
+# Narrowed fields of a location: the same list builds the columns and the overflow test.
+GEO_FIELDS = (("latitude", DEC_LAT), ("longitude", DEC_LON), ("accuracy", DEC_METRES))
+CRASH_GEO_FIELDS = (*GEO_FIELDS, ("altitude", DEC_ALTITUDE))
+
+# Reasons that fail a child payload whether or not its parent is there.
+EARLY_REASONS = ("malformed_json", "wrong_shape", "missing_transport_id")
+
 # Types whose equal payloads are legitimate repeated snapshots, so payload
 # dedup is off for them (divergence D11).
 SNAPSHOT_TYPES = (STATUS, METADATA, TECHNICAL, CONTEXT_MANUAL)

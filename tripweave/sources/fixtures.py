@@ -21,8 +21,10 @@ Rules (ids are unique across rules):
   bounded by 4096 events whatever the skew of users.
 * flat     (events, every row)      by event_id % 6: crash, status,
   metadata, activity, technical, DebugLog (unrouted); text cut in half
-  when event_id % 97 = 0 (malformed JSON); crash magnitude 1000+value when
-  event_id % 89 = 0 (numeric overflow).
+  when event_id % 97 = 0 (malformed JSON), an array root when event_id % 101
+  = 0 (wrong shape); crash magnitude 1000+value when event_id % 89 = 0 and
+  crash or stationary latitude 500 when event_id % 83 = 0 (numeric overflow);
+  crash location a text when event_id % 79 = 0 (wrong field).
 """
 
 from __future__ import annotations
@@ -391,7 +393,7 @@ def flat_payloads(events: DataFrame) -> DataFrame:
     kind = F.when(eid % 6 == 0, FLAT_KIND[0])
     for i, k in enumerate(FLAT_KIND[1:], start=1):
         kind = kind.when(eid % 6 == i, k)
-    loc = F.struct((F.lit(50.0) + uid / F.lit(10000.0)).alias("latitude"),
+    loc = F.struct(F.when(eid % 83 == 0, F.lit(500.0)).otherwise(F.lit(50.0) + uid / F.lit(10000.0)).alias("latitude"),
                    (F.lit(4.0) + (eid % 1000) / F.lit(1000.0)).alias("longitude"),
                    F.lit(10.0).alias("accuracy"), val.alias("altitude"))
     preceding = F.transform(
@@ -443,6 +445,9 @@ def flat_payloads(events: DataFrame) -> DataFrame:
         F.when(kind == S.CRASH, crash).when(kind == S.STATUS, status).when(kind == S.METADATA, metadata)
         .when(kind == S.ACTIVITY, activity).when(kind == S.TECHNICAL, technical).otherwise(debug)
     )
+    crash_text = F.regexp_replace(body, r'"location":(\{[^}]*\}|null)', '"location":"unknown"')
+    body = F.when((kind == S.CRASH) & (eid % 79 == 0), crash_text).otherwise(body)
+    body = F.when(eid % 101 == 0, F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
     body = F.when(eid % 97 == 0, F.substring(body, 1, (F.length(body) / 2).cast("int"))).otherwise(body)
     return _landing(events.select(
         (F.lit(FLAT_BASE) + eid).alias("id"),
