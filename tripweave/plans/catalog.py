@@ -1107,19 +1107,19 @@ def mart_role(spark, sf_dir):
 
 
 def _events_counts(df: DataFrame) -> DataFrame:
-    from tripweave.operators.marts import EVENT_COLUMNS
-    return df.select("usuario", "viaje", *[F.json_array_length(c).alias(f"n_{c}") for c in EVENT_COLUMNS],
+    arrays = [c for c in df.columns if c not in ("IdOffload", "FechaOffload", "usuario", "viaje", "celular_fijo", "pantalla")]
+    return df.select("usuario", "viaje", *[F.json_array_length(c).alias(f"n_{c}") for c in arrays],
                      "celular_fijo", "pantalla")
 
 
-def _events_oracle(extra_harsh: str) -> str:
+def _events_oracle(extra_harsh: str, speeding: str = "exceso_de_velocidad") -> str:
     cats = {
         "aceleracion": "tipo = 'DrivingInsightsHarshEvents' AND l_returnflag = 'A'" + extra_harsh,
         "frenado": "tipo = 'DrivingInsightsHarshEvents' AND l_returnflag = 'N'" + extra_harsh,
         "curvas": "tipo = 'DrivingInsightsHarshEvents' AND l_returnflag NOT IN ('A', 'N')" + extra_harsh,
         "uso_telefono": "tipo = 'DrivingInsightsPhoneEvents'",
         "llamados": "tipo = 'DrivingInsightsCallEvents'",
-        "exceso_de_velocidad": "tipo = 'DrivingInsightsSpeedingEvents' AND l.l_orderkey % 53 <> 0",
+        speeding: "tipo = 'DrivingInsightsSpeedingEvents' AND l.l_orderkey % 53 <> 0",
     }
     sums = ", ".join(f"coalesce(sum(CASE WHEN {cond} THEN 1 ELSE 0 END), 0) AS n_{col}" for col, cond in cats.items())
     return O.sql(f"""
@@ -1147,7 +1147,8 @@ SIGNIFICANT_CONFIDENCE = 50.0
 
 
 @query("mart_significant", _events_oracle(
-    f" AND l_quantity >= {SIGNIFICANT_MAGNITUDE} AND CAST(l_discount * 1000.0 AS DECIMAL(6,3)) >= {SIGNIFICANT_CONFIDENCE}"))
+    f" AND l_quantity >= {SIGNIFICANT_MAGNITUDE} AND CAST(l_discount * 1000.0 AS DECIMAL(6,3)) >= {SIGNIFICANT_CONFIDENCE}",
+    speeding="exceso_velocidad"))
 def mart_significant(spark, sf_dir):
     """M5 EventosSignificantes: M4 with magnitude / confidence thresholds."""
     from tripweave.operators.marts import events_mart
