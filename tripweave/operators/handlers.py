@@ -111,6 +111,18 @@ def child_events(acc: DataFrame, child_type: str) -> DataFrame:
     )
 
 
+def child_items(acc: DataFrame, *child_types: str) -> DataFrame:
+    """All events of some kinds under their parent, one row each, with the whole event object as ``item``."""
+    rows = _of(acc, *child_types).select(
+        "id", "tipo", "insight_trip_id", F.posexplode(F.col("p_child.events")).alias("pos", "item"))
+    return rows.select(
+        "insight_trip_id", "tipo", detail_id().alias("child_event_id"),
+        F.col("item.type").alias("harsh_type"),
+        narrow(F.col("item.magnitude"), S.DEC_MAGNITUDE).alias("magnitude"),
+        narrow(F.col("item.confidence"), S.DEC_CONFIDENCE).alias("confidence"),
+        "item")
+
+
 # ---------------------------------------------------------------------------
 # H7 user context
 # ---------------------------------------------------------------------------

@@ -91,6 +91,16 @@ def trip_candidates(acc: DataFrame) -> DataFrame:
     )
 
 
+def current_transports(acc: DataFrame) -> DataFrame:
+    """(user_id, canonical_id) of the final transports that a CURRENT_EVENT context payload reports."""
+    rows = acc.filter(F.col("tipo").isin(*S.CONTEXT_TYPES)
+                      & F.array_contains(F.col("p_context.criteria"), "CURRENT_EVENT"))
+    events = rows.select("user_id", F.explode(F.col("p_context.ctx.events")).alias("ev"))
+    ev = F.col("ev")
+    return events.filter(_is_transport(ev) & ~truthy(ev["isProvisional"])).select(
+        "user_id", nonblank(ev["id"]).alias("canonical_id")).filter("canonical_id IS NOT NULL")
+
+
 def _at(keys: DataFrame, rows: DataFrame, order: str, cols: list[str], at: str) -> DataFrame:
     """``keys`` + ``cols`` of the row of the same trip whose ``order`` equals ``at``.
 

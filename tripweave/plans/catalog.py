@@ -1048,6 +1048,7 @@ route AS (
   SELECT user_id, canonical_id, count(*) AS n_points,
          arg_min(latitude, point_pos) AS inicio_lat, arg_min(longitude, point_pos) AS inicio_lng,
          arg_max(latitude, point_pos) AS fin_lat, arg_max(longitude, point_pos) AS fin_lng,
+         arg_min(point_epoch, point_pos) AS inicio_epoch, arg_max(point_epoch, point_pos) AS fin_epoch,
          max(coalesce(speed_mps, 0.0)) AS maxima_velocidad_mps
   FROM pts GROUP BY 1, 2
 ),
@@ -1061,37 +1062,77 @@ trips_last AS (
 
 @query("route_summary", O.sql("""
 SELECT r.user_id AS usuario, r.canonical_id AS viaje, CAST(t.distance_meters AS DOUBLE) AS distancia_m,
-       n_points, inicio_lat, inicio_lng, fin_lat, fin_lng, maxima_velocidad_mps,
+       n_points, inicio_lat, inicio_lng, inicio_epoch, fin_lat, fin_lng, fin_epoch,
        round(maxima_velocidad_mps * 3.6, 1) AS maxima_velocidad
 FROM route r JOIN trips_last t USING (user_id, canonical_id)
 """, *_TRIP_FRAGS, _ROUTE))
 def route_summary(spark, sf_dir):
-    """M2 + A8: route geometry per trip (first/last point, max speed)."""
+    """M2 + A8: route geometry per trip (first/last point, max speed), its JSON columns read back."""
     from tripweave.operators.marts import route_mart
     r = route_mart(pipeline(spark, sf_dir).trips())
-    return r.select("usuario", "viaje", "distancia_m", "n_points", "inicio_lat", "inicio_lng", "fin_lat",
-                    "fin_lng", "maxima_velocidad_mps", "maxima_velocidad")
 
+    def end(col: str, field: str, cast: str):
+        return F.get_json_object(col, f"$.{field}").cast(cast)
 
-@query("route_polyline", None)
+    ends = [e for c in ("inicio", "fin") for e in (
+        end(f"ubicacion_{c}", "latitude", "double").alias(f"{c}_lat"),
+        end(f"ubicacion_{c}", "longitude", "double").alias(f"{c}_lng"),
+        end(f"ubicacion_{c}", "timestamp", "bigint").alias(f"{c}_epoch"))]
+    return r.select("usuario", "viaje", "distancia_m", F.json_array_length("puntos_recorrido").alias("n_points"),
+                    *ends, "maxima_velocidad")
+
+
+def _polyline_chars(delta: str) -> str:
+    """SQL text of one signed delta in the public polyline encoding (the deltas of degrees need 7 chunks at most)."""
+    z = f"(CASE WHEN {delta} < 0 THEN -2 * {delta} - 1 ELSE 2 * {delta} END)"
+    return "concat(" + ", ".join(
+        f"CASE WHEN {i} = 0 OR {z} >= {32 ** i} THEN "
+        f"chr(CAST(({z} // {32 ** i}) % 32 + CASE WHEN {z} >= {32 ** (i + 1)} THEN 95 ELSE 63 END AS INTEGER)) END"
+        for i in range(7)) + ")"
+
+
+@query("route_polyline", O.sql(f"""
+, rounded AS (
+  SELECT user_id, canonical_id, point_pos, CAST(floor(latitude * 100000 + 0.5::DOUBLE) AS BIGINT) AS la,
+         CAST(floor(longitude * 100000 + 0.5::DOUBLE) AS BIGINT) AS lo
+  FROM pts
+),
+deltas AS (
+  SELECT user_id, canonical_id, point_pos, la - coalesce(lag(la) OVER w, 0) AS dla, lo - coalesce(lag(lo) OVER w, 0) AS dlo
+  FROM rounded WINDOW w AS (PARTITION BY user_id, canonical_id ORDER BY point_pos)
+)
+SELECT user_id AS usuario, canonical_id AS viaje,
+       string_agg(concat({_polyline_chars('dla')}, {_polyline_chars('dlo')}), '' ORDER BY point_pos) AS polyline
+FROM deltas GROUP BY 1, 2
+""", *_TRIP_FRAGS))
 def route_polyline(spark, sf_dir):
-    """M2 polyline (encoded with native expressions; rows-only check plus the
-    published test vector in the unit tests)."""
+    """M2 polyline, encoded with native expressions."""
     from tripweave.operators.marts import route_mart
     return route_mart(pipeline(spark, sf_dir).trips()).select("usuario", "viaje", "polyline")
 
 
 @query("mart_trip", O.sql("""
+, sources AS (
+  SELECT user_id, canonical_id, true AS motorised FROM p WHERE NOT failed AND NOT is_provisional
+  UNION
+  SELECT x.uid, x.event_key, false FROM cx x JOIN cxp ON cxp.id = x.payload_id
+  WHERE cxp.tipo = 'UserContextUpdate' AND (ev_type = 'IN_TRANSPORT' OR transport_mode IS NOT NULL) AND NOT is_provisional
+)
 SELECT CAST(NULL AS INTEGER) AS IdOffload, CAST(NULL AS DATE) AS FechaOffload,
        t.user_id AS usuario, t.canonical_id AS viaje, t.transport_mode AS modo_transporte,
        t.start_time AS comienzo, t.end_time AS fin, CAST(t.duration_in_seconds AS INTEGER) AS duracion,
        '[]' AS metadata, round(r.maxima_velocidad_mps * 3.6, 1) AS velocidad_maxima
-FROM trips_last t LEFT JOIN route r USING (user_id, canonical_id)
-""", *_TRIP_FRAGS, _ROUTE))
+FROM trips_last t
+JOIN sources s ON s.user_id = t.user_id AND s.canonical_id = t.canonical_id
+     AND s.motorised = coalesce(t.transport_mode IN ('CAR', 'MOTORCYCLE', 'BUS'), false)
+LEFT JOIN route r ON r.user_id = t.user_id AND r.canonical_id = t.canonical_id
+""", *_TRIP_FRAGS, O.CX_PAYLOADS, _ROUTE))
 def mart_trip(spark, sf_dir):
     """M1 Transporte."""
     from tripweave.operators.marts import trip_mart
-    return trip_mart(pipeline(spark, sf_dir).trips())
+    from tripweave.operators.trips import current_transports
+    p = pipeline(spark, sf_dir)
+    return trip_mart(p.trips(), p.insight_trip, current_transports(p.accepted_alone))
 
 
 @query("mart_role", O.sql("""
@@ -1130,16 +1171,17 @@ GROUP BY 1, 2
 """, O.PARENTS, O.CHILDREN)
 
 
-def _children(p: Pipeline) -> dict[str, DataFrame]:
-    return {kind: p.child(t) for t, kind in S.CHILD_KIND.items()}
+def _events_mart(spark, sf_dir, *thresholds: float) -> DataFrame:
+    from tripweave.operators.handlers import child_items
+    from tripweave.operators.marts import EVENT_TYPES, events_mart
+    p = pipeline(spark, sf_dir)
+    return events_mart(p.insight_trip, child_items(p.accepted, *EVENT_TYPES), *thresholds)
 
 
 @query("mart_events", _events_oracle(""))
 def mart_events(spark, sf_dir):
-    """M4 Eventos: JSON arrays per category (sizes compared)."""
-    from tripweave.operators.marts import events_mart
-    p = pipeline(spark, sf_dir)
-    return _events_counts(events_mart(p.insight_trip, _children(p)))
+    """M4 Eventos: JSON arrays per category (sizes; their content is ``mart_event_items``)."""
+    return _events_counts(_events_mart(spark, sf_dir))
 
 
 SIGNIFICANT_MAGNITUDE = 25.0
@@ -1151,9 +1193,47 @@ SIGNIFICANT_CONFIDENCE = 50.0
     speeding="exceso_velocidad"))
 def mart_significant(spark, sf_dir):
     """M5 EventosSignificantes: M4 with magnitude / confidence thresholds."""
-    from tripweave.operators.marts import events_mart
-    p = pipeline(spark, sf_dir)
-    return _events_counts(events_mart(p.insight_trip, _children(p), SIGNIFICANT_MAGNITUDE, SIGNIFICANT_CONFIDENCE))
+    return _events_counts(_events_mart(spark, sf_dir, SIGNIFICANT_MAGNITUDE, SIGNIFICANT_CONFIDENCE))
+
+
+_ITEM = ("array<struct<startTimeEpoch:bigint,endTimeEpoch:bigint,magnitude:double,confidence:double,type:string,"
+         "callState:string,minTraveledSpeedMps:double,minTraveledSpeedInMps:double,handsFreeState:string,"
+         "waypoints:array<struct<latitude:double,timestamp:bigint>>>>")
+
+
+@query("mart_event_items", O.sql(f"""
+SELECT t.user_id AS usuario, t.canonical_id AS viaje,
+       CASE l_linenumber WHEN 2 THEN 'uso_telefono' WHEN 3 THEN 'llamados' WHEN 4 THEN 'exceso_de_velocidad'
+            ELSE CASE l_returnflag WHEN 'A' THEN 'aceleracion' WHEN 'N' THEN 'frenado' ELSE 'curvas' END END AS columna,
+       epoch_ms(l_shipdate + to_seconds(l_partkey % 3600)) AS start_epoch,
+       epoch_ms(l_shipdate + to_seconds(l_partkey % 3600 + l_linenumber * 10)) AS end_epoch,
+       CASE WHEN ordinal = 1 THEN CAST(l_quantity AS DOUBLE) END AS magnitude,
+       CASE WHEN ordinal = 1 THEN round(CAST(l_discount AS DOUBLE) * 1000, 3) END AS confidence,
+       CASE WHEN ordinal = 1 THEN {_HARSH_TYPE} END AS harsh_type,
+       CASE WHEN ordinal = 2 THEN CASE l_returnflag WHEN 'A' THEN 'NO_CALL' WHEN 'N' THEN 'CALL_IN_PROGRESS'
+                                  ELSE 'UNAVAILABLE' END END AS call_state,
+       CASE WHEN ordinal = 3 THEN round(CAST(l_discount AS DOUBLE) * 100, 3) END AS min_speed,
+       CASE WHEN ordinal = 3 THEN CASE l_returnflag WHEN 'A' THEN 'HANDS_FREE' WHEN 'N' THEN 'HANDHELD'
+                                  ELSE 'UNAVAILABLE' END END AS hands_free_state,
+       CAST(l_suppkey % 3 + 1 AS INTEGER) AS n_waypoints,
+       epoch_ms(l_shipdate + to_seconds(l_partkey % 3600)) AS first_point_epoch
+FROM (SELECT DISTINCT user_id, canonical_id, k FROM p WHERE NOT failed) t
+JOIN c_lines l ON l.l_orderkey = t.k AND t.canonical_id = concat('t', t.k) AND l.l_orderkey % 997 <> 0
+WHERE ordinal <> 5 AND NOT (ordinal = 4 AND l.l_orderkey % 53 = 0)
+""", O.PARENTS, O.CHILDREN))
+def mart_event_items(spark, sf_dir):
+    """M4/A10: every item of the mart's JSON arrays, read back from their text."""
+    from tripweave.operators.marts import EVENT_COLUMNS
+    m = _events_mart(spark, sf_dir)
+    arrays = F.array(*[F.struct(F.lit(c).alias("columna"), F.from_json(c, _ITEM).alias("items")) for c in EVENT_COLUMNS])
+    rows = m.select("usuario", "viaje", F.inline(arrays)).select("usuario", "viaje", "columna", F.explode("items").alias("i"))
+    return rows.select(
+        "usuario", "viaje", "columna", F.col("i.startTimeEpoch").alias("start_epoch"),
+        F.col("i.endTimeEpoch").alias("end_epoch"), "i.magnitude", F.round("i.confidence", 3).alias("confidence"),
+        F.col("i.type").alias("harsh_type"), F.col("i.callState").alias("call_state"),
+        F.round(F.coalesce("i.minTraveledSpeedMps", "i.minTraveledSpeedInMps"), 3).alias("min_speed"),
+        F.col("i.handsFreeState").alias("hands_free_state"), F.size("i.waypoints").alias("n_waypoints"),
+        F.element_at("i.waypoints", 1)["timestamp"].alias("first_point_epoch"))
 
 
 @query("mart_scores_primary", O.sql("""

@@ -158,4 +158,5 @@ def with_(*fragments: str) -> str:
 
 
 def sql(body: str, *fragments: str) -> str:
+    """``body`` after the fragments; a body that starts with a comma brings fragments of its own."""
     return with_(*fragments) + body
