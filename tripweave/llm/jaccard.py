@@ -39,6 +39,7 @@ from tripweave.session import stored
 
 GRAM, SIMILARITY, RECALL = 5, 0.8, 0.9995
 SAMPLES, BRANCHES, DEPTH, SMALL, BLOCK = 64, 2, 3, 128, 512
+SALTS = 64
 SEED = 11
 
 
@@ -122,9 +123,11 @@ def leaves(sets: DataFrame, runs: int) -> DataFrame:
     out = None
     for level in range(1, DEPTH + 1):
         # a set may reach a node by two of its samples: once is enough
-        below = stored(_children(nodes).distinct(), f"level{level}")
-        sizes = below.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-        sized = stored(below.join(sizes, "key"), f"nodes{level}")
+        below = stored(_children(nodes).distinct().withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")), f"level{level}")
+        # a node's size goes to the salts that its sets have, so a node of very many sets is spread over tasks
+        sizes = below.groupBy("key").agg(F.count("*").alias("size"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts")).filter("size > 1")
+        sizes = sizes.withColumn("salt", F.explode(F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.getbit("salts", i) == 1))).drop("salts")
+        sized = stored(below.join(sizes, ["key", "salt"]).select("rep", "key", "size"), f"nodes{level}")
         done = sized if level == DEPTH else sized.filter(F.col("size") <= SMALL)
         out = done if out is None else out.unionByName(done)
         if level < DEPTH:
