@@ -14,25 +14,25 @@ from pyspark.sql import functions as F
 from tripweave import schemas as S
 from tripweave.functions import labels as L
 from tripweave.functions import nonblank, semver_ok, truthy
-from tripweave.operators.views import expected_counts, table_counts
+from tripweave.operators.views import expected_counts, expected_tables, table_counts
 
 
 def _trip_keys(acc: DataFrame) -> DataFrame:
     """Final transports each processed payload should have put in the trip table."""
     te = F.col("p_insight.transportEvent")
     ins = acc.filter(F.col("tipo") == S.DRIVING_INSIGHTS).select(
-        "id", "user_id", nonblank(te["id"]).alias("canonical_id"), truthy(te["isProvisional"]).alias("prov"))
+        "id", "tipo", "user_id", nonblank(te["id"]).alias("canonical_id"), truthy(te["isProvisional"]).alias("prov"))
     evs = []
     for types, arr in ((S.CONTEXT_TYPES, "p_context.ctx.events"), (S.TIMELINE_TYPES, "p_timeline")):
-        e = acc.filter(F.col("tipo").isin(*types)).select("id", "user_id", F.explode(F.col(arr)).alias("e"))
+        e = acc.filter(F.col("tipo").isin(*types)).select("id", "tipo", "user_id", F.explode(F.col(arr)).alias("e"))
         evs.append(e.filter(F.coalesce(F.col("e.type") == "IN_TRANSPORT", F.lit(False))
                             | nonblank(F.col("e.transportMode")).isNotNull())
-                   .select("id", "user_id", nonblank(F.col("e.id")).alias("canonical_id"),
+                   .select("id", "tipo", "user_id", nonblank(F.col("e.id")).alias("canonical_id"),
                            truthy(F.col("e.isProvisional")).alias("prov")))
     act = acc.filter((F.col("tipo") == S.ACTIVITY) & (
         nonblank(F.col("p_activity.tripType")).isNotNull()
         | F.coalesce(F.col("p_activity.activityType") == "IN_TRANSPORT", F.lit(False)))).select(
-        "id", "user_id", F.concat(F.lit("activity:"), F.col("id").cast("string")).alias("canonical_id"),
+        "id", "tipo", "user_id", F.concat(F.lit("activity:"), F.col("id").cast("string")).alias("canonical_id"),
         F.lit(False).alias("prov"))
     out = ins
     for e in evs + [act]:
@@ -40,6 +40,17 @@ def _trip_keys(acc: DataFrame) -> DataFrame:
     return out
 
 
+def _trip_counts(acc: DataFrame, trips: DataFrame) -> DataFrame:
+    """Per payload that reports transports: final ones, those of them in the trip table, and provisional ones there."""
+    t = trips.select("user_id", "canonical_id", F.lit(True).alias("in_trip"))
+    found = F.coalesce(F.col("in_trip"), F.lit(False))
+    return _trip_keys(acc).join(t, ["user_id", "canonical_id"], "left").groupBy("id", "tipo").agg(
+        F.sum((~F.col("prov") & F.col("canonical_id").isNotNull()).cast("int")).alias("expected_trips"),
+        F.sum((~F.col("prov") & found).cast("int")).alias("found_trips"),
+        F.sum((F.col("prov") & found & ~F.col("canonical_id").startswith("activity:")).cast("int"))
+        .alias("provisional_in_trip"))
+
+
 def reconcile(acc: DataFrame, tables: dict[str, tuple[DataFrame, str]], trips: DataFrame) -> DataFrame:
     """One row per processed landing row with PASS/FAIL.
 
@@ -47,15 +58,9 @@ def reconcile(acc: DataFrame, tables: dict[str, tuple[DataFrame, str]], trips: D
     transports present in the trip table and provisional ones absent (R3,
     user included, divergence D26).
     """
-    expected = acc.select("id", "tipo", "user_id", expected_counts(acc).alias("expected_rows"))
+    expected = acc.select("id", "tipo", "user_id", expected_counts().alias("expected_rows"))
     actual = table_counts(tables).groupBy("landing_id").agg(F.sum("n_rows").alias("actual_rows"))
-    keys = _trip_keys(acc)
-    t = trips.select("user_id", "canonical_id", F.lit(True).alias("in_trip"))
-    tk = keys.join(t, ["user_id", "canonical_id"], "left").groupBy("id").agg(
-        F.sum((~F.col("prov") & F.col("canonical_id").isNotNull()).cast("int")).alias("expected_trips"),
-        F.sum((~F.col("prov") & F.coalesce(F.col("in_trip"), F.lit(False))).cast("int")).alias("found_trips"),
-        F.sum((F.col("prov") & F.coalesce(F.col("in_trip"), F.lit(False))
-               & ~F.col("canonical_id").startswith("activity:")).cast("int")).alias("provisional_in_trip"))
+    tk = _trip_counts(acc, trips).drop("tipo")
     out = (expected.join(actual.withColumnRenamed("landing_id", "id"), "id", "left")
            .join(tk, "id", "left")
            .select("id", "tipo", "user_id", "expected_rows",
@@ -68,6 +73,57 @@ def reconcile(acc: DataFrame, tables: dict[str, tuple[DataFrame, str]], trips: D
     return out.withColumn("status", F.when(ok, "PASS").otherwise("FAIL"))
 
 
+#: results of a check, by rising weight
+RESULTS = ("PASS", "WARN", "FAIL", "ERROR")
+
+
+def reconcile_checks(resolved: DataFrame, tables: dict[str, tuple[DataFrame, str]], audit: DataFrame,
+                     trips: DataFrame) -> DataFrame:
+    """Named checks of every landing row, as (id, tipo, check_name, expected, actual, result).
+
+    A processed row is checked against each table of its type (``expected_tables``)
+    and for its audit row; the transports it reports by ``trip_present`` and
+    ``trip_absent`` (provisional ones); a child by ``parent``, also while it waits.
+    Rows that never got that far: ``validator`` (no handler for the type) and
+    ``transport_id`` (a child without one) are warnings, ``payload`` (unreadable) is an error.
+    """
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    acc = resolved.filter(F.col("status") == S.PROCESSED)
+    audited = F.array(F.struct(F.lit("source_event").alias("table_name"), one.alias("expected")))
+    expected = acc.select("id", "tipo", F.explode(F.concat(expected_tables(), audited)).alias("x")).select(
+        "id", "tipo", F.col("x.table_name").alias("check_name"), "x.expected")
+    actual = table_counts({**tables, "source_event": (audit, "landing_id")}).select(
+        F.col("landing_id").alias("id"), F.col("table_name").alias("check_name"), F.col("n_rows").alias("actual"))
+    counted = expected.join(actual, ["id", "check_name"], "left").select(
+        "id", "tipo", "check_name", "expected", F.coalesce("actual", zero).alias("actual"))
+
+    def pair(name: str, want, got) -> Column:
+        return F.struct(F.lit(name).alias("check_name"), want.cast("bigint").alias("expected"), got.cast("bigint").alias("actual"))
+
+    transports = _trip_counts(acc, trips).select("id", "tipo", F.inline(F.array(
+        pair("trip_present", F.col("expected_trips"), F.col("found_trips")),
+        pair("trip_absent", zero, F.col("provisional_in_trip")))))
+    why, child = F.col("status_reason"), F.col("tipo").isin(*S.CHILD_TYPES)
+    parents = resolved.filter(child & ((F.col("status") == S.PROCESSED) | (why == "awaiting_parent"))).select(
+        "id", "tipo", F.lit("parent").alias("check_name"), one.alias("expected"),
+        F.col("insight_trip_id").isNotNull().cast("bigint").alias("actual"))
+    compared = counted.unionByName(transports).unionByName(parents).withColumn(
+        "result", F.when(F.col("expected") == F.col("actual"), "PASS").otherwise("FAIL"))
+    name = (F.when(why == "unrouted_type", "validator").when(why == "missing_transport_id", "transport_id")
+            .when(F.col("status") == S.FAILED, "payload"))
+    found = resolved.select("id", "tipo", name.alias("check_name"), one.alias("expected"), zero.alias("actual")).filter(
+        F.col("check_name").isNotNull())
+    return compared.unionByName(found.withColumn(
+        "result", F.when(F.col("check_name") == "payload", "ERROR").otherwise("WARN")))
+
+
+def record_status(checks: DataFrame) -> DataFrame:
+    """The weightiest result of each landing row's checks."""
+    weight = F.array_position(F.array(*[F.lit(r) for r in RESULTS]), F.col("result")).cast("int")
+    return checks.groupBy("id", "tipo").agg(F.max(weight).alias("w")).select(
+        "id", "tipo", F.element_at(F.array(*[F.lit(r) for r in RESULTS]), F.col("w")).alias("status"))
+
+
 def reconcile_summary(rows: DataFrame) -> DataFrame:
     """PASS/FAIL totals per type with a basis-point share of all rows.
 

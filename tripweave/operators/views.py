@@ -97,23 +97,42 @@ def table_counts(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
-def expected_counts(acc: DataFrame) -> Column:
-    """A5: detail rows a payload should produce, from its array sizes."""
+FLAT_TABLES = {S.CRASH: "crash_event", S.STATUS: "sdk_status", S.ACTIVITY: "user_activity",
+               S.TECHNICAL: "technical_event", S.METADATA: "user_metadata"}
+
+
+def expected_tables() -> Column:
+    """A5: (table_name, expected) of every table that a payload of an accepted row's type feeds, from its array sizes."""
     def sz(c: str) -> Column:
         return F.coalesce(F.size(F.col(c)), F.lit(0))
 
-    ctx = "p_context.ctx"
+    def listing(**expected) -> Column:
+        return F.array(*[F.struct(F.lit(n).alias("table_name"), F.lit(e).cast("bigint").alias("expected"))
+                         for n, e in expected.items()])
+
+    ctx, t = "p_context.ctx", F.col("tipo")
     seg_attrs = F.coalesce(F.aggregate(F.col(f"{ctx}.activeSegments"), F.lit(0),
-                                       lambda acc_, s: acc_ + F.coalesce(F.size(s["attributes"]), F.lit(0))),
-                           F.lit(0))
-    t = F.col("tipo")
-    return (
-        F.when(t == S.DRIVING_INSIGHTS, F.lit(1))
-        .when(t.isin(*S.CHILD_TYPES), sz("p_child.events"))
-        .when(t.isin(*S.TIMELINE_TYPES), sz("p_timeline"))
-        .when(t.isin(*S.CONTEXT_TYPES),
-              1 + sz("p_context.criteria") + F.col(f"{ctx}.home").isNotNull().cast("int")
-              + F.col(f"{ctx}.work").isNotNull().cast("int") + sz(f"{ctx}.activeSegments") + seg_attrs
-              + sz(f"{ctx}.events"))
-        .otherwise(F.lit(1))
-    )
+                                       lambda n, s: n + F.coalesce(F.size(s["attributes"]), F.lit(0))), F.lit(0))
+    out = F.when(t == S.DRIVING_INSIGHTS, listing(insight_trip=1))
+    for child_type, kind in S.CHILD_KIND.items():
+        out = out.when(t == child_type, listing(**{f"insight_{kind}": sz("p_child.events")}))
+    out = out.when(t.isin(*S.TIMELINE_TYPES), listing(timeline_event=sz("p_timeline")))
+    out = out.when(t.isin(*S.CONTEXT_TYPES), listing(
+        context_header=1, context_criteria=sz("p_context.criteria"),
+        context_home=F.col(f"{ctx}.home").isNotNull().cast("int"),
+        context_work=F.col(f"{ctx}.work").isNotNull().cast("int"), context_segment=sz(f"{ctx}.activeSegments"),
+        context_segment_attribute=seg_attrs, context_event=sz(f"{ctx}.events")))
+    for flat_type, name in FLAT_TABLES.items():
+        out = out.when(t == flat_type, listing(**{name: 1}))
+    return out
+
+
+def expected_counts() -> Column:
+    """A5: detail rows a payload should produce in all tables together."""
+    return F.aggregate(expected_tables(), F.lit(0), lambda n, x: n + x["expected"].cast("int"))
+
+
+def processed(rows: DataFrame, top: int | None = None) -> DataFrame:
+    """O3: processed rows by ascending id, all or the first ``top``."""
+    out = rows.filter(F.col("status") == S.PROCESSED).orderBy("id")
+    return out if top is None else out.limit(top)

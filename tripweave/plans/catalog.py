@@ -817,6 +817,73 @@ def reconcile_summary(spark, sf_dir):
     return summary(_reconcile(spark, sf_dir))
 
 
+CHECKS = f"""
+chk AS (
+  SELECT id, tipo, 'source_event' AS check_name, 1 AS expected, 1 AS actual, 'PASS' AS result FROM st WHERE status = 'PROCESSED'
+  UNION ALL SELECT id, 'DrivingInsights', 'insight_trip', 1, 1, 'PASS' FROM p WHERE NOT failed
+  UNION ALL SELECT id, tipo, concat('insight_', CASE tipo {' '.join(f"WHEN '{t}' THEN '{kind}'" for t, kind in S.CHILD_KIND.items())} END),
+         n_events, n_events, 'PASS' FROM c WHERE status = 'PROCESSED'
+  UNION ALL SELECT id, tipo, 'parent', 1, CASE status WHEN 'PROCESSED' THEN 1 ELSE 0 END,
+         CASE status WHEN 'PROCESSED' THEN 'PASS' ELSE 'FAIL' END FROM c WHERE status <> 'FAILED'
+  UNION ALL SELECT id, tipo, 'transport_id', 1, 0, 'WARN' FROM c WHERE status = 'FAILED'
+  UNION ALL SELECT id, tipo, 'timeline_event', n_events, n_events, 'PASS' FROM tlp
+  UNION ALL SELECT id, tipo, unnest(['context_header', 'context_criteria', 'context_home', 'context_work', 'context_segment',
+                                     'context_segment_attribute', 'context_event']), unnest(n), unnest(n), 'PASS'
+  FROM (SELECT id, tipo, [1, CASE WHEN tipo = 'requestUserContext' THEN 1 ELSE 2 END, CAST(user_num % 3 = 0 AS INTEGER),
+                          CAST(user_num % 3 = 1 AS INTEGER), n_segments, 2 * n_segments, n_events] AS n FROM cxp)
+  UNION ALL SELECT id, tipo, CASE tipo WHEN 'VehicleCrash' THEN 'crash_event' WHEN 'SDKStatus' THEN 'sdk_status'
+         WHEN 'UserActivity' THEN 'user_activity' WHEN 'TechnicalEvent' THEN 'technical_event' ELSE 'user_metadata' END,
+         1, 1, 'PASS' FROM fl WHERE status = 'PROCESSED'
+  UNION ALL SELECT id, tipo, unnest(['trip_present', 'trip_absent']), unnest([n, 0]), unnest([n, 0]), 'PASS' FROM (
+    SELECT id, 'DrivingInsights' AS tipo, CASE WHEN is_provisional THEN 0 ELSE 1 END AS n FROM p WHERE NOT failed
+    UNION ALL SELECT id, tipo, 1 FROM fl
+    WHERE status = 'PROCESSED' AND tipo = 'UserActivity' AND event_type IN ('click', 'purchase')
+    UNION ALL SELECT e.payload_id, any_value(e.tipo), count(*) FILTER (WHERE NOT is_provisional) FROM (
+      SELECT payload_id, tlp.tipo, ev_type, transport_mode, is_provisional FROM tl JOIN tlp ON tlp.id = payload_id
+      UNION ALL SELECT payload_id, cxp.tipo, ev_type, transport_mode, is_provisional FROM cx JOIN cxp ON cxp.id = payload_id) e
+    WHERE ev_type = 'IN_TRANSPORT' OR transport_mode IS NOT NULL GROUP BY e.payload_id)
+  UNION ALL SELECT id, tipo, 'validator', 1, 0, 'WARN' FROM st WHERE reason = 'unrouted_type'
+  UNION ALL SELECT id, tipo, 'payload', 1, 0, 'ERROR' FROM st WHERE status = 'FAILED' AND reason <> 'missing_transport_id'
+)"""
+
+
+def _checks(spark, sf_dir) -> DataFrame:
+    from tripweave.operators.quality import reconcile_checks as checks
+    p = pipeline(spark, sf_dir).materialized()
+    return checks(p.resolved, _recon_tables(p), p.source_event, p.trips())
+
+
+@query("reconcile_checks", O.sql("""
+SELECT tipo, check_name, result, count(*) AS n_rows, CAST(sum(expected) AS BIGINT) AS n_expected,
+       CAST(sum(actual) AS BIGINT) AS n_actual
+FROM chk GROUP BY tipo, check_name, result
+""", *O.ALL, CHECKS))
+def reconcile_checks(spark, sf_dir):
+    """Named checks of every landing row, by type and result."""
+    return _checks(spark, sf_dir).groupBy("tipo", "check_name", "result").agg(
+        F.count("*").alias("n_rows"), F.sum("expected").alias("n_expected"), F.sum("actual").alias("n_actual"))
+
+
+@query("record_status", O.sql("""
+SELECT id, tipo, CASE max(CASE result WHEN 'ERROR' THEN 4 WHEN 'FAIL' THEN 3 WHEN 'WARN' THEN 2 ELSE 1 END)
+                 WHEN 4 THEN 'ERROR' WHEN 3 THEN 'FAIL' WHEN 2 THEN 'WARN' ELSE 'PASS' END AS status
+FROM chk GROUP BY id, tipo
+""", *O.ALL, CHECKS))
+def record_status(spark, sf_dir):
+    """PASS, WARN, FAIL or ERROR of every landing row."""
+    from tripweave.operators.quality import record_status as status
+    return status(_checks(spark, sf_dir))
+
+
+@query("processed_scan", O.sql("""
+SELECT id, tipo, user_id FROM st WHERE status = 'PROCESSED'
+""", *O.ALL))
+def processed_scan(spark, sf_dir):
+    """O3: processed rows by ascending id."""
+    from tripweave.operators.views import processed
+    return processed(pipeline(spark, sf_dir).landing_status).select("id", "tipo", "user_id")
+
+
 _SCORE_PATHS = {"safetyScores.smoothScore": "smooth_score", "safetyScores.focusScore": "focus_score",
                 "safetyScores.legalScore": "legal_score", "safetyScores.overallScore": "overall_score",
                 "safetyScores.attentionScore": "attention_score",
