@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -69,6 +70,20 @@ def test_pieces_equal_the_tokenizer(spark, rows):
     assert got == want
 
 
+def test_words_before_punctuation_equal_the_tokenizer():
+    """Trailing punctuation is a split of its own only after a letter or digit."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path(K.VOCABULARY))
+    tok.encode_special_tokens = True
+    stems = ["'hello'", "20€", "«oui»", "“yes”", "word’", "a…", "x", "7", "½", "é", "e\u0301", "İ", "Σ", "क़", "שׁ", "한", "१", "it's", "'s", "'", "—", "👩‍👩", "\u1fef", "\u037e", "a\u0338", "a\xa0", "<|endoftext|"]
+    words = [s + p for s in stems for p in ("", ".", "!", ",", "),", ">", "'.", ".'", "=\u0338", "...", "?!")]
+    words += [chr(c) + p for c in range(0x21, 0x3000) for p in (".", ")!")]
+    got = K.WordIds(public_tokenizers.path(K.VOCABULARY)).encode(pa.array(words))
+    for w, x in zip(words, got):
+        assert np.frombuffer(x, "<u4").tolist() == tok.encode(w, add_special_tokens=False).ids, ascii(w)
+
+
 def check_packing(rows, capacity):
     bins = defaultdict(list)
     for r in rows:

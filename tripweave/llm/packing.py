@@ -52,8 +52,11 @@ class WordIds:
 
     The vocabulary's own splitting drops white space and never joins across it,
     so a text's ids are those of its words in order.  A word's trailing ASCII
-    punctuation (no apostrophe) is likewise a split of its own, and what is left
-    mostly is one run of Latin letters, which goes to the merge model at once.
+    punctuation (no apostrophe) is likewise a split of its own if a letter or
+    digit is before it; after any other character it belongs to that one's run.
+    Only Latin letters and digits are asked for here, since others may end in a
+    mark once normalised (so does U+0130).  What is left mostly is one run of
+    Latin letters, which goes to the merge model at once.
     """
 
     def __init__(self, path: str):
@@ -75,8 +78,9 @@ class WordIds:
 
     def _word_ids(self, word: str) -> bytes:
         stem = word.rstrip(_PUNCTUATION)
+        apart = stem and stem[-1].isalnum() and stem[-1] < "\u0250" and stem[-1] != "\u0130"
         out = b""
-        for part in (stem, word[len(stem):]) if stem else (word,):
+        for part in (stem, word[len(stem):]) if apart else (word,):
             if part:
                 key = part.lower() if part.isascii() else part
                 if (ids := self.parts.get(key)) is None:
