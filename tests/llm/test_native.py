@@ -146,6 +146,32 @@ def test_invalid_and_odd_values_stay(spark):
     assert Counter((r.doc_id, r.text) for r in got) == Counter(rows)
 
 
+CARD, IBAN, PHONE = "4111 1111 1111 1111", "BE68 5390 0754 7034", "212-555-0199"
+#: Texts where a greedy or failing candidate hides a value: the values to be replaced.
+HIDDEN = [
+    (f"{CARD} 12/25", [CARD]), (f"{CARD} 123", [CARD]), (f"{CARD} 124 é", [CARD]), (f"on 12 {CARD}", [CARD]), (f"2024 1234 5678 9012 {CARD}", [CARD]),
+    (f"90210 {PHONE}", [PHONE]), (f"90210 10001 {PHONE}", [PHONE]), ("2024 123-45-6789", ["123-45-6789"]), ("2024 667-01-0001 17", ["667-01-0001"]),
+    (f"{IBAN} EUR 100", [IBAN]), (f"{IBAN} EUR 100, {CARD} 123; {PHONE} 90210 1", [IBAN, CARD, PHONE]),
+    ("4111-1111 1111 1111 12", ["4111-1111 1111 1111"]), ("4111111111111112 2024-02-29", ["2024-02-29"]),
+    ("4111 1111 1111 1112-b0b@x.co", ["1112-b0b@x.co"]), (f"{PHONE} {PHONE} 1", [PHONE, PHONE]), (f"+1 {PHONE}\n{CARD}", [f"+1 {PHONE}", CARD]),
+]
+
+
+def test_failing_candidates_hide_no_value(spark):
+    alone = sorted({v for _, values in HIDDEN for v in values})
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(alone)], "doc_id long, text string")
+    new = {alone[r.doc_id]: r.text for r in P.pseudonymise(df, "k").collect()}
+    assert all(a != b for a, b in new.items())
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(HIDDEN)], "doc_id long, text string")
+    for r in P.pseudonymise(df, "k").collect():
+        want, at = "", 0
+        text, values = HIDDEN[r.doc_id]
+        for v in values:
+            a = text.index(v, at)
+            want, at = want + text[at:a] + new[v], a + len(v)
+        assert r.text == want + text[at:] and len(r.found) == len(values), (text, r.text)
+
+
 def test_feistel_is_a_permutation(spark):
     pairs = spark.range(17 * 40).select(F.array((F.col("id") / 40).cast("int"), (F.col("id") % 40).cast("int")).alias("s"))
     out = pairs.select(P.feistel(F.col("s"), F.array(F.lit(17), F.lit(40)), "k", "t").alias("p")).collect()

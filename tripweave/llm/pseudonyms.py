@@ -15,6 +15,13 @@ two; in alternating rounds one part is shifted, symbol by symbol and modulo the
 radix, by a keyed hash of the other part.  Every round can be undone, so the
 whole is a permutation of all values of that format.
 
+Candidates are first looked for in their legal forms only (cards by their usual
+groups, IBANs by their country's length).  A text where one fails validation, or
+where a looser form is left, is looked at once more, region by region: every
+place where a value may start is tried, from left to right, kind by kind, and
+then every separator-bounded length of the loose forms, longest first, in what
+is left.  So a failing candidate hides no value inside it or across its end.
+
 Rules: null text stays null, empty text empty; candidates that fail validation
 stay as they are; rows are worked on alone, so there is nothing to skew.
 """
@@ -36,7 +43,47 @@ PATTERNS = {
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Account numbers' countries by the length of their IBANs.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG",
+    25: "LY|PT|ST", 26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL|SV",
+    29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+_BEFORE, _AFTER = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
+
+
+def _grouped(country: str, n: int) -> str:
+    tail = f" [A-Z0-9]{{{n % 4}}}" if n % 4 else ""
+    return f"(?:{country})[0-9]{{2}}(?:[A-Z0-9]{{{n - 4}}}|(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}{tail})"
+
+
+#: Legal forms of the kinds whose patterns are loose, as parts of those; cards in one run or in groups with one separator.
+LEGAL = {
+    "iban": _BEFORE + "(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(_grouped(c, n) for n, c in _IBAN_LENGTHS.items()) + ")" + _AFTER,
+    "card": _BEFORE + "(?:[0-9]{13,19}|" + "|".join(
+        f"[0-9]{{4}}{sep}" + sep.join(f"[0-9]{{{n}}}" for n in groups)
+        for sep in (" ", "-") for groups in ((4, 4, 4), (6, 5), (6, 4), (3, 3, 3))) + ")" + _AFTER,
+}
+STRICT = [LEGAL.get(kind, p) for kind, p in PATTERNS.items()]
+#: Loose forms by length, longest first.
+LOOSE = [
+    _BEFORE + "[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}" + _AFTER,
+    *(f"{_BEFORE}[A-Z]{{2}}[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{n}}} [A-Z0-9]{{1,4}}{_AFTER}" for n in range(7, 1, -1)),
+    _BEFORE + "[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2}" + _AFTER,
+    *(f"{_BEFORE}[0-9](?:[ -]?[0-9]){{{n}}}{_AFTER}" for n in range(18, 11, -1)),
+]
+
+
+def _either(patterns) -> str:
+    return "|".join(f"(?:{p})" for p in patterns)
+
+
+ANY, ANY_STRICT, ANY_LOOSE = _either(PATTERNS.values()), _either(STRICT), _either([PATTERNS["iban"], PATTERNS["card"]])
+#: Stretches that no value crosses: values' characters, and single blanks where an IBAN, a card or a phone number may have one.
+REGION = r"[A-Za-z0-9._%+@()/-]++(?:(?<=[A-Z0-9)]) (?=[A-Z0-9(])[A-Za-z0-9._%+@()/-]++)*+"
+#: Characters that a value other than an e-mail address may take up, and more.
+_REACH = 64
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -210,29 +257,84 @@ def _date(m: Column, key: str) -> Column:
 _MAKERS = {"email": _email, "iban": _iban, "date": _date, "ssn": _ssn, "phone": _phone, "ip": _ip, "card": _card}
 
 
-def pseudonym(m: Column, key: str) -> Column:
-    """(kind, value): the kind's number and pseudonym of a candidate; null value if it is none."""
+def pseudonym(m: Column, key: str, kinds=tuple(PATTERNS)) -> Column:
+    """(kind, value): the kind's number (of ``kinds``) and pseudonym of a candidate; null value if it is none."""
     out = F.lit(None).cast("string")
     number = F.lit(None).cast("int")
     for i, (kind, pattern) in reversed(list(enumerate(PATTERNS.items()))):
+        if kind not in kinds:
+            continue
         bare = "^(?:" + pattern + ")$"
         out = F.when(m.rlike(bare), _MAKERS[kind](m, key)).otherwise(out)
         number = F.when(m.rlike(bare), F.lit(i)).otherwise(number)
     return F.struct(number.alias("kind"), out.alias("value"))
 
 
+_SEGMENT = "struct<text:string,kind:int>"
+_SEGMENTS = f"array<{_SEGMENT}>"
+
+
+def _segment(text: Column, kind: Column | None = None) -> Column:
+    return F.struct(text.alias("text"), (F.lit(None) if kind is None else kind).cast("int").alias("kind")).cast(_SEGMENT)
+
+
+def _scanned(region: Column, patterns: list[str], starts: str, key: str, kinds=tuple(PATTERNS)) -> Column:
+    """Segments of ``region``: at each place where ``starts`` matches the first of ``patterns`` that is a valid value counts."""
+    none = F.lit(None).cast("struct<old:string,kind:int,value:string>")
+    reach = F.when(F.contains(region, F.lit("@")), F.char_length(region)).otherwise(_REACH)
+
+    def value_at(s):
+        # the character before takes part in the patterns' look-behind
+        near = F.concat(F.when(s > 0, F.substring(region, s, F.lit(1))).otherwise("\n"), F.substring(region, s + 1, reach))
+        olds = _let(near, lambda x: F.array(*[F.regexp_extract(x, rf"^[\s\S]({p})", 1) for p in patterns]))
+
+        def tried(acc, m):
+            made = _let(pseudonym(m, key, kinds), lambda v: F.when(v["value"].isNotNull(), F.struct(m.alias("old"), v["kind"].alias("kind"), v["value"].alias("value"))))
+            return F.coalesce(acc, F.when(m != "", made))
+        return F.aggregate(olds, none, tried)
+
+    def step(acc, piece):
+        s = acc["pos"]
+
+        def moved(v):
+            gap = F.substring(region, acc["at"] + 1, s - acc["at"])
+            return F.struct((s + F.char_length(piece)).alias("pos"), F.when(v.isNotNull(), s + F.char_length(v["old"])).otherwise(acc["at"]).alias("at"),
+                            F.when(v.isNotNull(), F.concat(acc["out"], F.array(_segment(gap), _segment(v["value"], v["kind"])))).otherwise(acc["out"]).alias("out"))
+        return _let(F.when(s >= acc["at"], value_at(s)), moved)
+
+    start = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("at"), F.array().cast(_SEGMENTS).alias("out"))
+    return F.aggregate(F.split(region, f"(?={starts})", -1), start, step, lambda acc: F.concat(
+        acc["out"], F.array(_segment(F.substring(region, acc["at"] + 1, F.char_length(region))))))
+
+
+def _searched(text: Column, key: str) -> Column:
+    """Segments of a text, every start and length tried."""
+    def of_region(region):
+        legal = _scanned(region, STRICT, ANY_STRICT, key)
+        return F.flatten(F.transform(legal, lambda s: F.when(
+            s["kind"].isNull() & s["text"].rlike(ANY_LOOSE), _scanned(s["text"], LOOSE, ANY_LOOSE, key, tuple(LEGAL))).otherwise(F.array(s))))
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(REGION), F.lit(0)), lambda r: F.when(
+        r.rlike("[0-9@]") & r.rlike(ANY), of_region(r)).otherwise(F.array(_segment(r))))
+    return _let(found, lambda rs: F.flatten(F.transform(F.split(text, REGION, -1), lambda g, i: F.concat(
+        F.array(_segment(g)), F.coalesce(F.get(rs, i), F.array().cast(_SEGMENTS))))))
+
+
 def pseudonymise(df: DataFrame, key: str, text: str = "text", found: str = "found") -> DataFrame:
     """``df`` with personal values in ``text`` replaced; ``found``: array of the replaced values' kinds, by number."""
     t = F.col(text)
     hit = t.rlike("[0-9@]") & t.rlike(ANY)
-    spot, gaps = free_name(df, "_values"), free_name(df, "_gaps")
-    values = F.transform(F.regexp_extract_all(t, F.lit(ANY), F.lit(0)), lambda m: F.struct(m.alias("old"), pseudonym(m, key).alias("new")))
-    cut = df.withColumn(spot, F.when(hit, values)).withColumn(gaps, F.when(hit, F.split(t, ANY, -1)))
-    new = F.array_join(F.flatten(F.transform(F.col(gaps), lambda g, i: F.array(g, F.when(
-        i < F.size(spot), F.coalesce(F.get(F.col(spot), i)["new"]["value"], F.get(F.col(spot), i)["old"])).otherwise("")))), "")
-    kinds = F.transform(F.filter(F.col(spot), lambda v: v["new"]["value"].isNotNull()), lambda v: v["new"]["kind"])
+    spot, gaps, parts = free_name(df, "_values"), free_name(df, "_gaps"), free_name(df, "_parts")
+    values = F.transform(F.regexp_extract_all(t, F.lit(ANY_STRICT), F.lit(0)), lambda m: pseudonym(m, key))
+    cut = df.withColumn(spot, F.when(hit, values)).withColumn(gaps, F.when(hit, F.split(t, ANY_STRICT, -1)))
+    again = F.exists(F.col(spot), lambda v: v["value"].isNull()) | F.exists(F.col(gaps), lambda g: g.rlike(ANY_LOOSE))
+    once = F.flatten(F.transform(F.col(gaps), lambda g, i: F.when(i < F.size(spot), F.array(
+        _segment(g), _segment(F.get(F.col(spot), i)["value"], F.get(F.col(spot), i)["kind"]))).otherwise(F.array(_segment(g)))))
+    cut = cut.withColumn(parts, F.when(hit, F.when(again, _searched(t, key)).otherwise(once)))
+    new = F.array_join(F.transform(F.col(parts), lambda s: s["text"]), "")
+    kinds = F.transform(F.filter(F.col(parts), lambda s: s["kind"].isNotNull()), lambda s: s["kind"])
     return (cut.withColumn(found, F.coalesce(kinds, F.array().cast("array<int>")))
-            .withColumn(text, F.when(F.col(spot).isNotNull(), new).otherwise(t)).drop(spot, gaps))
+            .withColumn(text, F.when(F.col(parts).isNotNull(), new).otherwise(t)).drop(spot, gaps, parts))
 
 
 def op5_pseudonyms(spark: SparkSession, sf_dir: str, key: str = "rotate-me") -> DataFrame:
