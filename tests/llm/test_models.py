@@ -96,6 +96,22 @@ def test_language_odd_rows(spark):
     assert all(not r.language.accepted for r in L.identify(undeclared, L.fit(undeclared)).collect())
 
 
+def test_rare_codes_are_languages(spark):
+    """A language code needs a number of trigrams, not a share of the rows; other values need the share."""
+    rng = random.Random(5)
+    say = lambda words, n: " ".join(rng.choice(words.split()) for _ in range(n))
+    rows = [(i, say(WORDS["aa"], 8), "aa", "h", 0) for i in range(5000)]
+    rare = "ddwy llyn gwyr fach"
+    rows += [(6000 + i, say(rare, 120), "cy", "h", 0) for i in range(3)] + [(6010, say(rare, 30), None, "h", 0)]
+    rows += [(6020, say("beag glas", 9), "gd", "h", 0), *((6030 + i, say("junk", 300), "n/a", "h", 0) for i in range(3))]
+    df = spark.createDataFrame(rows, DOCUMENTS)
+    model = L.fit(df, host="source")
+    assert model.languages == ["aa", "cy"]
+    got = {r.doc_id: r.language for r in L.identify(df, model, host="source").collect()}
+    assert all(got[i].language == "cy" and got[i].accepted for i in (6000, 6001, 6002, 6010))
+    assert all(got[i].language == "aa" for i in range(5000))
+
+
 def test_toxicity_on_held_out_labels(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = X.op8_toxicity(spark, SF).join(labels, "doc_id").filter("toxic IS NOT NULL").collect()

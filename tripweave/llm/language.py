@@ -13,8 +13,10 @@ neighbouring trigrams repeat each other's evidence.
 
 Rules: a row without letters has no text evidence and is rejected, as is one
 whose best language stays under ``LEAST``; a null declared value, host or
-suffix adds nothing; languages are those that ``SHARE`` of the declared rows
-name (so there are at most 1 / SHARE); without any, all rows are rejected.
+suffix adds nothing; languages are the codes of ISO 639 (``CODES``) whose declared rows
+hold ``TRIGRAMS`` trigrams, however small their share, and any other values that
+``SHARE`` of the declared rows name (so there are at most as many as codes and
+1 / SHARE); without any, all rows are rejected.
 Ties go to the first language by name.  Rows are never grouped by host in one
 place: hosts are summed with map-side partial sums, and their priors are stored
 and joined back, a hot host's rows staying spread over the partitions.
@@ -22,6 +24,7 @@ and joined back, a hot host's rows staying spread over the partitions.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,9 +38,28 @@ from tripweave.session import stored
 BINS = 1 << 14
 EVIDENCE = 100
 LEAST = 0.5
-#: Share of the declared rows that a language needs; strengths of the smoothing towards the suffix and the whole.
+#: Trigrams of declared rows that a language code needs, whatever the size of the table.
+TRIGRAMS = 1000
+#: Share of the declared rows that any other value needs; strengths of the smoothing towards the suffix and the whole.
 SHARE, TO_SUFFIX, TO_ALL = 0.001, 20.0, 100.0
 
+#: ISO 639-1, and those of ISO 639-2 without a code there (no collections of none, many or unknown languages).
+CODES = frozenset("""
+    aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu fa ff fi
+    fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik io is it iu ja jv ka kg ki kj kk kl km kn ko kr ks ku kv kw
+    ky la lb lg li ln lo lt lu lv mg mh mi mk ml mn mr ms mt my na nb nd ne ng nl nn no nr nv ny oc oj om or os pa pi pl ps pt qu rm rn ro
+    ru rw sa sc sd se sg si sk sl sm sn so sq sr ss st su sv sw ta te tg th ti tk tl tn to tr ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi
+    yo za zh zu ace ach ada ady afa afh ain akk ale alg alt ang anp apa arc arn arp art arw ast ath aus awa bad bai bal ban bas bat bej bem
+    ber bho bik bin bla bnt bra btk bua bug byn cad cai car cau ceb cel chb chg chk chm chn cho chp chr chy cmc cnr cop cpe cpf cpp crh crp
+    csb cus dak dar day del den dgr din doi dra dsb dua dum dyu efi egy eka elx enm ewo fan fat fil fiu fon frm fro frr frs fur gaa gay gba
+    gem gez gil gmh goh gon gor got grb grc gsw gwi hai haw hil him hit hmn hsb hup iba ijo ilo inc ine inh ira iro jbo jpr jrb kaa kab kac
+    kam kar kaw kbd kha khi kho kmb kok kos kpe krc krl kro kru kum kut lad lah lam lez lol loz lua lui lun luo lus mad mag mai mak man map
+    mas mdf mdr men mga mic min mkh mnc mni mno moh mos mun mus mwl mwr myn myv nah nai nap nds new nia nic niu nog non nqo nso nub nwc nym
+    nyn nyo nzi osa ota oto paa pag pal pam pap pau peo phi phn pon pra pro raj rap rar roa rom rup sad sah sai sal sam sas sat scn sco sel
+    sem sga sgn shn sid sio sit sla sma smi smj smn sms snk sog son srn srr ssa suk sus sux syc syr tai tem ter tet tig tiv tkl tlh tli tmh
+    tog tpi tsi tum tup tut tvl tyv udm uga umb vai vot wak wal war was wen xal yao yap ypk zap zbl zen zgh znd zun zza
+""".split())
+
 _LETTER = np.full(256, 0x20, np.uint8)
 _LETTER[0x80:] = np.arange(0x80, 0x100)
 for _a in (0x41, 0x61):
@@ -103,7 +125,15 @@ def fit(df: DataFrame, text: str = "text", declared: str = "lang", host: str | N
                       (F.col(suffix) if suffix else F.lit(None).cast("string")).alias("suffix"))
     counts = named.filter("declared IS NOT NULL AND declared <> ''").groupBy("declared").count()
     total = counts.agg(F.sum("count")).first()[0] or 0
-    languages = sorted(r.declared for r in counts.filter(F.col("count") >= max(1, SHARE * total)).select("declared").collect())
+    least = max(1, SHARE * total)
+    named_by = {r.declared: r["count"] for r in counts.filter((F.col("count") >= least) | F.col("declared").isin(*CODES)).collect()}
+    languages = [x for x, rows in named_by.items() if rows >= least]
+    if rare := [x for x, rows in named_by.items() if rows < least]:
+        # a trigram's middle is a byte of a letter
+        letters = F.sum(F.octet_length(F.regexp_replace("text", r"[\x00-\x40\x5B-\x60\x7B-\x7F]+", "")))
+        enough = named.filter(F.col("declared").isin(rare)).groupBy("declared").agg(letters.alias("n")).filter(F.col("n") >= TRIGRAMS)
+        languages += [r.declared for r in enough.collect()]
+    languages.sort()
     place = {x: i for i, x in enumerate(languages)}
 
     def count(batches):
@@ -173,9 +203,8 @@ def identify(df: DataFrame, model: Model, text: str = "text", declared: str = "l
         out = out.join(mine, (F.col(host) == F.col(key_h)) & same, "left").drop(key_h, key_s)
         prior = F.coalesce(up_host, prior)
     say = F.lower(F.col(declared))
-    channel = F.lit(None)
-    for x, values in model.declared.items():
-        channel = F.when(say == x, F.array(*map(F.lit, values))).otherwise(channel)
+    # one literal, as there may be hundreds of languages
+    channel = F.element_at(F.from_json(F.lit(json.dumps(model.declared)), "map<string,array<double>>"), say)
     channel = F.when(say.isNull() | (say == ""), F.array_repeat(F.lit(0.0), n)).otherwise(F.coalesce(channel, F.array(*map(F.lit, model.other))))
     fused = _shares(F.zip_with(F.zip_with(F.coalesce(F.col(logs), F.array_repeat(F.lit(0.0), n)), channel, lambda a, b: a + b), prior, lambda a, b: a + b), n)
     names = F.array(*map(F.lit, model.languages))
