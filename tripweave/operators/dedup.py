@@ -26,9 +26,19 @@ def payload_dedup(rows: DataFrame, key: str = "id", hash_col: str = "payload_has
     return kept.unionByName(rows.filter(snap))
 
 
+def store_seen(seen: DataFrame, name: str, path: str, buckets: int = 16, hash_col: str = "payload_hash") -> None:
+    """The audited hashes as a table that is bucketed by hash: a look-up never moves it again."""
+    (seen.select(hash_col).distinct().repartition(buckets, hash_col).write.mode("overwrite").option("compression", "zstd").option("path", path)
+     .bucketBy(buckets, hash_col).sortBy(hash_col).saveAsTable(name))
+
+
 def already_seen(new: DataFrame, seen: DataFrame, hash_col: str = "payload_hash") -> DataFrame:
-    """New rows whose payload hash was never audited before (anti join)."""
-    return new.join(seen.select(hash_col).distinct(), hash_col, "left_anti")
+    """New rows whose payload hash was never audited before (anti join).
+
+    With a table of ``store_seen`` only the new rows are shuffled, to its
+    buckets; rows without a payload have no hash and are kept.
+    """
+    return new.join(seen.select(hash_col).hint("merge"), hash_col, "left_anti")
 
 
 def latest_by_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
@@ -57,11 +67,15 @@ def latest_place(places: DataFrame) -> DataFrame:
 def unified_events(timeline: DataFrame, context: DataFrame) -> DataFrame:
     """Timeline events plus context events not already in the timeline.
 
-    The anti join is on (user, event id) and null-safe (divergence D32);
-    set semantics as in the documented UNION.
+    Null-safe (divergence D32): an event without user or id is in nobody's
+    timeline; set semantics as in the documented UNION.  One pass over both
+    sides and one shuffle by (user, event id): the distinct rows of a key meet
+    there, and a window tells whether the timeline has it.
     """
     cols = ["user_id", "event_id", "event_type", "start_time"]
-    t = timeline.select(*cols, F.lit("timeline").alias("fuente"))
-    c = context.select(*cols).join(timeline.select("user_id", "event_id"), ["user_id", "event_id"], "left_anti") \
-        .select(*cols, F.lit("context").alias("fuente"))
-    return t.unionByName(c).distinct()
+    both = timeline.select(*cols, F.lit("timeline").alias("fuente")).unionByName(context.select(*cols, F.lit("context").alias("fuente")))
+    named = F.col("user_id").isNotNull() & F.col("event_id").isNotNull()
+    keyed = both.filter(named).repartition("user_id", "event_id").distinct()
+    known = F.max(F.col("fuente") == "timeline").over(Window.partitionBy("user_id", "event_id"))
+    kept = keyed.withColumn("_known", known).filter((F.col("fuente") == "timeline") | ~F.col("_known")).drop("_known")
+    return kept.unionByName(both.filter(~named).distinct())

@@ -1,4 +1,4 @@
-"""Reconciliation and data-quality reports.
+"""Reconciliation and data-quality reports.
 
 Reconciliation is set-based: expected row counts come from the payload
 arrays of every processed landing row (A5), actual counts from the output
@@ -8,7 +8,9 @@ against the trip table.  Violations are reported, never rejected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripweave import schemas as S
@@ -137,39 +139,6 @@ def reconcile_summary(rows: DataFrame) -> DataFrame:
                       F.floor(F.col("n_rows") * 10000 / total).cast("bigint").alias("share_bp"))
 
 
-def payload_leaves(acc: DataFrame, obj_path: str, prefix: str) -> DataFrame:
-    """R8 (payload side): leaves of one payload object as (id, path, value)."""
-    m = F.from_json(F.get_json_object(F.col("json"), obj_path), "map<string,string>")
-    return acc.select("id", F.explode(m).alias("k", "value")).select(
-        "id", F.concat(F.lit(prefix), F.col("k")).alias("path"), F.col("value").try_cast("double").alias("value"))
-
-
-def table_leaves(df: DataFrame, key: str, cols: dict[str, str]) -> DataFrame:
-    """R8 (table side): selected columns stacked to (id, path, value)."""
-    parts = [df.select(F.col(key).alias("id"), F.lit(path).alias("path"), F.col(c).cast("double").alias("value"))
-             for path, c in cols.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def leaf_diff(payload: DataFrame, table: DataFrame) -> DataFrame:
-    """Order-insensitive multiset comparison of non-null leaves per path.
-
-    Leaves are counted per (id, path, value) on both sides (repeats kept) and
-    compared with one full outer join; the result has per path the payload,
-    table and matched counts.
-    """
-    p = payload.filter(F.col("value").isNotNull()).groupBy("id", "path", "value").agg(F.count("*").alias("np"))
-    t = table.filter(F.col("value").isNotNull()).groupBy("id", "path", "value").agg(F.count("*").alias("nt"))
-    j = p.join(t, ["id", "path", "value"], "full_outer")
-    return j.groupBy("path").agg(
-        F.sum(F.coalesce("np", F.lit(0))).cast("bigint").alias("n_payload"),
-        F.sum(F.coalesce("nt", F.lit(0))).cast("bigint").alias("n_table"),
-        F.sum(F.least(F.coalesce("np", F.lit(0)), F.coalesce("nt", F.lit(0)))).cast("bigint").alias("n_matched"))
-
-
 ENUM_CHECKS: list[tuple[str, str, tuple[str, ...], bool]] = [
     # (table, column, allowed values, null allowed)
     ("timeline_event", "event_type", L.EVENT_TYPES, False),
@@ -205,25 +174,93 @@ def enum_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def fk_orphans(checks: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """Per foreign key, child rows and rows whose key has no parent.
-
-    Each check is one left join of the child key column against the
-    distinct parent keys followed by one aggregate; NULL keys are not
-    orphans (nullable FKs).
+#: The documented foreign keys as (child table, column, parent table, column, action on delete); fixed values.
+#: A table that hangs on its audit row goes with it; landing rows and trips must not go while they are referenced.
+FOREIGN_KEYS: tuple[tuple[str, str, str, str, str], ...] = (
+    ("source_event", "landing_id", "landing", "id", "NO ACTION"),
+    ("timeline_event", "source_event_id", "source_event", "source_event_id", "CASCADE"),
+    ("context_header", "source_event_id", "source_event", "source_event_id", "CASCADE"),
+    ("context_event", "context_id", "source_event", "source_event_id", "CASCADE"),
+    ("context_segment", "context_id", "source_event", "source_event_id", "CASCADE"),
+    ("insight_trip", "source_event_id", "source_event", "source_event_id", "CASCADE"),
+    ("insight_harsh", "source_event_id", "source_event", "source_event_id", "CASCADE"),
+    ("insight_phone", "source_event_id", "source_event", "source_event_id", "CASCADE"),
+    ("insight_call", "source_event_id", "source_event", "source_event_id", "CASCADE"),
+    ("insight_speeding", "source_event_id", "source_event", "source_event_id", "CASCADE"),
+    ("insight_wrong_way", "source_event_id", "source_event", "source_event_id", "CASCADE"),
+    ("crash_event", "source_event_id", "source_event", "source_event_id", "CASCADE"),
+    ("sdk_status", "source_event_id", "source_event", "source_event_id", "CASCADE"),
+    ("user_activity", "source_event_id", "source_event", "source_event_id", "CASCADE"),
+    ("technical_event", "source_event_id", "source_event", "source_event_id", "CASCADE"),
+    ("insight_trip", "trip_id", "trip", "trip_id", "NO ACTION"),
+)
+
+
+def _fk_name(child: str, column: str) -> str:
+    return f"{child}.{column}"
+
+
+def _references(tables: dict[str, DataFrame], only: str | None = None) -> DataFrame:
+    """All child keys as one table: (parent, key, fk); null keys refer to nothing."""
+    parts = [tables[child].select(F.lit(parent).alias("parent"), F.col(column).alias("key"), F.lit(_fk_name(child, column)).alias("fk"))
+             for child, column, parent, _, _ in FOREIGN_KEYS if only in (None, parent)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _per_key(spark: SparkSession, rows: DataFrame, totals: dict[str, Column]) -> DataFrame:
+    """One row per foreign key, with zeros where ``rows`` (by ``fk``) have none."""
+    names = [(_fk_name(c, k), a) for c, k, _, _, a in FOREIGN_KEYS]
+    found = rows.groupBy("fk").agg(*[v.alias(k) for k, v in totals.items()])
+    every = spark.createDataFrame(names, "fk_name string, on_delete string")
+    return every.join(found, every.fk_name == found.fk, "left").select(
+        "fk_name", "on_delete", *[F.coalesce(F.col(k), F.lit(0)).cast("bigint").alias(k) for k in totals])
+
+
+def fk_orphans(tables: dict[str, DataFrame]) -> DataFrame:
+    """Of every documented foreign key the child rows, and those whose key has no parent (null keys are no orphans).
+
+    One tagged union of all keys and one aggregate by (parent table, key);
+    partial sums per foreign key meet there, so a key with many children is
+    counted before the shuffle.
     """
-    parts = []
-    for name, child, ck, parent, pk in checks:
-        keys = parent.select(F.col(pk).alias("_k"), F.lit(True).alias("_found")).distinct()
-        j = child.select(F.col(ck).alias("_ck")).join(keys, F.col("_ck") == F.col("_k"), "left")
-        parts.append(j.agg(
-            F.count("*").alias("n_rows"),
-            F.sum((F.col("_ck").isNotNull() & F.col("_found").isNull()).cast("int")).cast("bigint").alias("n_orphans"),
-        ).select(F.lit(name).alias("fk_name"), "n_rows", F.coalesce("n_orphans", F.lit(0)).alias("n_orphans")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    children = _references(tables).groupBy("parent", "key", "fk").agg(F.count("*").alias("n")).select("*", zero.alias("found"))
+    parents = {(p, c) for _, _, p, c, _ in FOREIGN_KEYS}
+    known = reduce(DataFrame.unionByName, [tables[p].select(
+        F.lit(p).alias("parent"), F.col(c).alias("key"), F.lit(None).cast("string").alias("fk"), zero.alias("n"), one.alias("found"))
+        for p, c in sorted(parents)])
+    both = children.unionByName(known).groupBy("parent", "key").agg(
+        F.max("found").alias("found"), F.map_from_entries(F.collect_list(F.when(F.col("fk").isNotNull(), F.struct("fk", "n")))).alias("counts"))
+    each = both.select("key", "found", F.explode("counts").alias("fk", "n"))
+    lost = F.col("key").isNotNull() & (F.col("found") == 0)
+    return _per_key(tables["landing"].sparkSession, each, {
+        "n_rows": F.sum("n"), "n_orphans": F.sum(F.when(lost, F.col("n")).otherwise(0))})
+
+
+def cascade_plan(seeds: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """What the deletion of audit rows takes along: per foreign key the rows that go (CASCADE) and the ones that forbid it (NO ACTION).
+
+    ``seeds`` (source_event_id).  Satellites go with their audit row; its landing
+    row may only go after it; a trip may only go once none of its insights
+    stays: ``n_deleted`` are the children that go, ``n_blocking`` (NO ACTION
+    only) the ones that stay and hold a parent that a deleted child shares.
+    """
+    gone = seeds.select(F.col("source_event_id").alias("_s")).distinct()
+
+    def marked(name: str, key: str, *cols: str) -> DataFrame:
+        t = tables[name].select(F.col(key).alias("_k"), *cols)
+        return t.join(gone, t._k == gone._s, "left").withColumn("goes", F.col("_s").isNotNull())
+
+    cascade = reduce(DataFrame.unionByName, [tables[c].select(F.lit(_fk_name(c, k)).alias("fk"), F.col(k).alias("_k"))
+                                             for c, k, p, _, _ in FOREIGN_KEYS if p == "source_event"])
+    hits = cascade.join(gone, cascade._k == gone._s, "left_semi").groupBy("fk").agg(F.count("*").alias("d")).select("fk", "d", F.lit(0).alias("b"))
+    audit = marked("source_event", "source_event_id", "landing_id").groupBy("landing_id").agg(
+        F.sum(F.col("goes").cast("int")).alias("d"), F.sum((~F.col("goes")).cast("int")).alias("b"))
+    insight = marked("insight_trip", "source_event_id", "trip_id").filter("trip_id IS NOT NULL").groupBy("trip_id").agg(
+        F.sum(F.col("goes").cast("int")).alias("d"), F.sum((~F.col("goes")).cast("int")).alias("b"))
+    held = audit.select(F.lit(_fk_name("source_event", "landing_id")).alias("fk"), "d", "b").unionByName(
+        insight.select(F.lit(_fk_name("insight_trip", "trip_id")).alias("fk"), "d", "b")).filter("d > 0")
+    return _per_key(seeds.sparkSession, hits.unionByName(held), {"n_deleted": F.sum("d"), "n_blocking": F.sum("b")})
 
 
 def version_check(landing: DataFrame) -> DataFrame:

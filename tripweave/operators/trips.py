@@ -128,6 +128,12 @@ def refold(previous: DataFrame | None, cands: DataFrame, policy: str = "referenc
                         F.lit(1).cast("bigint").alias("n_writers"), *FIRST_COLS, *LAST_COLS)
     if previous is not None:
         rows = rows.unionByName(previous.select(*rows.columns))
+    return merge_trips(rows, policy)
+
+
+def merge_trips(rows: DataFrame, policy: str = "reference") -> DataFrame:
+    """One row per trip from trip rows that each stand for some of its writers, in any number of parts."""
+    key = ["user_id", "canonical_id"]
     ends = [F.min("first_ord").alias("first_ord"), F.max("last_ord").alias("last_ord"),
             F.sum("n_writers").alias("n_writers")]
     if policy == "reference":

@@ -7,6 +7,8 @@ partition), so no full sort of the input is needed.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,13 +90,9 @@ def with_label(df: DataFrame, col: str, dim: DataFrame, out: str | None = None)
 
 
 def table_counts(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """A3: actual rows per (source landing id, table), one aggregate per table, unioned."""
-    parts = [df.groupBy(F.col(key).alias("landing_id")).agg(F.count("*").alias("n_rows"))
-             .withColumn("table_name", F.lit(name)) for name, (df, key) in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """A3: actual rows per (source landing id, table): one union of keys, one aggregate."""
+    parts = [df.select(F.col(key).alias("landing_id"), F.lit(name).alias("table_name")) for name, (df, key) in tables.items()]
+    return reduce(DataFrame.unionByName, parts).groupBy("landing_id", "table_name").agg(F.count("*").alias("n_rows"))
 
 
 FLAT_TABLES = {S.CRASH: "crash_event", S.STATUS: "sdk_status", S.ACTIVITY: "user_activity",

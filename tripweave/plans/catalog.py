@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tripweave import schemas as S
 from tripweave.plans import oracle as O
 from tripweave.plans.pipeline import Pipeline
-from tripweave.session import checkpoint_dir, tune
+from tripweave.session import tune, work_folder
 from tripweave.sources import fixtures
 from tripweave.sources.landing import read_landing, write_landing
 
@@ -32,20 +32,31 @@ def query(name: str, oracle: str | None):
     return deco
 
 
-#: Landing written by this application, by input folder.
-_LANDINGS: dict[tuple[str, str], str] = {}
+#: Landings written by this application, by input folder and state of its files.
+_LANDINGS: dict[tuple, str] = {}
+
+
+def _state_of(spark: SparkSession, sf_dir: str) -> tuple:
+    """What tells one state of the input files from another: their names, times and lengths, as one number."""
+    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in fixtures.TABLES]).select("path", "modificationTime", "length")
+    r = files.agg(F.count("*").alias("n"), F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(20,0)")).alias("h")).first()
+    return spark.sparkContext.applicationId, sf_dir, r.n, str(r.h)
 
 
 def derive_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landing queue of ``sf_dir``: derived once an application into the shared folder, then read from there."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The landing queue of ``sf_dir``: derived once for a state of its files into this application's folder, then read from there."""
+    key = _state_of(spark, sf_dir)
     if key not in _LANDINGS:
-        path = f"{checkpoint_dir(spark).rstrip('/')}/landing/{uuid.uuid4().hex}"
+        path = _folder(spark, "landing")
         write_landing(fixtures.derive_landing(spark, sf_dir), path)
         _LANDINGS[key] = path
     return read_landing(spark, _LANDINGS[key])
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{work_folder(spark)}/{name}/{uuid.uuid4().hex}"
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
     tune(spark)
     return Pipeline(derive_landing(spark, sf_dir))
@@ -302,6 +313,44 @@ def trip_fold_enrich(spark, sf_dir):
     return _trip_select(pipeline(spark, sf_dir).trips("enrich"))
 
 
+_CROSS = """
+, x AS (SELECT user_id, canonical_id, id AS ord, 'DRIVING_INSIGHTS' AS origin, date_trunc('millisecond', o_orderdate) AS start_time,
+               transport_mode, CAST(o_totalprice AS DOUBLE) AS distance, occupant_role, dur AS duration
+        FROM p WHERE NOT failed AND NOT is_provisional
+  UNION ALL SELECT concat('c', o_custkey), concat('t', o_orderkey), 4000000000000000000 + o_orderkey, 'TIMELINE',
+               o_orderdate + INTERVAL 1 HOUR, 'TRAM', o_orderkey % 1000 + 0.5, NULL, NULL FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 13 <> 0)
+SELECT user_id, canonical_id, arg_min(origin, ord) AS first_seen_from, arg_min(start_time, ord) AS start_time,
+       arg_max(transport_mode, ord) AS transport_mode, arg_max(distance, ord) AS distance, {role} AS occupant_role,
+       CAST({duration} AS DOUBLE) AS duration, count(*) AS n_writers, count(DISTINCT origin) AS n_sources
+FROM x GROUP BY user_id, canonical_id
+"""
+
+
+def _cross_fold(spark, sf_dir, policy: str) -> DataFrame:
+    from tripweave.sources.tables import read_table
+    tune(spark)
+    orders = read_table(spark, sf_dir, "orders")
+    p = Pipeline(fixtures.parent_payloads(orders).unionByName(fixtures.cross_timelines(orders)))
+    sources = p.trip_candidates.groupBy("user_id", "canonical_id").agg(F.countDistinct("first_seen_from").alias("n_sources"))
+    return p.trips(policy).join(sources, ["user_id", "canonical_id"]).select(
+        "user_id", "canonical_id", "first_seen_from", "start_time", "transport_mode", dbl("distance_meters").alias("distance"), "occupant_role",
+        dbl("duration_in_seconds").alias("duration"), "n_writers", "n_sources")
+
+
+@query("trip_fold_cross", O.sql(_CROSS.format(role="last(occupant_role ORDER BY ord)", duration="last(duration ORDER BY ord)"), O.PARENTS))
+def trip_fold_cross(spark, sf_dir):
+    """The same transports of the same users reported by insights and by timelines; the last writer's nulls win."""
+    return _cross_fold(spark, sf_dir, "reference")
+
+
+@query("trip_fold_cross_enrich", O.sql(_CROSS.format(
+    role="last(occupant_role ORDER BY ord) FILTER (WHERE occupant_role IS NOT NULL)",
+    duration="last(duration ORDER BY ord) FILTER (WHERE duration IS NOT NULL)"), O.PARENTS))
+def trip_fold_cross_enrich(spark, sf_dir):
+    """U1 with the enrich policy over both sources: a later null overwrites nothing."""
+    return _cross_fold(spark, sf_dir, "enrich")
+
+
 @query("trip_lookup", O.sql("""
 SELECT p.id AS insight_trip_id, p.canonical_id, p.is_provisional,
        CASE WHEN p.is_provisional THEN NULL ELSE 'DRIVING_INSIGHTS' END AS trip_first_seen_from,
@@ -584,14 +633,16 @@ UNION ALL SELECT tipo, count(*), count(*) FROM tlp GROUP BY tipo
 UNION ALL SELECT tipo, count(*), count(*) FROM cxp WHERE tipo = 'UserContextUpdate' GROUP BY tipo
 UNION ALL SELECT tipo, count(*), count(DISTINCT (uid, date_trunc('millisecond', ts), event_type IN ('click', 'purchase'), event_type = 'view', event_type = 'click'))
   FROM fl WHERE status = 'PROCESSED' AND tipo = 'UserActivity' GROUP BY tipo
+UNION ALL SELECT tipo, count(*), count(DISTINCT (uid, date_trunc('millisecond', ts), value, event_id % 100, event_id % 5 = 0))
+  FROM fl WHERE status = 'PROCESSED' AND tipo = 'VehicleCrash' GROUP BY tipo
 """, *O.ALL))
 def payload_dedup(spark, sf_dir):
-    """First copy per (user, type, payload hash); snapshot types exempt."""
+    """First copy per (user, type, payload hash); snapshot types exempt."""
     from tripweave.operators.dedup import payload_dedup as dedup
     p = pipeline(spark, sf_dir)
     kept = dedup(p.source_event.withColumnRenamed("record_type", "tipo"), key="source_event_id")
     rows = p.source_event.withColumnRenamed("record_type", "tipo")
-    exempt = list(S.SNAPSHOT_TYPES) + [S.CRASH]
+    exempt = list(S.SNAPSHOT_TYPES)
     n = rows.filter(~F.col("tipo").isin(*exempt)).groupBy("tipo").agg(F.count("*").alias("n_rows"))
     k = kept.filter(~F.col("tipo").isin(*exempt)).groupBy("tipo").agg(F.count("*").alias("n_kept"))
     return n.join(k, "tipo")
@@ -864,6 +915,26 @@ def reconcile_checks(spark, sf_dir):
         F.count("*").alias("n_rows"), F.sum("expected").alias("n_expected"), F.sum("actual").alias("n_actual"))
 
 
+@query("reconcile_faults", O.sql("""
+, d AS (SELECT tipo, check_name, expected, CASE WHEN check_name = 'insight_harsh' THEN expected - CAST((id // 1000) % 10 = 1 AS INT)
+               ELSE expected * (1 + CAST(id % 7 = 0 AS INT)) END AS actual FROM chk WHERE check_name IN ('insight_harsh', 'timeline_event'))
+SELECT tipo, check_name, CASE WHEN expected = actual THEN 'PASS' ELSE 'FAIL' END AS result, count(*) AS n_rows,
+       CAST(sum(expected) AS BIGINT) AS n_expected, CAST(sum(actual) AS BIGINT) AS n_actual
+FROM d GROUP BY ALL
+""", *O.ALL, CHECKS))
+def reconcile_faults(spark, sf_dir):
+    """R1-R7 over damaged tables: the first harsh event of every tenth order lost, every seventh timeline doubled."""
+    from tripweave.operators.quality import reconcile_checks as checks
+    p = pipeline(spark, sf_dir).materialized()
+    tables = _recon_tables(p)
+    (harsh, key), (timeline, line_key) = tables["insight_harsh"], tables["timeline_event"]
+    tables["insight_harsh"] = harsh.filter(~((F.col("pos") == 0) & (F.floor(F.col(key) / 1000) % 10 == 1))), key
+    tables["timeline_event"] = timeline.unionByName(timeline.filter(F.col(line_key) % 7 == 0)), line_key
+    found = checks(p.resolved, tables, p.source_event, p.trips()).filter(F.col("check_name").isin("insight_harsh", "timeline_event"))
+    return found.groupBy("tipo", "check_name", "result").agg(
+        F.count("*").alias("n_rows"), F.sum("expected").alias("n_expected"), F.sum("actual").alias("n_actual"))
+
+
 @query("record_status", O.sql("""
 SELECT id, tipo, CASE max(CASE result WHEN 'ERROR' THEN 4 WHEN 'FAIL' THEN 3 WHEN 'WARN' THEN 2 ELSE 1 END)
                  WHEN 4 THEN 'ERROR' WHEN 3 THEN 'FAIL' WHEN 2 THEN 'WARN' ELSE 'PASS' END AS status
@@ -884,29 +955,152 @@ def processed_scan(spark, sf_dir):
     return processed(pipeline(spark, sf_dir).landing_status).select("id", "tipo", "user_id")
 
 
-_SCORE_PATHS = {"safetyScores.smoothScore": "smooth_score", "safetyScores.focusScore": "focus_score",
-                "safetyScores.legalScore": "legal_score", "safetyScores.overallScore": "overall_score",
-                "safetyScores.attentionScore": "attention_score",
-                "safetyScores.harshBrakingScore": "harsh_braking_score"}
+def _leaf_counts() -> str:
+    """(tipo, path, payload, table, matched) of every leaf that the fixture rules give a payload or its rows, as SQL."""
+    out: list[str] = []
+
+    def add(source: str, tipo: str, leaves: dict[str, str | tuple[str, str, str]]) -> None:
+        """``leaves``: path -> how many a source row has (everywhere), or (payload, table, matched)."""
+        for path, n in leaves.items():
+            both = n if isinstance(n, tuple) else (n, n, n)
+            out.append(f"SELECT {tipo} AS tipo, '{path}' AS path, " + ", ".join(
+                f"CAST(coalesce(sum({x}), 0) AS BIGINT) AS {c}" for x, c in zip(both, "ptm")) + f" FROM {source} GROUP BY 1")
+
+    def lost(n: str = "1") -> tuple[str, str, str]:
+        return n, "0", "0"
+
+    moves, view = "CAST(event_type IN ('click', 'purchase') AS INT)", "CAST(event_type = 'view' AS INT)"
+    click = "CAST(event_type = 'click' AS INT)"
+    place = ("location.latitude", "location.longitude", "location.accuracy")
+    times = ("startTime", "startTimeEpoch", "endTime", "endTimeEpoch")
+    point = ("latitude", "longitude", "accuracy", "timestamp")
+    tagged, routed = "CAST(o_orderstatus <> 'P' AS INT)", "CAST(k % 4 <> 0 AS INT)"
+    add("p WHERE NOT failed", "'DrivingInsights'", {
+        "transportEvent.id": "1", "transportEvent.isProvisional": "1", "transportEvent.distance": "1",
+        "transportEvent.occupantRole": "CAST(occupant_role IS NOT NULL AS INT)",
+        "transportEvent.transportTags.status": tagged, "transportEvent.transportTags.priority": tagged,
+        **{f"transportEvent.{c}": lost() for c in (*times, "lastUpdateTime", "lastUpdateTimeEpoch", "durationInSeconds", "transportMode")},
+        **{f"transportEvent.waypoints[].{c}": lost(f"2 * {routed}") for c in (*point, "speedLimitInMps")},
+        "transportEvent.waypoints[].speedInMps": lost(f"{routed} * (1 + CAST(k % 3 <> 0 AS INT))"),
+        "safetyScores.focusScore": "CAST(k % 5 <> 0 AS INT)",
+        **{f"safetyScores.{c}": "1" for c in ("smoothScore", "legalScore", "overallScore", "attentionScore")}})
+    lines = "c_lines l JOIN c ON c.k = l.l_orderkey AND c.tipo = l.tipo AND c.status = 'PROCESSED'"
+    add("c WHERE status = 'PROCESSED'", "tipo", {"transportId": lost()})
+    add(lines, "c.tipo", {**{f"events[].{c}": "1" for c in times},
+                          **{f"events[].waypoints[].{c}": "l_suppkey % 3 + 1" for c in (*point, "speedInMps")}})
+    add(f"{lines} WHERE c.tipo = '{S.HARSH}'", "c.tipo", {f"events[].{c}": "1" for c in ("magnitude", "confidence", "type")})
+    add(f"{lines} WHERE c.tipo = '{S.PHONE}'", "c.tipo", {"events[].callState": "1"})
+    mps, in_mps = "CAST(l_linestatus = 'F' AS INT)", "CAST(l_linestatus <> 'F' AS INT)"
+    add(f"{lines} WHERE c.tipo = '{S.CALL}'", "c.tipo", {
+        "events[].handsFreeState": "1",
+        **{f"events[].{c}TraveledSpeedMps": (mps, "1", mps) for c in ("min", "max")},
+        **{f"events[].{c}TraveledSpeedInMps": lost(in_mps) for c in ("min", "max")}})
+    event = {**{f"events[].{c}": "1" for c in ("id", "type", *times, "lastUpdateTime", "lastUpdateTimeEpoch", "durationInSeconds",
+                                              "isProvisional", "distance", *place)},
+             "events[].transportMode": "CAST(transport_mode IS NOT NULL AS INT)", "events[].occupantRole": moves, "events[].transportTags.k": moves,
+             **{f"events[].waypoints[].{c}": lost(f"2 * {moves}") for c in (*point, "speedInMps")},
+             "events[].venue.significance": view, "events[].venue.type": view, **{f"events[].venue.{c}": lost(view) for c in place}}
+    add("tl", "CASE WHEN day(CAST(ts AS DATE)) % 2 = 0 THEN 'TimelineEvents' ELSE 'TimelineUpdate' END", event)
+    add("cx", "CASE WHEN day(CAST(ts AS DATE)) % 2 = 1 THEN 'UserContextUpdate' ELSE 'requestUserContext' END", event)
+    heard, known = "CAST(tipo = 'UserContextUpdate' AS INT)", "CAST(user_num % 4 <> 0 AS INT)"
+    home, work = "CAST(user_num % 3 = 0 AS INT)", "CAST(user_num % 3 = 1 AS INT)"
+    add("cxp", "tipo", {
+        "semanticTime": "1", **{f"lastKnownLocation.{c}": known for c in ("latitude", "longitude", "accuracy")},
+        **{f"home.{c}": home for c in ("significance", "type", *place)}, **{f"work.{c}": work for c in ("significance", "type", *place)},
+        "criteria[]": (f"2 * {heard}", f"1 + {heard}", f"2 * {heard}"),
+        **{f"activeSegments[].{c}": "n_segments" for c in ("id", "category", "subcategory", "type", *times)},
+        **{f"activeSegments[].attributes[].{c}": "2 * n_segments" for c in ("name", "value")}})
+
+    def flat(tipo: str, leaves: dict) -> None:
+        add(f"fl WHERE tipo = '{tipo}' AND status = 'PROCESSED'", "tipo", leaves)
+
+    located = "CAST(event_id % 5 <> 0 AS INT)"
+    flat(S.CRASH, {**{c: "1" for c in ("time", "magnitude", "speedAtImpact", "deltaV", "confidence", "severity", "detectorMode")},
+                   **{c: located for c in (*place, "location.altitude")},
+                   **{f"precedingLocations[].{c}": "user_id % 5" for c in ("latitude", "longitude", "accuracy", "altitude")}})
+    available = "CAST(event_id % 3 <> 0 AS INT)"
+    flat(S.STATUS, {**{c: "1" for c in ("startStatus", "detectionStatus", "locationPermission", "isPreciseLocationPermGranted",
+                                       "wifiQuotaStatus", "mobileQuotaStatus", "diskQuotaStatus", "canDetect")},
+                    "isLocationAvailable": (available, "1", available)})
+    # the value column keeps Python's text: 17.0 and True differ from 17 and true
+    same = "CASE event_id // 6 % 3 WHEN 0 THEN CAST(value <> floor(value) AS INT) WHEN 1 THEN 0 ELSE 1 END"
+    flat(S.METADATA, {"label": "1", "value": ("1", "1", same)})
+    flat(S.TECHNICAL, {"type": "1", "message": "1"})
+    code, doc = "CAST(user_id % 2 = 0 AS INT)", "CAST(user_id % 2 = 1 AS INT)"
+    flat(S.ACTIVITY, {
+        "startTime": lost(), "activityType": (code, "1", code), "type": lost(doc),
+        "tripType": (f"{code} * {click}", click, f"{code} * {click}"), "tripInfo.type": lost(f"{doc} * {click}"),
+        **{f"stationaryLocation.{c}": (f"{code} * {view}", view, f"{code} * {view}") for c in ("latitude", "longitude")},
+        **{f"stationaryInfo.location.{c}": lost(f"{doc} * {view}") for c in ("latitude", "longitude")}})
+    return ("SELECT tipo, path, p AS n_payload, t AS n_table, m AS n_matched, p - m AS n_missing, t - m AS n_extra FROM (\n"
+            + "\nUNION ALL ".join(out) + "\n) WHERE p + t > 0")
+
+
+@query("payload_diff", O.sql(_leaf_counts(), *O.ALL))
+def payload_diff(spark, sf_dir):
+    """Every payload leaf of all 15 types against the rows made of it, order-insensitive with repetition."""
+    from tripweave.operators.payload_diff import COLUMNS
+    from tripweave.operators.payload_diff import payload_diff as diff
+    p = pipeline(spark, sf_dir).materialized()
+    tables = p.tables(trips=False)
+    return diff(p.accepted.select("id", "tipo", "json"), {name: tables[name] for name in COLUMNS})
+
+
+_POINTS = """
+, m AS (SELECT 'DrivingInsights' AS tipo, CASE WHEN k % 4 <> 0 THEN 2 ELSE 0 END AS n FROM p WHERE NOT failed
+  UNION ALL SELECT c.tipo, l_suppkey % 3 + 1 FROM c_lines l JOIN c ON c.k = l.l_orderkey AND c.tipo = l.tipo AND c.status = 'PROCESSED'
+  UNION ALL SELECT CASE WHEN day(CAST(ts AS DATE)) % 2 = 0 THEN 'TimelineEvents' ELSE 'TimelineUpdate' END, 2 FROM tl
+            WHERE event_type IN ('click', 'purchase')
+  UNION ALL SELECT CASE WHEN day(CAST(ts AS DATE)) % 2 = 1 THEN 'UserContextUpdate' ELSE 'requestUserContext' END, 2 FROM cx
+            WHERE event_type IN ('click', 'purchase'))
+SELECT tipo, json_extract_string(json_array(concat('<', n, ' waypoints>')), '$[0]') AS marker, count(*) AS n_markers
+FROM m GROUP BY tipo, marker
+"""
 
 
-@query("payload_diff", O.sql("""
-SELECT path, count(*) AS n_payload, count(*) AS n_table, count(*) AS n_matched FROM (
-  SELECT 'safetyScores.smoothScore' AS path FROM p WHERE NOT failed
-  UNION ALL SELECT 'safetyScores.focusScore' FROM p WHERE NOT failed AND k % 5 <> 0
-  UNION ALL SELECT 'safetyScores.legalScore' FROM p WHERE NOT failed
-  UNION ALL SELECT 'safetyScores.overallScore' FROM p WHERE NOT failed
-  UNION ALL SELECT 'safetyScores.attentionScore' FROM p WHERE NOT failed
-) GROUP BY path
-""", O.PARENTS))
-def payload_diff(spark, sf_dir):
-    """Payload leaves vs table columns, order-insensitive with repetition."""
-    from tripweave.operators.quality import leaf_diff, payload_leaves, table_leaves
-    p = pipeline(spark, sf_dir)
-    acc = p.accepted.filter(F.col("tipo") == S.DRIVING_INSIGHTS)
-    pl = payload_leaves(acc, "$.safetyScores", "safetyScores.")
-    tl = table_leaves(p.insight_trip, "source_event_id", _SCORE_PATHS)
-    return leaf_diff(pl, tl)
+@query("payload_redacted", O.sql(_POINTS, *O.ALL))
+def payload_redacted(spark, sf_dir):
+    """Payloads with every waypoint list, at any depth, replaced by a marker of its size; the lists that are left, and the markers."""
+    from tripweave.operators.trees import leaves, redacted_json
+    acc = pipeline(spark, sf_dir).accepted.select("tipo", redacted_json(F.expr("try_parse_json(json)")).alias("text"))
+    found = acc.select("tipo", F.explode(leaves(F.expr("try_parse_json(text)"))).alias("x"))
+    return found.filter(F.col("x.path").contains("waypoints[]")).groupBy("tipo", F.col("x.value").alias("marker")).agg(
+        F.count("*").alias("n_markers"))
+
+
+_SIMPLE = """
+, n AS (SELECT tipo, least(n_events, 3) AS n, 'events[].startTime' AS path, 'events[].waypoints' AS masked FROM c WHERE status = 'PROCESSED'),
+ o AS (SELECT tipo, path, n FROM n UNION ALL SELECT tipo, masked, n FROM n
+  UNION ALL SELECT tipo, u.path, u.n FROM cxp, (SELECT unnest([
+      {'path': concat(w, 'activeSegments[].id'), 'n': least(n_segments, 3)},
+      {'path': concat(w, 'activeSegments[].attributes[].name'), 'n': 2 * least(n_segments, 3)},
+      {'path': concat(w, 'events[].id'), 'n': least(n_events, 3)}], recursive := true)
+    FROM (SELECT CASE WHEN tipo = 'UserContextUpdate' THEN 'userContext.' ELSE '' END AS w)) u
+  UNION ALL SELECT tipo, CASE WHEN user_num % 2 = 0 THEN 'events[].id' ELSE '[].id' END, least(n_events, 3) FROM tlp
+  UNION ALL SELECT 'DrivingInsights', u.path, u.n FROM p, (SELECT unnest([
+      {'path': 'transportEvent.id', 'n': 1}, {'path': 'safetyScores.focusScore', 'n': CAST(k % 5 <> 0 AS INT)},
+      {'path': 'transportEvent.waypoints', 'n': CAST(k % 4 <> 0 AS INT)},
+      {'path': 'transportEvent.transportTags', 'n': CAST(o_orderstatus <> 'P' AS INT)}], recursive := true)) u WHERE NOT failed)
+SELECT tipo, path, CAST(sum(n) AS BIGINT) AS n_leaves FROM o GROUP BY tipo, path HAVING sum(n) > 0
+"""
+#: The paths that every element of a list has, and the marks.
+_SIMPLE_OF = {S.DRIVING_INSIGHTS: ("transportEvent.id", "transportEvent.waypoints", "transportEvent.transportTags", "safetyScores.focusScore"),
+              **{t: ("events[].startTime", "events[].waypoints") for t in S.CHILD_TYPES},
+              **{t: ("events[].id", "[].id") for t in S.TIMELINE_TYPES},
+              S.CONTEXT_MANUAL: ("activeSegments[].id", "activeSegments[].attributes[].name", "events[].id"),
+              S.CONTEXT_LISTENER: ("userContext.activeSegments[].id", "userContext.activeSegments[].attributes[].name", "userContext.events[].id")}
+
+
+@query("payload_simplified", O.sql(_SIMPLE, *O.ALL))
+def payload_simplified(spark, sf_dir):
+    """Simplified payloads (no nulls, waypoints and tags masked, the first three of every list), by the leaves that are left."""
+    from tripweave.operators.trees import leaves, simplified_json
+    acc = pipeline(spark, sf_dir).accepted.select("tipo", simplified_json(F.expr("try_parse_json(json)")).alias("text"))
+    found = acc.select("tipo", F.explode(leaves(F.expr("try_parse_json(text)"))).alias("x")).filter("x.value IS NOT NULL")
+    wanted = F.lit(False)
+    for tipo, paths in _SIMPLE_OF.items():
+        wanted = wanted | ((F.col("tipo") == tipo) & F.col("x.path").isin(*paths))
+    return found.filter(wanted).groupBy("tipo", F.col("x.path").alias("path")).agg(F.count("*").alias("n_leaves"))
 
 
 @query("enum_violations", O.sql("""
@@ -939,39 +1133,80 @@ def enum_violations(spark, sf_dir):
     })
 
 
-@query("fk_orphans", O.sql("""
-SELECT 'insight_trip.trip_id' AS fk_name, (SELECT count(*) FROM p WHERE NOT failed) AS n_rows, 0 AS n_orphans
-UNION ALL SELECT concat('insight_', CASE tipo WHEN 'DrivingInsightsHarshEvents' THEN 'harsh'
-                 WHEN 'DrivingInsightsPhoneEvents' THEN 'phone' WHEN 'DrivingInsightsCallEvents' THEN 'call'
-                 WHEN 'DrivingInsightsSpeedingEvents' THEN 'speeding' ELSE 'wrong_way' END, '.insight_trip_id'),
-       sum(n_events), 0 FROM c WHERE status = 'PROCESSED' GROUP BY tipo
-UNION ALL SELECT 'context_criteria.context_id',
-       (SELECT count(*) + count(*) FILTER (WHERE tipo = 'UserContextUpdate') FROM cxp), 0
-UNION ALL SELECT 'context_segment.context_id', (SELECT sum(n_segments) FROM cxp), 0
-UNION ALL SELECT 'context_segment_attribute.segment_detail_id', (SELECT 2 * sum(n_segments) FROM cxp), 0
-UNION ALL SELECT 'context_event.context_id', (SELECT count(*) FROM cx), 0
-UNION ALL SELECT 'timeline_event.source_event_id', (SELECT count(*) FROM tl), 0
-UNION ALL SELECT 'source_event.landing_id', (SELECT count(*) FROM st WHERE status = 'PROCESSED'), 0
+#: What the foreign-key report looks at: landing rows purged by age, audit rows and trips of former years removed without their children.
+PURGED_AT, AUDITED_SINCE, AUDITED_UNTIL = "2024-02-10 00:00:00", "2024-01-01 00:00:00", "1998-01-01 00:00:00"
+
+
+def _children_sql(measure: str) -> str:
+    """(fk_name, n_rows, n) over all satellite rows; ``measure`` is a condition on the payload's ``created_at``."""
+    parts = [f"SELECT 'insight_trip.source_event_id' AS fk_name, 1 AS n, created_at FROM p WHERE NOT failed"]
+    parts += [f"SELECT 'insight_{kind}.source_event_id', n_events, created_at FROM c WHERE status = 'PROCESSED' AND tipo = '{t}'"
+              for t, kind in S.CHILD_KIND.items()]
+    parts += ["SELECT 'timeline_event.source_event_id', n_events, created_at FROM tlp",
+              "SELECT 'context_header.source_event_id', 1, created_at FROM cxp", "SELECT 'context_event.context_id', n_events, created_at FROM cxp",
+              "SELECT 'context_segment.context_id', n_segments, created_at FROM cxp"]
+    parts += [f"SELECT '{name}.source_event_id', 1, ts FROM fl WHERE status = 'PROCESSED' AND tipo = '{tipo}'" for name, tipo in (
+        ("crash_event", S.CRASH), ("sdk_status", S.STATUS), ("user_activity", S.ACTIVITY), ("technical_event", S.TECHNICAL))]
+    return (f"SELECT fk_name, CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (WHERE {measure}), 0) AS BIGINT) AS n FROM (\n"
+            + "\nUNION ALL ".join(parts) + "\n) GROUP BY fk_name")
+
+
+@query("fk_orphans", O.sql(f"""
+, sat AS ({_children_sql(f"created_at < TIMESTAMP '{AUDITED_SINCE}'")})
+SELECT fk_name, 'CASCADE' AS on_delete, n_rows, n AS n_orphans FROM sat
+UNION ALL SELECT 'source_event.landing_id', 'NO ACTION', count(*),
+  count(*) FILTER (WHERE created_at < TIMESTAMP '{PURGED_AT}' - INTERVAL 30 DAY)
+  FROM st WHERE status = 'PROCESSED' AND created_at >= TIMESTAMP '{AUDITED_SINCE}'
+UNION ALL SELECT 'insight_trip.trip_id', 'NO ACTION', count(*), count(*) FILTER (WHERE NOT is_provisional) FROM p WHERE NOT failed
 """, *O.ALL))
 def fk_orphans(spark, sf_dir):
-    """Documented foreign keys checked by anti joins (report, not enforce)."""
+    """The 16 documented foreign keys after a purge that took no children along (report, not enforce)."""
     from tripweave.operators.quality import fk_orphans as check
+    from tripweave.operators.retention import resolved_purge_plan
     p = pipeline(spark, sf_dir).materialized()
-    it, se = p.insight_trip, p.source_event
-    checks = [("insight_trip.trip_id", it, "trip_id", p.trips(), "trip_id")]
-    for t, kind in S.CHILD_KIND.items():
-        checks.append((f"insight_{kind}.insight_trip_id", p.child(t), "insight_trip_id", it, "insight_trip_id"))
-    hdr = p.context_header
-    checks += [
-        ("context_criteria.context_id", p.context_criteria, "context_id", hdr, "context_id"),
-        ("context_segment.context_id", p.context_segment, "context_id", hdr, "context_id"),
-        ("context_segment_attribute.segment_detail_id", p.context_segment_attribute, "segment_detail_id",
-         p.context_segment, "segment_detail_id"),
-        ("context_event.context_id", p.context_event, "context_id", hdr, "context_id"),
-        ("timeline_event.source_event_id", p.timeline_event, "source_event_id", se, "source_event_id"),
-        ("source_event.landing_id", se, "landing_id", p.landing, "id"),
-    ]
-    return check(checks)
+    tables = p.tables()
+    kept = resolved_purge_plan(p.resolved, PURGED_AT).filter(F.col("action") == "keep")
+    since = F.lit(AUDITED_SINCE).cast("timestamp_ntz")
+    return check({**tables, "landing": kept, "source_event": tables["source_event"].filter(F.col("created_at") >= since),
+                  "trip": tables["trip"].filter(F.col("updated_at") >= since)})
+
+
+@query("cascade_plan", O.sql(f"""
+, sat AS ({_children_sql(f"created_at < TIMESTAMP '{AUDITED_UNTIL}'")}),
+t AS (SELECT user_id, canonical_id, count(*) FILTER (WHERE created_at < TIMESTAMP '{AUDITED_UNTIL}') AS d,
+             count(*) FILTER (WHERE created_at >= TIMESTAMP '{AUDITED_UNTIL}') AS b
+      FROM p WHERE NOT failed AND NOT is_provisional GROUP BY 1, 2)
+SELECT fk_name, 'CASCADE' AS on_delete, n AS n_deleted, 0::BIGINT AS n_blocking FROM sat
+UNION ALL SELECT 'source_event.landing_id', 'NO ACTION', count(*), 0 FROM st
+  WHERE status = 'PROCESSED' AND created_at < TIMESTAMP '{AUDITED_UNTIL}'
+UNION ALL SELECT 'insight_trip.trip_id', 'NO ACTION', CAST(coalesce(sum(d), 0) AS BIGINT), CAST(coalesce(sum(b), 0) AS BIGINT) FROM t WHERE d > 0
+""", *O.ALL))
+def cascade_plan(spark, sf_dir):
+    """What the deletion of old audit rows takes along, and what it must not."""
+    from tripweave.operators.quality import cascade_plan as plan
+    p = pipeline(spark, sf_dir).materialized()
+    tables = p.tables()
+    seeds = tables["source_event"].filter(F.col("created_at") < F.lit(AUDITED_UNTIL).cast("timestamp_ntz")).select("source_event_id")
+    return plan(seeds, tables)
+
+
+_HASHED = (S.DRIVING_INSIGHTS, *S.CHILD_TYPES, *S.TIMELINE_TYPES, S.CONTEXT_LISTENER)
+
+
+@query("unseen_payloads", O.sql(f"""
+SELECT tipo, count(*) AS n_rows FROM (
+  SELECT tipo, created_at, CASE WHEN tipo = 'DrivingInsights' THEN min(created_at) OVER (PARTITION BY tipo, id // 1000) ELSE created_at END AS first_at
+  FROM st WHERE tipo IN ({', '.join(f"'{t}'" for t in _HASHED)}))
+WHERE first_at >= TIMESTAMP '{AUDITED_UNTIL}' GROUP BY tipo
+""", *O.ALL))
+def unseen_payloads(spark, sf_dir):
+    """Payloads whose hash was not audited before a date; the audited hashes are stored in buckets and not moved by the look-up."""
+    from tripweave.operators.dedup import already_seen, store_seen
+    tune(spark)
+    land = derive_landing(spark, sf_dir).filter(F.col("tipo").isin(*_HASHED)).select("tipo", "created_at", F.sha2("json", 256).alias("payload_hash"))
+    name = f"seen_{uuid.uuid4().hex[:12]}"
+    store_seen(land.filter(F.col("created_at") < F.lit(AUDITED_UNTIL).cast("timestamp_ntz")), name, _folder(spark, name))
+    return already_seen(land, spark.table(name)).groupBy("tipo").agg(F.count("*").alias("n_rows"))
 
 
 @query("version_check", O.sql("""
@@ -998,9 +1233,8 @@ FROM st GROUP BY 1, 2
 """, *O.ALL))
 def raw_purge(spark, sf_dir):
     """L1: processed rows older than 30 days (min 7) as of a fixed date."""
-    from tripweave.operators.retention import raw_purge_plan
-    p = pipeline(spark, sf_dir)
-    return raw_purge_plan(p.landing, p.landing_status, AS_OF).groupBy("tipo", "action").agg(
+    from tripweave.operators.retention import resolved_purge_plan
+    return resolved_purge_plan(pipeline(spark, sf_dir).resolved, AS_OF).groupBy("tipo", "action").agg(
         F.count("*").alias("n_rows"))
 
 
@@ -1075,14 +1309,14 @@ def waypoint_points(spark, sf_dir):
 
 @query("preceding_points", O.sql("""
 SELECT id AS crash_event_id, i AS point_pos,
-       (50.0::DOUBLE + user_id / 10000.0::DOUBLE) - i * 0.001::DOUBLE AS latitude,
+       CASE WHEN event_id % 83 = 0 THEN 500.0::DOUBLE ELSE 50.0::DOUBLE + user_id / 10000.0::DOUBLE END - i * 0.001::DOUBLE AS latitude,
        (4.0::DOUBLE + (event_id % 1000) / 1000.0::DOUBLE) - i * 0.001::DOUBLE AS longitude,
        value AS altitude
 FROM fl, range(0, 5) r(i)
 WHERE tipo = 'VehicleCrash' AND status = 'PROCESSED' AND i < user_id % 5
 """, O.FLAT))
 def preceding_points(spark, sf_dir):
-    """Crash preceding locations -> point rows."""
+    """Crash preceding locations -> point rows, as reported: they have no declared range (the payload's own location does)."""
     from tripweave.operators.handlers import preceding_points as points
     return points(pipeline(spark, sf_dir).crash_event).select(
         "crash_event_id", "point_pos", "latitude", "longitude", "altitude")
@@ -1335,26 +1569,35 @@ def mart_scores_secondary(spark, sf_dir):
 
 
 @query("mart_crash", O.sql("""
-SELECT id AS Id, ts AS Registro, id AS EventoId, uid AS usuario, date_trunc('millisecond', ts) AS LeidoFechaHora
+SELECT id AS Id, ts AS Registro, id AS EventoId, uid AS usuario, date_trunc('millisecond', ts) AS LeidoFechaHora,
+       CASE WHEN value < 10 THEN 'LOW' WHEN value < 100 THEN 'MEDIUM' ELSE 'HIGH' END AS severity, value AS speed, user_id % 5 AS n_preceding
 FROM fl WHERE tipo = 'VehicleCrash' AND status = 'PROCESSED'
 """, O.FLAT))
 def mart_crash(spark, sf_dir):
-    """M8 ChoqueDeVehiculo (raw payload column kept in the mart, not compared)."""
+    """M8 ChoqueDeVehiculo; the raw payload by what it says."""
     from tripweave.operators.marts import crash_mart
-    return crash_mart(pipeline(spark, sf_dir).crash_event).drop("json")
+    return crash_mart(pipeline(spark, sf_dir).crash_event).select(
+        "*", F.get_json_object("json", "$.severity").alias("severity"), F.get_json_object("json", "$.speedAtImpact").cast("double").alias("speed"),
+        F.coalesce(F.json_array_length(F.get_json_object("json", "$.precedingLocations")).cast("bigint"), F.lit(0)).alias("n_preceding")).drop("json")
 
 
 @query("mart_profile", O.sql("""
 SELECT arg_max(id, id) AS Id, arg_max(created_at, id) AS Registro, max(id) AS EventoId, user_id AS usuario,
-       arg_max(created_at, id) AS LeidoFechaHora
+       arg_max(created_at, id) AS LeidoFechaHora,
+       arg_max(CASE WHEN hour(first_ts) < 6 THEN 'NIGHT' WHEN hour(first_ts) < 12 THEN 'MORNING' WHEN hour(first_ts) < 18 THEN 'AFTERNOON'
+               ELSE 'EVENING' END, id) AS semantic_time, arg_max(n_events, id) AS n_events, arg_max(n_segments, id) AS n_segments
 FROM cxp GROUP BY user_id
 """, O.CONTEXT, O.CX_PAYLOADS))
 def mart_profile(spark, sf_dir):
-    """M9 PerfilDeUsuario: latest context payload per user."""
+    """M9 PerfilDeUsuario: latest context payload per user; the raw payload by what it says."""
     from tripweave.operators.marts import profile_mart
     p = pipeline(spark, sf_dir)
     rows = p.accepted.filter(F.col("tipo").isin(*S.CONTEXT_TYPES)).select("id", "user_id", "created_at", "json")
-    return profile_mart(rows).drop("json")
+    ctx = F.coalesce(F.get_json_object("json", "$.userContext"), F.col("json"))
+    return profile_mart(rows).withColumn("json", ctx).select(
+        "*", F.get_json_object("json", "$.semanticTime").alias("semantic_time"),
+        F.json_array_length(F.get_json_object("json", "$.events")).cast("bigint").alias("n_events"),
+        F.json_array_length(F.get_json_object("json", "$.activeSegments")).cast("bigint").alias("n_segments")).drop("json")
 
 
 # ---------------------------------------------------------------------------
@@ -1378,14 +1621,200 @@ def incremental_landing(spark, sf_dir):
     return insert_if_absent_counts(land, existing)
 
 
+@query("tagged_fixture", O.sql("""
+SELECT tipo, count(*) AS n_rows, count(*) FILTER (WHERE id % 5 = 0) AS n_unknown FROM st WHERE id % 2 = 0 GROUP BY tipo
+""", *O.ALL))
+def tagged_fixture(spark, sf_dir):
+    """Rows of two tables in one gzip fixture; those tagged for the landing are read, a missing user is 'unknown'."""
+    from tripweave.sources.landing import read_tagged_fixture, write_gzip_json
+    path = _folder(spark, "tagged")
+    rows = derive_landing(spark, sf_dir).select(
+        F.when(F.col("id") % 2 == 0, "landing").otherwise("other").alias("table"), "id",
+        F.when(F.col("id") % 5 != 0, F.col("user_id")).alias("user_id"), "json", "tipo")
+    write_gzip_json(rows, path)
+    return read_tagged_fixture(spark, path, lines=True).groupBy("tipo").agg(
+        F.count("*").alias("n_rows"), F.sum((F.col("user_id") == "unknown").cast("bigint")).alias("n_unknown"))
+
+
+@query("landing_reload", O.sql(f"""
+SELECT tipo, count(*) AS n_rows, min(id) AS first_id, max(id) AS last_id FROM st WHERE created_at >= TIMESTAMP '{INCREMENT_CUTOFF}' GROUP BY tipo
+""", *O.ALL))
+def landing_reload(spark, sf_dir):
+    """A landing that is truncated and loaded anew holds the second load only."""
+    from tripweave.sources.landing import reload
+    land, path = derive_landing(spark, sf_dir), _folder(spark, "reload")
+    for rows in (land, land.filter(F.col("created_at") >= F.lit(INCREMENT_CUTOFF).cast("timestamp_ntz"))):
+        reload(rows, path)
+    return spark.read.schema(S.LANDING).parquet(path).groupBy("tipo").agg(
+        F.count("*").alias("n_rows"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
+@query("record_lookup", O.sql("""
+SELECT id, user_id, tipo, created_at, app_version FROM st WHERE tipo = 'DrivingInsights' AND id = (SELECT max(id) FROM p WHERE id % 1000 = 500)
+""", *O.ALL))
+def record_lookup(spark, sf_dir):
+    """One landing row by type and id (the youngest order's insight)."""
+    from tripweave.operators.views import record
+    from tripweave.sources.tables import read_table
+    last = read_table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
+    return record(derive_landing(spark, sf_dir), S.DRIVING_INSIGHTS, last * 1000 + 500).select("id", "user_id", "tipo", "created_at", "app_version")
+
+
+@query("browse_processed", O.sql(f"""
+SELECT id, user_id, tipo, status FROM st WHERE status = 'PROCESSED' AND tipo = 'UserMetadata' AND id <= {O.FLAT_BASE} + 500 ORDER BY id DESC LIMIT 50
+""", *O.ALL))
+def browse_processed(spark, sf_dir):
+    """The newest processed rows of a type within an id range (a top-n report)."""
+    from tripweave.operators.views import browse
+    s = pipeline(spark, sf_dir).landing_status.filter(F.col("status") == S.PROCESSED)
+    return browse(s, tipo=S.METADATA, max_id=O.FLAT_BASE + 500, n=50).select("id", "user_id", "tipo", "status")
+
+
+@query("payload_hashes", O.sql("""
+SELECT id AS source_event_id, sha256(concat('{"type":"', upper(event_type), '","message":"k=', k, '"}')) AS payload_hash
+FROM fl WHERE status = 'PROCESSED' AND tipo = 'TechnicalEvent'
+""", O.FLAT))
+def payload_hashes(spark, sf_dir):
+    """The audit hash is the SHA-256 of the payload text as it landed."""
+    p = pipeline(spark, sf_dir)
+    return p.source_event.filter(F.col("record_type") == S.TECHNICAL).select("source_event_id", "payload_hash")
+
+
+@query("transport_any_case", O.sql("""
+SELECT user_id, sum(n) AS n_transports FROM (
+  SELECT uid AS user_id, count(*) AS n FROM tl WHERE ev_type = 'IN_TRANSPORT' GROUP BY 1
+  UNION ALL SELECT uid, count(*) FROM cx WHERE ev_type = 'IN_TRANSPORT' GROUP BY 1) GROUP BY user_id
+""", O.TIMELINE, O.CONTEXT))
+def transport_any_case(spark, sf_dir):
+    """Transports by a type test that ignores case, over types spelt in lower case."""
+    from tripweave.operators.quality import case_insensitive_type
+    p = pipeline(spark, sf_dir)
+    both = p.timeline_event.select("user_id", "event_type").unionByName(p.context_event.select("user_id", "event_type"))
+    spelt = both.withColumn("event_type", F.lower("event_type"))
+    return spelt.filter(case_insensitive_type("event_type", "in_transport")).groupBy("user_id").agg(F.count("*").alias("n_transports"))
+
+
+@query("trip_presence", O.sql("""
+, t AS (SELECT user_id, canonical_id, arg_min(n_waypoints, ord) AS n_waypoints, arg_min(n_tags, ord) AS n_tags,
+               last(end_time ORDER BY ord) AS end_time, last(transport_mode ORDER BY ord) AS transport_mode FROM cand GROUP BY 1, 2)
+SELECT coalesce(n_waypoints, 0) > 0 AS has_waypoints, coalesce(n_tags, 0) > 0 AS has_transport_tags, end_time IS NOT NULL AS has_end_time,
+       transport_mode IS NOT NULL AS has_transport_mode, count(*) AS n_trips FROM t GROUP BY ALL
+""", O.PARENTS, O.TIMELINE, O.CONTEXT, O.FLAT, TRIP_CANDIDATES))
+def trip_presence(spark, sf_dir):
+    """Trips by which of their nullable columns are there."""
+    from tripweave.operators.quality import presence_flags
+    flags = presence_flags(pipeline(spark, sf_dir).trips(), ["waypoints", "transport_tags", "end_time", "transport_mode"])
+    return flags.groupBy(*flags.columns).agg(F.count("*").alias("n_trips"))
+
+
+@query("ongoing_trips", O.sql("""
+SELECT first_seen_from, count(*) AS n_trips FROM (
+  SELECT arg_min(first_seen_from, ord) AS first_seen_from, last(end_time ORDER BY ord) AS end_time FROM cand GROUP BY user_id, canonical_id)
+WHERE end_time IS NULL GROUP BY first_seen_from
+""", O.PARENTS, O.TIMELINE, O.CONTEXT, O.FLAT, TRIP_CANDIDATES))
+def ongoing_trips(spark, sf_dir):
+    """Trips without an end that are not provisional, by the source that reported them."""
+    from tripweave.operators.quality import ongoing_event_nulls
+    return ongoing_event_nulls(pipeline(spark, sf_dir).trips()).groupBy("first_seen_from").agg(F.count("*").alias("n_trips"))
+
+
+@query("guarded_purge", O.sql(f"""
+SELECT tipo, count(*) AS n_rows FROM st WHERE status = 'PROCESSED' AND created_at < TIMESTAMP '{AUDITED_UNTIL}' GROUP BY tipo
+""", *O.ALL))
+def guarded_purge(spark, sf_dir):
+    """Processed landing rows that no audit row refers to, once old audit rows are gone."""
+    from tripweave.operators.retention import guarded_purge as guarded
+    p = pipeline(spark, sf_dir).materialized()
+    kept = p.source_event.filter(F.col("created_at") >= F.lit(AUDITED_UNTIL).cast("timestamp_ntz"))
+    return guarded(p.landing, p.landing_status, kept).groupBy("tipo").agg(F.count("*").alias("n_rows"))
+
+
+@query("expired_pending", O.sql(f"""
+SELECT tipo, count(*) AS n_rows, min(created_at) AS first_at FROM st
+WHERE reason = 'awaiting_parent' AND created_at < TIMESTAMP '{AUDITED_UNTIL}' - INTERVAL 30 DAY GROUP BY tipo
+""", *O.ALL))
+def expired_pending(spark, sf_dir):
+    """L4: children that wait longer than 30 days as of a date."""
+    from tripweave.operators.retention import expired_pending as expired
+    p = pipeline(spark, sf_dir).materialized()
+    return expired(p.landing_status, p.landing, AUDITED_UNTIL).groupBy("tipo").agg(F.count("*").alias("n_rows"), F.min("created_at").alias("first_at"))
+
+
+@query("json_documents", O.sql("""
+SELECT tipo, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, min(id) AS first_id, max(id) AS last_id, max(created_at) AS last_at
+FROM st GROUP BY tipo
+""", *O.ALL))
+def json_documents(spark, sf_dir):
+    """The landing as JSON documents, each read by as many tasks as its size asks for."""
+    from tripweave.sources.landing import read_json_array, write_json_arrays
+    path = _folder(spark, "documents")
+    write_json_arrays(derive_landing(spark, sf_dir), path)
+    return read_json_array(spark, path).groupBy("tipo").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("user_id").alias("n_users"), F.min("id").alias("first_id"), F.max("id").alias("last_id"),
+        F.max("created_at").alias("last_at"))
+
+
+_LOADS = ("1997-01-01 00:00:00", "1999-01-01 00:00:00", None)
+
+
+def _load_sql(at: str) -> str:
+    cases = " ".join(f"WHEN {at} < TIMESTAMP '{t}' THEN {i}" for i, t in enumerate(_LOADS) if t)
+    return f"CASE {cases} ELSE {len(_LOADS) - 1} END"
+
+
+
+@query("queue_increment", O.sql(f"""
+, q AS (SELECT *, {_load_sql("created_at")} AS load,
+              -- a child's parent is a minute younger
+              CASE WHEN reason = 'awaiting_parent' THEN 99 WHEN status = 'PROCESSED' AND tipo IN ({', '.join(f"'{t}'" for t in S.CHILD_TYPES)})
+                   THEN {_load_sql("created_at + INTERVAL 60 SECOND")} ELSE 0 END AS parent_load
+        FROM st WHERE reason IS DISTINCT FROM 'unrouted_type')
+SELECT r.run, q.tipo, count(*) FILTER (WHERE load = r.run) AS n_new, count(*) FILTER (WHERE load < r.run) AS n_waiting
+FROM q, (SELECT unnest(range({len(_LOADS)})) AS run) r WHERE load = r.run OR (load < r.run AND parent_load >= r.run)
+GROUP BY r.run, q.tipo
+""", *O.ALL))
+def queue_increment(spark, sf_dir):
+    """Three loads taken one after the other by a cursor: what each run reads anew, and what it takes up again."""
+    from functools import reduce
+
+    from tripweave.session import stored
+    from tripweave.sources.cursor import QueueCursor, write_load
+    tune(spark)
+    base = _folder(spark, "queue")
+    land, runs, parents, low = derive_landing(spark, sf_dir), [], None, None
+    from tripweave.operators import parse as P
+    for run, high in enumerate(_LOADS):
+        rows = land if low is None else land.filter(F.col("created_at") >= F.lit(low).cast("timestamp_ntz"))
+        write_load(rows if high is None else rows.filter(F.col("created_at") < F.lit(high).cast("timestamp_ntz")), f"{base}/landing", run)
+        low = high
+        cursor = QueueCursor(spark, f"{base}/landing", f"{base}/cursor")
+        taken = stored(cursor.pending(), "taken")
+        classified = P.classify(P.typed(P.parse(taken.drop("load")), ("p_insight", "p_child")))
+        keys = P.parent_keys(P.parent_source(P.parse(taken.drop("load"))))
+        parents = stored(keys if parents is None else parents.unionByName(keys).groupBy("user_id", "canonical_id").agg(
+            F.min("insight_trip_id").alias("insight_trip_id")), "parents")
+        cursor.commit(taken, P.landing_status(P.resolve(classified, parents)))
+        runs.append(taken.groupBy("tipo").agg(F.sum((F.col("load") == run).cast("bigint")).alias("n_new"),
+                                              F.sum((F.col("load") < run).cast("bigint")).alias("n_waiting")).select(F.lit(run).cast("bigint").alias("run"), "tipo", "n_new", "n_waiting"))
+    return reduce(DataFrame.unionByName, runs)
+
+
 @query("extract_since", O.sql(f"""
-SELECT id AS original_id, user_id AS source_user_id, tipo, created_at, app_version
-FROM st WHERE created_at >= TIMESTAMP '{EXTRACT_SINCE}'
+SELECT st.id AS original_id, st.user_id AS source_user_id, st.tipo, st.created_at, st.app_version,
+       CASE WHEN event_id % 97 = 0 OR event_id % 101 = 0 THEN NULL WHEN st.tipo = 'UserMetadata' THEN
+              CASE fl.user_id % 3 WHEN 0 THEN 'fleet' WHEN 1 THEN 'tier' ELSE 'vehicle' END
+            WHEN st.tipo = 'SDKStatus' THEN CASE WHEN event_id % 2 = 0 THEN 'STARTED' ELSE 'NOT_STARTED' END
+            WHEN st.tipo = 'TechnicalEvent' THEN concat('k=', k) WHEN st.tipo = 'DebugLog' THEN concat('debug ', event_id) END AS says
+FROM st LEFT JOIN fl ON fl.id = st.id WHERE st.created_at >= TIMESTAMP '{EXTRACT_SINCE}'
 """, *O.ALL))
 def extract_since(spark, sf_dir):
-    """Rows since a cutoff, newest first, id renamed to original_id (the oracle never sees JSON text)."""
+    """Rows since a cutoff, newest first, id renamed to original_id; payloads of four types by what they say."""
     from tripweave.sources.landing import extract_since as extract
-    return extract(derive_landing(spark, sf_dir), EXTRACT_SINCE).drop("json")
+    says = F.lit(None).cast("string")
+    for tipo, path in ((S.METADATA, "$.label"), (S.STATUS, "$.startStatus"), (S.TECHNICAL, "$.message"), ("DebugLog", "$.message")):
+        says = F.when(F.col("tipo") == tipo, F.get_json_object("json", path)).otherwise(says)
+    readable = F.expr("try_parse_json(json)").isNotNull() & F.col("json").startswith("{")
+    return extract(derive_landing(spark, sf_dir), EXTRACT_SINCE).withColumn("says", F.when(readable, says)).drop("json")
 
 
 # ---------------------------------------------------------------------------
@@ -1394,42 +1823,106 @@ def extract_since(spark, sf_dir):
 
 
 FILES_PER_TRIGGER = 8
+#: Drains of this application, by input folder: several reports read one.
+_DRAINS: dict[tuple, str] = {}
 
 
-def _drain(spark, sf_dir, dedup: bool = False, tables: bool = False):
-    from tripweave.streaming.stream import drain, stage_files
+def _drain(spark, sf_dir):
+    """A whole drain of the landing, tables included; run once an application."""
+    from tripweave.streaming.stream import Drain, drain, stage_files
     tune(spark)
-    base = checkpoint_dir(spark)
-    zone = f"{base}/tripweave-zone-{uuid.uuid4().hex}"
-    stage_files(derive_landing(spark, sf_dir), zone)
-    return drain(spark, zone, files_per_trigger=FILES_PER_TRIGGER, dedup=dedup, tables=tables)
+    key = _state_of(spark, sf_dir)
+    if key not in _DRAINS:
+        zone = stage_files(derive_landing(spark, sf_dir), _folder(spark, "zone"))
+        _DRAINS[key] = drain(spark, zone, files_per_trigger=FILES_PER_TRIGGER).root
+    return Drain(spark, _DRAINS[key])
+
+
+def _ordered_drain(spark, landing, parts, **options):
+    """A drain of files in which event time goes up, a file a batch."""
+    from tripweave.streaming.stream import drain, stage_in_order
+    tune(spark)
+    return drain(spark, stage_in_order(landing, _folder(spark, "zone"), parts), files_per_trigger=1, **options)
 
 
 @query("stream_drain", O.sql("""
 SELECT tipo, status, count(*) AS n_rows, count(DISTINCT user_id) AS n_users FROM st GROUP BY tipo, status
 """, *O.ALL))
 def stream_drain(spark, sf_dir):
-    """availableNow drain in micro-batches; equals the batch status."""
+    """availableNow drain in micro-batches; equals the batch status."""
     s = _drain(spark, sf_dir).status()
     return s.groupBy("tipo", "status").agg(F.count("*").alias("n_rows"), F.countDistinct("user_id").alias("n_users"))
 
 
 @query("stream_trips", _trip_oracle(False))
 def stream_trips(spark, sf_dir):
-    """T4: incremental trip refold across micro-batches equals the batch fold."""
+    """T4: trips consolidated in buckets across micro-batches equal the batch fold."""
     return _trip_select(_drain(spark, sf_dir).trips())
 
 
-@query("stream_dedup", O.sql("""
+@query("stream_metrics", O.sql("""
+SELECT count(*) AS rows_in, count(*) FILTER (WHERE status = 'PROCESSED') AS n_processed,
+       count(*) FILTER (WHERE status = 'FAILED') AS n_failed, 0::BIGINT AS n_expired,
+       count(*) FILTER (WHERE reason = 'unrouted_type') AS n_unrouted,
+       count(*) FILTER (WHERE reason = 'awaiting_parent') AS depth, 0::BIGINT AS n_unbalanced
+FROM st
+""", *O.ALL))
+def stream_metrics(spark, sf_dir):
+    """The counters that the batches left; in each, what came in and what waited equals what was decided and what waits."""
+    from pyspark.sql import Window
+    m = _drain(spark, sf_dir).metrics()
+    # one row a batch: the window sees batches, never rows
+    before = F.coalesce(F.lag("depth").over(Window.orderBy("batch_id")), F.lit(0))
+    decided = F.col("processed") + F.col("failed") + F.col("expired") + F.col("unrouted")
+    m = m.withColumn("balanced", before + F.col("rows_in") == decided + F.col("depth"))
+    return m.agg(F.sum("rows_in").alias("rows_in"), F.sum("processed").alias("n_processed"), F.sum("failed").alias("n_failed"),
+                 F.sum("expired").alias("n_expired"), F.sum("unrouted").alias("n_unrouted"),
+                 F.max_by("depth", "batch_id").alias("depth"), F.sum((~F.col("balanced")).cast("bigint")).alias("n_unbalanced"))
+
+
+_DEDUP_ORACLE = O.sql("""
 SELECT tipo, CASE WHEN tipo = 'DrivingInsights' THEN count(DISTINCT id // 1000) ELSE count(*) END AS n_rows
 FROM st GROUP BY tipo
-""", *O.ALL))
+""", *O.ALL)
+
+
+@query("stream_dedup", _DEDUP_ORACLE)
 def stream_dedup(spark, sf_dir):
-    """Retried payloads (same user, type, hash) dropped across micro-batches."""
-    s = _drain(spark, sf_dir, dedup=True).status()
+    """Retried payloads (same user, type, hash) dropped across micro-batches, against the hashes of all batches."""
+    from tripweave.streaming.stream import drain, stage_files
+    tune(spark)
+    zone = stage_files(derive_landing(spark, sf_dir), _folder(spark, "zone"))
+    s = drain(spark, zone, files_per_trigger=FILES_PER_TRIGGER, dedup="exact").status()
+    return s.groupBy("tipo").agg(F.count("*").alias("n_rows"))
+
+
+@query("stream_dedup_watermark", _DEDUP_ORACLE)
+def stream_dedup_watermark(spark, sf_dir):
+    """The same by the engine's watermark state, over files in which event time goes up (a retry comes within the hour)."""
+    s = _ordered_drain(spark, derive_landing(spark, sf_dir), 3, dedup="watermark").status()
     return s.groupBy("tipo").agg(F.count("*").alias("n_rows"))
 
 
+EXPIRY_DAYS = 90
+
+
+@query("stream_expiry", O.sql(f"""
+, latest AS (SELECT max(created_at) AS top FROM (SELECT created_at FROM p UNION ALL SELECT created_at FROM c)),
+r AS (SELECT 'DrivingInsights' AS tipo, CASE WHEN failed THEN 'FAILED' ELSE 'PROCESSED' END AS status, created_at FROM p
+      UNION ALL SELECT tipo, CASE WHEN status = 'PENDING' AND created_at < top - INTERVAL {EXPIRY_DAYS} DAY THEN 'EXPIRED' ELSE status END, created_at
+      FROM c, latest)
+SELECT tipo, status, count(*) AS n_rows, min(created_at) AS first_at FROM r GROUP BY tipo, status
+""", O.PARENTS, O.CHILDREN))
+def stream_expiry(spark, sf_dir):
+    """Children that wait longer than their time to live leave the queue; the rest equals the batch status."""
+    from tripweave.streaming.stream import TimeToLive
+    kinds = (S.DRIVING_INSIGHTS, *S.CHILD_TYPES)
+    landing = derive_landing(spark, sf_dir).filter(F.col("tipo").isin(*kinds))
+    s = _ordered_drain(spark, landing, 4, ttl=TimeToLive(pending=EXPIRY_DAYS)).status()
+    return s.join(landing.select("id", "created_at"), "id").groupBy("tipo", "status").agg(
+        F.count("*").alias("n_rows"), F.min("created_at").alias("first_at"))
+
+
 KEY_MOD = 1_000_003
 
 _STREAM_TABLES = {
@@ -1465,13 +1958,28 @@ def _stream_tables_oracle() -> str:
     return O.sql("\nUNION ALL ".join(parts), *O.ALL)
 
 
-@query("stream_tables", _stream_tables_oracle())
-def stream_tables(spark, sf_dir):
-    """Every domain table written by the drain, by rows and by a sum over its key; equals the batch tables."""
-    d = _drain(spark, sf_dir, tables=True)
+def _table_sums(tables: Callable[[str], DataFrame]) -> DataFrame:
+    """Rows and a sum over the key of every domain table."""
     out = None
     for name, key in _STREAM_TABLES.items():
-        t = d.table(name).agg(F.count("*").alias("n_rows"), F.sum(F.col(key) % KEY_MOD).alias("key_sum")).select(
+        t = tables(name).agg(F.count("*").alias("n_rows"), F.sum(F.col(key) % KEY_MOD).alias("key_sum")).select(
             F.lit(name).alias("table_name"), "n_rows", "key_sum")
         out = t if out is None else out.unionByName(t)
     return out
+
+
+@query("stream_tables", _stream_tables_oracle())
+def stream_tables(spark, sf_dir):
+    """Every domain table written by the drain, by rows and by a sum over its key; equals the batch tables."""
+    return _table_sums(_drain(spark, sf_dir).table)
+
+
+@query("write_all", _stream_tables_oracle())
+def write_all(spark, sf_dir):
+    """The whole model written as one published version and read back."""
+    from tripweave.plans.pipeline import read_all
+    from tripweave.plans.pipeline import write_all as write
+    tune(spark)
+    out = _folder(spark, "model")
+    write(derive_landing(spark, sf_dir), out)
+    return _table_sums(read_all(spark, out).get)

@@ -5,23 +5,24 @@ table's plan contains only the branches that table needs.  ``families`` limits
 which payload families are extracted at all.  The trip table stores its
 candidates first.
 
-``write_all`` materialises the model: the parsed/typed landing is written
-once (partitioned by type, so every handler scans only its own partition)
-and every output table is then built from that stored copy; this also cuts
-lineage, so a lost executor re-runs only the stage it was in.
+``write_all`` materialises the model as one version: the parsed/typed landing
+is written once (partitioned by type, so every handler scans only its own
+partition) and every output table is then built from that stored copy; this
+also cuts lineage, so a lost executor re-runs only the stage it was in.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tripweave.operators import handlers as H
 from tripweave.operators import parse as P
 from tripweave.operators import trips as T
 from tripweave import schemas as S
-from tripweave.session import stored
+from tripweave.session import remove, stored
+from tripweave.sources import published
 
 
 class Pipeline:
@@ -140,52 +141,67 @@ class Pipeline:
         # stored: the fold reads the narrow keys first and the winners' columns after
         return T.fold_trips(stored(self.trip_candidates, "trip_candidates"), policy)
 
-    def tables(self) -> dict[str, DataFrame]:
-        """Every output table of the model, by engine name."""
-        out = {
-            "landing_status": self.landing_status,
-            "quarantine": self.quarantine,
-            "source_event": self.source_event,
-            "insight_trip": self.insight_trip,
-            "context_header": self.context_header,
-            "context_criteria": self.context_criteria,
-            "context_home": self.context_home,
-            "context_work": self.context_work,
-            "context_segment": self.context_segment,
-            "context_segment_attribute": self.context_segment_attribute,
-            "context_event": self.context_event,
-            "timeline_event": self.timeline_event,
-            "user_metadata": self.user_metadata,
-            "crash_event": self.crash_event,
-            "sdk_status": self.sdk_status,
-            "user_activity": self.user_activity,
-            "technical_event": self.technical_event,
-            "trip": self.trips(),
+    def tables(self, trips: bool = True, tipos: set[str] | None = None) -> dict[str, DataFrame]:
+        """Output tables of the model, by engine name.
+
+        ``trips`` stores the trip candidates; with ``tipos`` only the tables that
+        payloads of these types feed are built.
+        """
+        builders = {
+            "landing_status": (None, lambda: self.landing_status),
+            "quarantine": (None, lambda: self.quarantine),
+            "source_event": (None, lambda: self.source_event),
+            "insight_trip": ((S.DRIVING_INSIGHTS,), lambda: self.insight_trip),
+            "context_header": (S.CONTEXT_TYPES, lambda: self.context_header),
+            "context_criteria": (S.CONTEXT_TYPES, lambda: self.context_criteria),
+            "context_home": (S.CONTEXT_TYPES, lambda: self.context_home),
+            "context_work": (S.CONTEXT_TYPES, lambda: self.context_work),
+            "context_segment": (S.CONTEXT_TYPES, lambda: self.context_segment),
+            "context_segment_attribute": (S.CONTEXT_TYPES, lambda: self.context_segment_attribute),
+            "context_event": (S.CONTEXT_TYPES, lambda: self.context_event),
+            "timeline_event": (S.TIMELINE_TYPES, lambda: self.timeline_event),
+            "user_metadata": ((S.METADATA,), lambda: self.user_metadata),
+            "crash_event": ((S.CRASH,), lambda: self.crash_event),
+            "sdk_status": ((S.STATUS,), lambda: self.sdk_status),
+            "user_activity": ((S.ACTIVITY,), lambda: self.user_activity),
+            "technical_event": ((S.TECHNICAL,), lambda: self.technical_event),
+            **{f"insight_{kind}": ((t,), lambda t=t: self.child(t)) for t, kind in S.CHILD_KIND.items()},
         }
-        for t, kind in S.CHILD_KIND.items():
-            out[f"insight_{kind}"] = self.child(t)
-        return out
+        if trips:
+            builders["trip"] = None, self.trips
+        return {name: build() for name, (types, build) in builders.items()
+                if tipos is None or types is None or tipos.intersection(types)}
 
 
-def write_all(landing: DataFrame, out_dir: str, mode: str = "overwrite") -> dict[str, str]:
-    """Materialise the whole model under ``out_dir`` (Parquet, zstd).
+def write_all(landing: DataFrame, out_dir: str) -> int:
+    """Materialise the whole model under ``out_dir`` (Parquet, zstd) as one new version, which replaces the one before.
 
-    The resolved landing is written first, partitioned by ``tipo``; all
-    tables are then derived from that stored copy.  Returns table -> path.
+    The resolved landing is written first, partitioned by ``tipo``; all tables
+    are then derived from that stored copy, each into a folder of its own.  The
+    manifest is published last: until then readers (``read_all``) see the
+    version before, whole.  Returns the version.
     """
     spark = landing.sparkSession
+    before = published.newest(spark, out_dir)
+    version = before[0].v + 1 if before else 0
     resolved = Pipeline(landing).resolved.drop("v")  # VARIANT stays transient
-    stage = f"{out_dir}/_resolved"
     # the typed columns are plain structs, so the stage is ordinary Parquet
-    resolved.write.mode(mode).option("compression", "zstd").partitionBy("tipo").parquet(stage)
-    stored = spark.read.parquet(stage)
-    paths = {}
-    pipe = _StoredPipeline(stored)
-    for name, df in pipe.tables().items():
-        path = f"{out_dir}/{name}"
-        df.write.mode(mode).option("compression", "zstd").parquet(path)
-        paths[name] = path
-    return paths
+    stage = f"{out_dir}/resolved/v={version}"
+    resolved.write.mode("overwrite").option("compression", "zstd").partitionBy("tipo").parquet(stage)
+    pipe = _StoredPipeline(spark.read.schema(resolved.schema).parquet(stage))
+    tables = pipe.tables()
+    for name, df in tables.items():
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{out_dir}/{name}/v={version}")
+    published.publish(spark, out_dir, version, [(name, -1, [f"v={version}"]) for name in tables])
+    for name in ("resolved", *tables):  # readers of the version before may still be at work; those before it are gone
+        remove(spark, f"{out_dir}/{name}/v={version - 2}")
+    return version
+
+
+def read_all(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The tables of the newest version under ``out_dir``; none where nothing was published."""
+    rows = published.newest(spark, out_dir)
+    return {e.name: spark.read.parquet(*[f"{out_dir}/{e.name}/{run}" for run in e.runs]) for e in rows[0].entries} if rows else {}
 
 
 def stored_pipeline(resolved: DataFrame) -> Pipeline:

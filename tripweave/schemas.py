@@ -22,7 +22,6 @@ LANDING = T.StructType(
         T.StructField("app_version", T.StringType(), True),
     ]
 )
-LANDING_DDL = "id BIGINT, user_id STRING, tipo STRING, json STRING, created_at TIMESTAMP_NTZ, app_version STRING"
 
 # ---------------------------------------------------------------------------
 # Payload type names and routing (fixed values of the upstream SDK contract)
@@ -79,6 +78,8 @@ CHILD_KIND = {
 PROCESSED = "PROCESSED"
 FAILED = "FAILED"
 PENDING = "PENDING"
+#: a child whose parent did not come in its time to live (the drain's own status, T8)
+EXPIRED = "EXPIRED"
 
 # ---------------------------------------------------------------------------
 # Nested payload blocks

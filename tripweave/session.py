@@ -71,6 +71,11 @@ def checkpoint_dir(spark: SparkSession, fallback=None) -> str:
     return current
 
 
+def work_folder(spark: SparkSession) -> str:
+    """This application's own folder in the shared one; ``clear`` removes it."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tripweave/{spark.sparkContext.applicationId}"
+
+
 def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -78,9 +83,21 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     Every call takes a folder of its own.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}/{name}"
+    path = f"{work_folder(spark)}/tables/{uuid.uuid4().hex}/{name}"
     w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more (Spark has no public call for it)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).delete(p, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this application stored (``stored``, derived landings, drains); results that read it are gone as well."""
+    remove(spark, work_folder(spark))

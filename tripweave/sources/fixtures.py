@@ -36,6 +36,8 @@ from tripweave import schemas as S
 from tripweave.functions import epoch_ms, iso_ms
 from tripweave.sources.tables import read_table
 
+#: The input tables of the landing.
+TABLES = ("orders", "lineitem", "events")
 BLOCK = 4096  # parameter of the fixture: a payload of a (user, day) covers event ids of one block
 # id bands apart by 10^18: orderkey * 1000 stays in the first for 10^15 orders, event ids in theirs for 10^18 events
 TIMELINE_BASE = 10**18
@@ -461,7 +463,7 @@ def flat_payloads(events: DataFrame) -> DataFrame:
 
 def derive_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole landing queue derived from ``sf_dir`` (all rules)."""
-    orders, lineitem, events = _tables(spark, sf_dir, "orders", "lineitem", "events")
+    orders, lineitem, events = _tables(spark, sf_dir, *TABLES)
     return (
         parent_payloads(orders)
         .unionByName(child_payloads(lineitem, orders))
@@ -471,6 +473,26 @@ def derive_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CROSS_BASE = 4 * 10**18
+
+
+def cross_timelines(orders: DataFrame) -> DataFrame:
+    """Timelines of the drivers themselves: most orders' transports once more, by another source (id band of their own).
+
+    orderkey % 3 = 0 has none; provisional when orderkey % 13 = 0; duration and role are left out.
+    """
+    k = F.col("o_orderkey")
+    start, end = _plus_seconds(F.col("o_orderdate"), F.lit(3600)), _plus_seconds(F.col("o_orderdate"), F.lit(7200))
+    event = F.struct(
+        F.concat(F.lit("t"), k.cast("string")).alias("id"), F.lit("IN_TRANSPORT").alias("type"),
+        iso_ms(start).alias("startTime"), epoch_ms(start).alias("startTimeEpoch"), iso_ms(end).alias("endTime"), epoch_ms(end).alias("endTimeEpoch"),
+        (k % 13 == 0).alias("isProvisional"), F.lit("TRAM").alias("transportMode"), ((k % 1000) + F.lit(0.5)).alias("distance"))
+    return _landing(orders.filter(k % 3 != 0).select(
+        (F.lit(CROSS_BASE) + k).alias("id"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("user_id"),
+        F.lit(S.TIMELINE).alias("tipo"), F.concat(F.lit("["), F.to_json(event), F.lit("]")).alias("json"),
+        end.alias("created_at"), F.lit("1.4.2").alias("app_version")))
+
+
 def derive_insights_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the driving-insights part (parents + children): orders, lineitem."""
     orders, lineitem = _tables(spark, sf_dir, "orders", "lineitem")

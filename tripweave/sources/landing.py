@@ -7,6 +7,8 @@ with dynamic partition overwrite.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,10 +55,51 @@ def read_json_documents(spark: SparkSession, path: str, limit: int | None = None
     return df.limit(limit) if limit else df
 
 
+def array_separator(head: str) -> str:
+    """What stands between two objects of a JSON array, up to and with the quote of the next one's first name.
+
+    Inside a JSON text a quote is escaped, so an unescaped one after a brace
+    is never part of a payload: the separator cannot occur within an element.
+    """
+    decoder = json.JSONDecoder()
+    start = head.index("{")
+    _, end = decoder.raw_decode(head, start)
+    second = head.index('"', head.index("{", end))
+    return head[end - 1 : second + 1]
+
+
+def read_json_array(spark: SparkSession, path: str, user_field: str = "user_id", separator: str | None = None) -> DataFrame:
+    """S2 for large documents: one array file is read by several tasks.
+
+    The text is cut at the separator between two elements (a record delimiter
+    of the text source, which splits files at any byte), so no task parses a
+    whole document.  Elements are flat objects, formatted alike throughout the
+    file; the separator is read off its first two if none is given.
+    Compressed files are whole documents: use ``read_json_documents``.
+    """
+    if separator is None:
+        head = spark.read.option("lineSep", "}").text(path).limit(64).collect()
+        separator = array_separator("}".join(r.value for r in head) + "}") if head else '},{"'
+    parts = spark.read.option("lineSep", separator).text(path).filter(F.col("value").rlike(r"[^\s\[\],]"))
+    # the first element has its bracket, the last one its end
+    body = F.regexp_replace(F.regexp_replace("value", r"^\s*\[?\s*\{\s*\"", ""), r"\}\s*,?\s*\]?\s*$", "")
+    row = F.from_json(F.concat(F.lit('{"'), body, F.lit("}")), _document_ddl(user_field))
+    return parts.select(row.alias("r")).filter("r IS NOT NULL").select(
+        F.col("r.original_id").alias("id"), F.col(f"r.{user_field}").alias("user_id"), "r.tipo", "r.json",
+        F.col("r.created_at").try_cast("timestamp_ntz").alias("created_at"), "r.app_version")
+
+
+def write_json_arrays(landing: DataFrame, path: str, user_field: str = "user_id", mode: str = "overwrite") -> None:
+    """Landing rows as documents for ``read_json_array``: a file a partition, its elements one after the other."""
+    row = F.struct(F.col("id").alias("original_id"), F.col("user_id").alias(user_field), "json", "tipo",
+                   F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("created_at"), "app_version")
+    landing.select(F.to_json(row)).write.mode(mode).option("lineSep", ",").text(path)
+
+
 def read_tagged_fixture(spark: SparkSession, path: str, landing_tag: str = "landing",
-                        user_field: str = "user_id") -> DataFrame:
-    """S3: keep rows tagged for the landing table; missing user -> 'unknown'."""
-    df = spark.read.option("multiLine", True).schema(_tagged_ddl(user_field)).json(path)
+                        user_field: str = "user_id", lines: bool = False) -> DataFrame:
+    """S3: keep rows tagged for the landing table; missing user -> 'unknown'.  ``lines``: an object a line, not one document."""
+    df = spark.read.option("multiLine", not lines).schema(_tagged_ddl(user_field)).json(path)
     return df.filter(F.col("table") == landing_tag).select(
         "id", F.coalesce(user_field, F.lit("unknown")).alias("user_id"), "tipo", "json",
         F.lit(None).cast("timestamp_ntz").alias("created_at"), F.lit(None).cast("string").alias("app_version"))
