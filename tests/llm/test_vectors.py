@@ -49,8 +49,30 @@ def test_topk_ties_odd_rows_and_lengths(spark):
 
 def test_topk_huge_components(spark):
     df = spark.createDataFrame([(0, [3e30, 1.0], 1), (1, [2e30, 1.0], 1), (2, [-1e30, 0.0], 1), (3, [1.0, 1.0], 1)], SCHEMA)
-    got = [(r["rank"], r.vec_id) for r in topk.top_k(df).collect()]
-    assert sorted(got) == [(1, 1), (2, 3), (3, 2)] or sorted(got)[0] == (1, 1)
+    got = [(r["rank"], r.vec_id, r.score) for r in topk.top_k(df).collect()]
+    low, high = -(2**63 - 1), 2**63 - 1
+    # the products with 1 and with 3 lie beyond a long, above; the one with 2 below
+    assert sorted(got) == [(1, 1, high), (2, 3, high), (3, 2, low)]
+
+
+def test_topk_scores_near_the_bounds_of_a_long(spark):
+    big = 2.0**31 * 1.4
+    rows = [(0, [big, 0.0])] + [(i, [(-1) ** i * (big - i * 2.0**20), 0.0]) for i in range(1, 41)] + [(99, [1e300, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r["rank"], r.vec_id) for r in topk.top_k(df, k=30).collect())
+    clip = lambda x: max(-(2**63 - 1), min(2**63 - 1, x))
+    score_of = {i: clip(int(np.floor(big * 1024)) * int(np.floor(v[0] * 1024))) for i, v in rows if i}
+    want = sorted(score_of, key=lambda i: (-score_of[i], i))[:30]
+    assert got == [(n + 1, i) for n, i in enumerate(want)]
+    assert sum(s < -(2**62) for s in score_of.values()) > 10
+    assert topk.top_k(spark.createDataFrame([(0, [1.0]), (1, [1e308])], "vec_id long, embedding array<double>")).count() == 0
+
+
+def test_bins_of_ranges_wider_than_a_long():
+    scores = np.array([-(2**63 - 1), -(2**62) - 1, 0, 2**62, 2**63 - 1])
+    low, high = -(2**63 - 1), 2**63
+    width = topk._bin_width([low], [high])[0]
+    assert topk.bins(scores, low, high, width).tolist() == [(int(s) - low) // width for s in scores]
 
 
 def test_query_blocks_cover_the_set_once(spark):

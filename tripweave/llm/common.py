@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from tripweave.session import checkpoint_dir
 
 #: Bytes of text that a task turns into numpy arrays at one time.
 SLICE_BYTES = 1 << 20
@@ -43,11 +45,31 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) ->
             yield batch.slice(a, b - a)
 
 
+class BlockFolder:
+    """Results of query blocks, each written before the next begins, into one folder that is read as a whole."""
+
+    def __init__(self, spark: SparkSession, schema: str, name: str):
+        self.spark, self.schema, self.blocks = spark, schema, 0
+        self.path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}/{name}"
+
+    def add(self, rows: DataFrame) -> None:
+        rows.write.parquet(f"{self.path}/block={self.blocks}")
+        self.blocks += 1
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/*") if self.blocks else self.spark.createDataFrame([], self.schema)
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """UTF-8 bytes of a text column; null is empty."""
     return [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, however often ``use`` names it, in lambdas as well."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` doesn't have (columns compare without case)."""
     have = {c.lower() for c in df.columns}

@@ -14,7 +14,8 @@ Rules: vectors null, empty or with null or non-finite components take no part,
 nor do rows without an id; vectors of another length are no candidates of a
 query; a repeated candidate row counts as often as it occurs, a query repeated
 with the same vector is answered once; ties go to the smaller id; scores beyond
-a long are held at its bounds.
+a long are held at its bounds (the lowest, as it has no counterpart, one above); components that are not
+finite once scaled count as not finite.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tripweave.llm.common import table
+from tripweave.llm.common import BlockFolder, table
 from tripweave.llm.vectors import EVERY, by_length, matrices, query_blocks, smallest, usable
 
 SCALE, BINS = 1024, 256
@@ -65,26 +66,31 @@ def _block(rows):
     return {n: (at, own[at], integers(m)) for n, (at, m) in by_length(rows).items()}
 
 
-def _bin_width(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    return np.maximum(1, -(-(high - low) // BINS))
+def _bin_width(low: list[int], high: list[int]) -> list[int]:
+    return [max(1, -(-(h - x) // BINS)) for x, h in zip(low, high)]
 
 
-def _edges(candidates: DataFrame, block, bounds: np.ndarray, n: int, k: int) -> np.ndarray:
+def bins(scores: np.ndarray, low: int, high: int, width: int) -> np.ndarray:
+    """The bin of each score in [low, high); differences of longs may need 64 bits without a sign."""
+    inside = scores[(scores >= low) & (scores < high)]
+    return ((inside.astype(np.uint64) - np.uint64(low % 2**64)) // np.uint64(width)).astype(np.int64)
+
+
+def _edges(candidates: DataFrame, block, bounds: list[int], n: int, k: int) -> list[int]:
     """Per query a score that at most k + SPARE rows exceed and that the k-th highest score reaches."""
-    low, high = -bounds, bounds + 1  # scores lie in [low, high)
-    above = np.zeros(n, np.int64)    # rows with scores from high on
-    active = np.arange(n)
-    while len(active):
+    low, high = [-b for b in bounds], [b + 1 for b in bounds]  # scores lie in [low, high); Python's integers, as ranges may pass a long
+    above = [0] * n    # rows with scores from high on
+    active = list(range(n))
+    while active:
         width = _bin_width(low, high)
-        search = set(active.tolist())
+        search = set(active)
 
-        def count(batches, low=low, high=high, width=width, search=search):
+        def count(batches, low=tuple(low), high=tuple(high), width=width, search=search):
             held = np.zeros((n, BINS), np.int64)
             for batch in batches:
                 for q, _, scores in _scored(batch, block):
                     if q in search:
-                        inside = scores[(scores >= low[q]) & (scores < high[q])]
-                        held[q] += np.bincount((inside - low[q]) // width[q], minlength=BINS)
+                        held[q] += np.bincount(bins(scores, low[q], high[q], width[q]), minlength=BINS)
             q, b = np.nonzero(held)
             yield pa.RecordBatch.from_arrays([pa.array(q.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(held[q, b])], names=["q", "bin", "n"])
 
@@ -92,41 +98,39 @@ def _edges(candidates: DataFrame, block, bounds: np.ndarray, n: int, k: int) ->
         # one row per query: its bins' counts, at most BINS of them
         rows = got.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("bin", "n")), asc=False).alias("bins")).collect()
         next_active = []
-        seen = set()
         for r in rows:
-            q, total = r.q, int(above[r.q])
-            seen.add(q)
+            q, total = r.q, above[r.q]
             for b, m in ((x["bin"], x["n"]) for x in r.bins):
                 if total + m >= k:
                     break
                 total += m
             else:  # fewer than k rows in all: everything is kept
-                high[q], low[q] = low[q], low[q]
                 continue
             start = low[q] + b * width[q]
             above[q] = total
             low[q], high[q] = start, min(high[q], start + width[q])
             if width[q] > 1 and m > k + SPARE:
                 next_active.append(q)
-        active = np.array(sorted(next_active), np.int64)
+        active = sorted(next_active)
     return low
 
 
 def top_k(df: DataFrame, k: int = 10, vector: str = "embedding", vec_id: str = "vec_id", every: int = EVERY) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest scores among all other rows."""
     spark = df.sparkSession
-    candidates = usable(df, vector, vec_id)
-    queries = usable(df, vector, vec_id, F.col(vec_id) % every == 0).distinct()
+    fit = F.forall(F.col(vector).cast("array<double>"), lambda x: F.abs(x * F.lit(float(SCALE))) != float("inf"))
+    candidates = usable(df, vector, vec_id, fit)
+    queries = usable(df, vector, vec_id, fit & (F.col(vec_id) % every == 0)).distinct()
     # Cauchy-Schwarz: no score lies beyond the product of the lengths
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + F.pow(F.floor(x * F.lit(float(SCALE))).cast("double"), F.lit(2.0))))
     longest = candidates.agg(F.max(length)).first()[0]
     schema = "query_id long, vec_id long, score long"
-    out = spark.createDataFrame([], schema)
+    found = BlockFolder(spark, schema, "top_k")
     for rows in query_blocks(queries) if longest is not None else ():
         own = np.array([i for i, _ in rows])
         block = _block(rows)
-        norms = np.array([np.sqrt((integers(v) ** 2).sum()) for _, v in rows])
-        bounds = np.minimum(np.ceil(norms * longest * (1 + 1e-9)) + 1, 2.0**62).astype(np.int64)
+        norms = [float(np.sqrt((integers(v) ** 2).sum())) for _, v in rows]
+        bounds = [int(min(np.ceil(x * longest * (1 + 1e-9)) + 1, _LONG)) if x * longest < 2.0**62 else _LONG for x in norms]
         edges = _edges(candidates, block, bounds, len(rows), k)
 
         def keep(batches, block=block, edges=edges, own=own):
@@ -142,9 +146,9 @@ def top_k(df: DataFrame, k: int = 10, vector: str = "embedding", vec_id: str = "
                 ids, scores = _best(parts, k)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), own[q])), pa.array(ids), pa.array(scores)], names=["query_id", "vec_id", "score"])
 
-        out = out.unionByName(candidates.mapInArrow(keep, schema))
+        found.add(candidates.mapInArrow(keep, schema))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.read().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _best(parts, k):
