@@ -30,7 +30,6 @@ from __future__ import annotations
 
 import math
 import re
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +37,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tripweave.llm.common import SLICE_BYTES, slices, table, texts_of
+from tripweave.llm.common import SLICE_BYTES, BlockFolder, slices, table, texts_of
 from tripweave.llm.vectors import smallest
-from tripweave.session import checkpoint_dir, stored
+from tripweave.session import stored
 
 TOP = 20
 #: Postings (item, term) and items of a block.
@@ -270,12 +269,10 @@ def _answered(spark: SparkSession, docs: DataFrame, block: Block, k: int, doc_id
 def search(docs: DataFrame, items: DataFrame, k: int = TOP, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(item_id, rank, doc_id, score): each item's ``k`` documents of the highest scores above 0."""
     spark = docs.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}/ranked"
-    schema = "item_id long, rank int, doc_id long, score long"
-    spark.createDataFrame([], schema).write.parquet(f"{path}/block=-1")
-    for b, block in enumerate(_blocks(stored(_item_terms(items, item_id, text), "item_terms"))):
-        _answered(spark, docs, block, k, doc_id, text).write.parquet(f"{path}/block={b}")
-    return spark.read.schema(schema).parquet(f"{path}/*")
+    found = BlockFolder(spark, "item_id long, rank int, doc_id long, score long", "ranked")
+    for block in _blocks(stored(_item_terms(items, item_id, text), "item_terms")):
+        found.add(_answered(spark, docs, block, k, doc_id, text))
+    return found.read()
 
 
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tripweave.llm.common import table
+from tripweave.llm.common import BlockFolder, table
 from tripweave.llm.vectors import EVERY, by_length, matrices, query_blocks, smallest, usable
 from tripweave.session import stored
 
@@ -127,7 +127,7 @@ def search(index: DataFrame, middle: dict[int, np.ndarray], queries: DataFrame,
     """(query_id, rank, vec_id, score): k nearest found of each query, by exact Euclidean distance."""
     spark = index.sparkSession
     schema = "query_id long, vec_id long, score double"
-    out = spark.createDataFrame([], schema)
+    found = BlockFolder(spark, schema, "nearest")
     light = index.select("vec_id", "code", "norm", "fit", F.size("vector").alias("size"))
     for rows in query_blocks(queries):
         ids = np.array([i for i, _ in rows])
@@ -173,9 +173,9 @@ def search(index: DataFrame, middle: dict[int, np.ndarray], queries: DataFrame,
             for q, ((i, d),) in held.items():
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), ids[q])), pa.array(i), pa.array(d)], names=["query_id", "vec_id", "score"])
 
-        out = out.unionByName(index.mapInArrow(rerank, schema))
+        found.add(index.mapInArrow(rerank, schema))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.read().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _nearest(parts, k):
