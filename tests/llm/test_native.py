@@ -36,12 +36,16 @@ def base_brute(text):
 def entropy_brute(text, base):
     out = []
     for m in re.finditer(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}", text):
-        v = m[0]
-        if any(re.search(p, v) for p in S.ALLOWED):
+        v = shown = m[0]
+        if re.search(S.PATHS, v):
             continue
+        for pattern, length in S.ALLOWED:
+            shown = re.sub(pattern, "." * length, shown)
         least = next(b for _, p, _, b in S.CLASSES if re.fullmatch(p, v))
         hits = []
         for i in range(len(v) - S.WINDOW + 1):
+            if "." in shown[i : i + S.WINDOW]:
+                continue
             n = Counter(v[i : i + S.WINDOW]).values()
             if -sum(c / S.WINDOW * math.log2(c / S.WINDOW) for c in n) >= least - 1e-10:
                 hits.append(i)
@@ -52,6 +56,43 @@ def entropy_brute(text, base):
     return sorted(out + base)
 
 
+BESIDE = [
+    (110, "see io/example/hooks/T9aQx2LmVb7RkZp4WcYs8Nd3 for it", "T9aQx2LmVb7RkZp4WcYs8Nd3"),
+    (111, "key AAAAAAAq8Zk2LxV7bRtY5wPn3cJd9", "q8Zk2LxV7bRtY5wPn3cJd9"),
+    (112, "number 73920184650817263945 here", "73920184650817263945"),
+    (113, "id 123e4567-e89b-12d3-a456-426614174000/Zk2LxV7bRtY5wPn3cJd9q8", "Zk2LxV7bRtY5wPn3cJd9q8"),
+]
+
+
+def test_an_allowed_string_hides_nothing_beside_it(spark):
+    rows = [(d, t) for d, t, _ in BESIDE] + [(120, "io/example/hooks/sample/12345678901234567890abcdefgh"), (121, "123e4567-e89b-12d3-a456-426614174000"),
+                                             (122, "path/of/many/plain/words/indeed/2024")]
+    got = {r.doc_id: r for r in S.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, t, secret in BESIDE:
+        (span,) = got[d].spans
+        assert secret in t[span.start : span.end] and [tuple(x) for x in got[d].spans] == entropy_brute(t, [])
+    assert not any(got[d].spans for d in (121, 122))
+
+
+def test_long_candidates_and_many_matches_in_linear_time(spark):
+    import base64
+    import random
+    import time
+
+    rng = random.Random(3)
+    blob = base64.b64encode(rng.randbytes(150_000)).decode()
+    many = " ".join(f"token={rng.randrange(10**9):012d}" for _ in range(5000))
+    df = S.scan(spark.createDataFrame([(1, blob), (2, many)], "doc_id long, text string").coalesce(1)).select("doc_id", "base", "spans")
+    S.scan(spark.createDataFrame([(1, blob[:100])], "doc_id long, text string")).collect()  # compiled
+    for d, limit in ((1, 6), (2, 6)):
+        t = time.time()
+        (row,) = df.filter(F.col("doc_id") == d).collect()
+        assert time.time() - t < limit
+        text = {1: blob, 2: many}[d]
+        base = base_brute(text)
+        assert [tuple(x) for x in row.base] == base and [tuple(x) for x in row.spans] == entropy_brute(text, base)
+
+
 def test_spans_match_brute_force(spark, docs):
     rows = docs + odd_rows() + CASES
     df = spark.createDataFrame(rows, "doc_id long, text string")

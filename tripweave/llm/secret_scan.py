@@ -6,13 +6,19 @@ of the base64 alphabet that hold a digit) are classed by the characters they
 use, a window of ``WINDOW`` characters slides over each, and the window's
 Shannon entropy follows from counts that are updated by the character that
 enters and the one that leaves.  A candidate whose entropy reaches its class's
-threshold adds the span from its first to its last such window, unless the
-allow-list names it or a base span covers it.
+threshold adds the span from its first to its last such window, unless a base
+span covers it.
+
+The allow-list names strings within a candidate (example words, sequences, runs,
+UUIDs): a window that touches one does not count, the others do, so an innocent
+stretch never hides a key beside it.  Only candidates that are nothing but words
+(``PATHS``) are left out whole.
 
 Rules: null text is empty and has no spans; positions are code points, end
 exclusive; spans sort by start, then kind as listed in ``KINDS``.  Each row is
-worked on alone (nothing is shuffled), so repeated rows, hot sources and long
-texts need no special care.
+worked on alone (nothing is shuffled), so repeated rows and hot sources need no
+special care.  Work grows with the length of a text: a candidate is cut into
+characters once, and matches are added up in chunks of ``CHUNK``.
 """
 
 from __future__ import annotations
@@ -21,7 +27,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tripweave.llm.common import table
+from tripweave.llm.common import once, table
 
 KINDS = ("assign", "access", "hex", "entropy")
 #: The base patterns.  Runs with a least length equal the unbounded run with a length test.
@@ -37,15 +43,19 @@ CLASSES = (
     ("hex", "[0-9a-fA-F]+", "0123456789abcdefABCDEF", 3.2),
     ("base64", "[A-Za-z0-9+/_-]+", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 3.7),
 )
-#: Candidates that are no secrets: example values, UUIDs, runs and sequences, paths of words.
+#: Strings that are no secrets, each with its length: example words, sequences, runs of six, UUIDs.
 ALLOWED = (
-    r"(?i)example|sample|dummy|placeholder|changeme|redacted|testkey",
-    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
-    r"(.)\1{5}",
-    r"(?i)abcdefgh|01234567|12345678",
-    r"^[A-Za-z]*(?:[/_-][A-Za-z]+){3,}[/_-]?[0-9]{0,4}$",
-    r"^[0-9]+$",
+    *((f"(?i){word}", len(word)) for word in ("example", "sample", "dummy", "placeholder", "changeme", "redacted", "testkey",
+                                              "abcdefgh", "01234567", "12345678")),
+    (r"(.)\1{5}", 6),
+    (r"(?i)(?<![0-9a-z])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![0-9a-z])", 36),
 )
+#: Candidates of words alone, with a short number at most.
+PATHS = r"^[A-Za-z]*(?:[/_-][A-Za-z]+){3,}[/_-]?[0-9]{0,4}$"
+#: What an allowed string is written over with: outside of every alphabet.
+_FILLER = "."
+#: Matches that are added up at one time.
+CHUNK = 128
 
 
 def matches(text: Column, pattern: str, group: int | None = None) -> Column:
@@ -54,7 +64,8 @@ def matches(text: Column, pattern: str, group: int | None = None) -> Column:
     part = found if group is None else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.transform(F.split(text, pattern, -1), F.char_length)
     rows = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("found"), part.alias("part"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string,part:string>>").alias("out"))
+    none = F.array().cast("array<struct<start:int,end:int,text:string,part:string>>")
+    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def step(acc, x):
         a = acc["at"] + x["gap"]
@@ -62,7 +73,19 @@ def matches(text: Column, pattern: str, group: int | None = None) -> Column:
         one = F.struct(a.alias("start"), b.alias("end"), x["found"].alias("text"), x["part"].alias("part"))
         return F.struct(b.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    return F.aggregate(rows, start, step, lambda acc: acc["out"])
+    def chunks(xs):
+        """Each chunk's matches as if it stood at 0, then moved to where the chunks before it end."""
+        n = F.floor((F.size(xs) + (CHUNK - 1)) / CHUNK).cast("int")
+        each = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.aggregate(F.slice(xs, i * CHUNK + 1, F.lit(CHUNK)), start, step))
+        return once(each, lambda parts: once(ends(parts), lambda at: F.flatten(F.transform(parts, lambda p, i: F.transform(
+            p["out"], lambda m: F.struct((m["start"] + F.get(at, i)).alias("start"), (m["end"] + F.get(at, i)).alias("end"),
+                                         m["text"].alias("text"), m["part"].alias("part")))))))
+
+    def ends(parts):
+        """Where each chunk begins."""
+        return F.aggregate(parts, F.array(F.lit(0)), lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + p["at"])))
+
+    return once(rows, lambda xs: F.when(F.size(xs) > 0, chunks(xs)).otherwise(none))
 
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -88,50 +111,53 @@ def base_spans(text: Column) -> Column:
 def window_hits(value: Column, alphabet: str, least: float) -> Column:
     """(first, last): start of the first and end of the last window of ``value`` with ``least`` bits; null if none.
 
-    The state is a count per character of the alphabet and the sum of c*log2(c)
-    over the counts; a window's entropy is log2(WINDOW) - sum / WINDOW.
+    The state is a count per character of the alphabet, the sum of c*log2(c)
+    over the counts, and how many characters of the window are outside of the
+    alphabet (a window with such a one does not count); a window's entropy is
+    log2(WINDOW) - sum / WINDOW.
     """
     plogp = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])
     limit = WINDOW * (math.log2(WINDOW) - least) + 1e-9
-    place = lambda i: F.instr(F.lit(alphabet), F.substring(value, i, F.lit(1)))
-    start = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("n"), F.lit(0.0).alias("s"),
+    start = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("n"), F.lit(0.0).alias("s"), F.lit(0).alias("outside"), F.lit(0).alias("end"),
                      F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
 
-    def change(acc, at, by):
-        c = F.element_at(acc["n"], at)
-        s = acc["s"] + F.get(plogp, c + by) - F.get(plogp, c)
-        n = F.transform(acc["n"], lambda x, j: F.when(j + 1 == at, x + by).otherwise(x))
-        return F.struct(n.alias("n"), s.alias("s"), acc["first"].alias("first"), acc["last"].alias("last"))
-
     def step(acc, move):
-        at = place(F.abs(move))
-        got = change(acc, at, F.when(move > 0, 1).otherwise(-1))
-        return got
-
-    def mark(acc, move):
-        end = F.abs(move)
-        hit = (move > 0) & (end >= WINDOW) & (acc["s"] <= limit)
-        return F.struct(acc["n"].alias("n"), acc["s"].alias("s"),
-                        F.when(hit & acc["first"].isNull(), end - WINDOW).otherwise(acc["first"]).alias("first"),
-                        F.when(hit, end).otherwise(acc["last"]).alias("last"))
-
-    # moves: position i leaves as -(i - WINDOW) before i enters as +i
-    moves = F.flatten(F.transform(F.sequence(F.lit(1), F.char_length(value)), lambda i: F.when(
-        i > WINDOW, F.array(F.lit(WINDOW) - i, i)).otherwise(F.array(i))))
-    done = F.aggregate(moves, start, lambda acc, m: F.element_at(F.transform(F.array(step(acc, m)), lambda x: mark(x, m)), 1))
-    return F.struct(done["first"].alias("first"), done["last"].alias("last"))
-
-
-def entropy_spans(text: Column, allowed: tuple[str, ...] = ALLOWED) -> Column:
+        enters, leaves = move["enters"], move["leaves"]
+        less = F.coalesce(F.get(acc["n"], leaves - 1), F.lit(0))
+        s = F.when(leaves > 0, acc["s"] - F.get(plogp, less) + F.get(plogp, less - 1)).otherwise(acc["s"])
+        more = F.coalesce(F.get(acc["n"], enters - 1), F.lit(0)) - F.when(enters == leaves, 1).otherwise(0)
+        s = F.when(enters > 0, s + F.get(plogp, more + 1) - F.get(plogp, more)).otherwise(s)
+        n = F.when(enters == leaves, acc["n"]).otherwise(F.transform(acc["n"], lambda x, j: F.when(j + 1 == enters, x + 1).when(j + 1 == leaves, x - 1).otherwise(x)))
+        outside = acc["outside"] + F.when(enters == 0, 1).otherwise(0) - F.when(leaves == 0, 1).otherwise(0)
+        return F.struct(n.alias("n"), s.alias("s"), outside.alias("outside"), (acc["end"] + 1).alias("end"), acc["first"].alias("first"), acc["last"].alias("last"))
+
+    def mark(x):
+        hit = (x["end"] >= WINDOW) & (x["outside"] == 0) & (x["s"] <= limit)
+        return F.struct(x["n"].alias("n"), x["s"].alias("s"), x["outside"].alias("outside"), x["end"].alias("end"),
+                        F.when(hit & x["first"].isNull(), x["end"] - WINDOW).otherwise(x["first"]).alias("first"),
+                        F.when(hit, x["end"]).otherwise(x["last"]).alias("last"))
+
+    # 0: outside of the alphabet; what leaves is what entered WINDOW moves before, nothing (null) at first
+    codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(alphabet), c))
+    moves = once(codes, lambda x: F.slice(F.arrays_zip(x.alias("enters"), F.concat(F.array_repeat(F.lit(None).cast("int"), WINDOW), x).alias("leaves")), 1, F.size(x)))
+    done = F.aggregate(moves, start, lambda acc, m: once(step(acc, m), mark))
+    return once(done, lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last")))
+
+
+def entropy_spans(text: Column, allowed: tuple[tuple[str, int], ...] = ALLOWED) -> Column:
     """Array of (start, kind, end) that the entropy method finds, before base spans are taken into account."""
     def hits(m):
-        out = F.lit(None)
-        for _, pattern, alphabet, least in reversed(CLASSES):
-            out = F.when(m["text"].rlike(f"^{pattern}$"), window_hits(m["text"], alphabet, least)).otherwise(out)
-        suppressed = F.lit(False)
-        for pattern in allowed:
-            suppressed = suppressed | m["text"].rlike(pattern)
-        return F.struct(m["start"].alias("at"), F.when(~suppressed, out).alias("hit"))
+        shown = m["text"]
+        for pattern, length in allowed:
+            shown = F.regexp_replace(shown, pattern, _FILLER * length)
+
+        def rated(value):
+            out = F.lit(None)
+            for _, pattern, alphabet, least in reversed(CLASSES):
+                out = F.when(m["text"].rlike(f"^{pattern}$"), window_hits(value, alphabet, least)).otherwise(out)
+            return out
+
+        return F.struct(m["start"].alias("at"), F.when(~m["text"].rlike(PATHS), once(shown, rated)).alias("hit"))
 
     rated = F.filter(F.transform(matches(text, CANDIDATE), hits), lambda x: x["hit"]["first"].isNotNull())
     out = F.transform(rated, lambda x: F.struct((x["at"] + x["hit"]["first"]).alias("start"), F.lit(KINDS.index("entropy")).alias("kind"),
