@@ -58,7 +58,6 @@ def test_pieces_equal_the_tokenizer(spark, rows):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path(K.VOCABULARY))
-    tok.encode_special_tokens = True
     want = defaultdict(int)
     for d, t in rows:
         ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
@@ -75,7 +74,6 @@ def test_words_before_punctuation_equal_the_tokenizer():
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path(K.VOCABULARY))
-    tok.encode_special_tokens = True
     stems = ["'hello'", "20€", "«oui»", "“yes”", "word’", "a…", "x", "7", "½", "é", "e\u0301", "İ", "Σ", "क़", "שׁ", "한", "१", "it's", "'s", "'", "—", "👩‍👩", "\u1fef", "\u037e", "a\u0338", "a\xa0", "<|endoftext|"]
     words = [s + p for s in stems for p in ("", ".", "!", ",", "),", ">", "'.", ".'", "=\u0338", "...", "?!")]
     words += [chr(c) + p for c in range(0x21, 0x3000) for p in (".", ")!")]
@@ -84,6 +82,20 @@ def test_words_before_punctuation_equal_the_tokenizer():
         assert np.frombuffer(x, "<u4").tolist() == tok.encode(w, add_special_tokens=False).ids, ascii(w)
 
 
+SPECIAL = ["<|endoftext|>", "a<|endoftext|>b.", "It's<|startoftext|>!", "<|ENDOFTEXT|> x", "<|endoftext", "é<|endoftext|><|endoftext|>.", "x <|startoftext|>\ty"]
+
+
+def test_special_tokens_as_the_library_has_them_or_as_text():
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path(K.VOCABULARY))
+    for as_text in (False, True):
+        tok.encode_special_tokens = as_text
+        got = K.WordIds(public_tokenizers.path(K.VOCABULARY), as_text).encode(pa.array(SPECIAL))
+        for t, x in zip(SPECIAL, got):
+            assert np.frombuffer(x, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 def check_packing(rows, capacity):
     bins = defaultdict(list)
     for r in rows:

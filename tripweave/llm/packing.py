@@ -57,13 +57,19 @@ class WordIds:
     Only Latin letters and digits are asked for here, since others may end in a
     mark once normalised (so does U+0130).  What is left mostly is one run of
     Latin letters, which goes to the merge model at once.
+
+    A text that spells a special token gets that token's id, as the library has
+    it by default; with ``special_as_text`` it stays text.  A word that holds
+    such a spelling goes to the tokenizer whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = () if special_as_text else tuple(t.content for t in added)
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -77,6 +83,9 @@ class WordIds:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word_ids(self, word: str) -> bytes:
+        if any(x in word for x in self.special):
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
         stem = word.rstrip(_PUNCTUATION)
         apart = stem and stem[-1].isalnum() and stem[-1] < "\u0250" and stem[-1] != "\u0130"
         out = b""
@@ -111,8 +120,8 @@ class WordIds:
         return [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
-def _word_ids(path: str) -> WordIds:
-    return worker_memory(path, lambda: WordIds(path))
+def _word_ids(path: str, special_as_text: bool) -> WordIds:
+    return worker_memory((path, special_as_text), lambda: WordIds(path, special_as_text))
 
 
 PIECES = T.StructType([
@@ -122,13 +131,13 @@ PIECES = T.StructType([
 ])
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, special_as_text: bool = False) -> DataFrame:
     """(doc_id, text) to one row per piece: its place, length and the checksum of its ids."""
     path = path or public_tokenizers.path(VOCABULARY)
     wide = 4 * capacity
 
     def run(batches):
-        coder = _word_ids(path)
+        coder = _word_ids(path, special_as_text)
         for batch in batches:
             for part in slices(batch, "text", 8 * SLICE_BYTES):
                 ids = [x + b"\0\0\0\0" for x in coder.encode(part.column("text"))]
@@ -257,8 +266,8 @@ def _places(bins: DataFrame) -> DataFrame:
     return bins.select(F.monotonically_increasing_id().alias("sequence_id"), "members").mapInArrow(run, schema)
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
-    return pack(stored(pieces(docs, capacity, path), "pieces"), capacity)
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, special_as_text: bool = False) -> DataFrame:
+    return pack(stored(pieces(docs, capacity, path, special_as_text), "pieces"), capacity)
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
