@@ -112,6 +112,33 @@ def test_rare_codes_are_languages(spark):
     assert all(got[i].language == "aa" for i in range(5000))
 
 
+def test_region_tags_are_their_language(spark):
+    rows = [(i, t, f"{lang}-{'us' if i % 2 else 'GB'}" if i % 3 else lang, s, n) for i, t, lang, s, n in sample(60)]
+    df = spark.createDataFrame(rows, DOCUMENTS)
+    model = L.fit(df)
+    assert model.languages == ["aa", "bb"]
+    plain = spark.createDataFrame([(i, t, lang[:2], s, n) for i, t, lang, s, n in rows], DOCUMENTS)
+    want = {r.doc_id: r.language for r in L.identify(plain, L.fit(plain)).collect()}
+    for r in L.identify(df, model).collect():
+        assert r.language.language == want[r.doc_id].language and math.isclose(r.language.confidence, want[r.doc_id].confidence, rel_tol=1e-9)
+
+
+def test_every_listed_language_at_once(spark):
+    """All codes: time grows with the languages, and the driver gets a row for each."""
+    import time
+
+    codes = sorted(L.CODES)
+    say = lambda i: " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}q{chr(97 + (i + j) % 26)}" for j in range(60))
+    rows = [(10 * i + j, say(i) * 5, c, f"h{i % 9}", 0) for i, c in enumerate(codes) for j in range(2)]
+    df = spark.createDataFrame(rows, DOCUMENTS).repartition(4)
+    t = time.time()
+    model = L.fit(df, host="source")
+    got = L.identify(df, model, host="source").select("lang", "language").collect()
+    assert time.time() - t < 60
+    assert model.languages == codes and len(got) == len(rows)
+    assert sum(r.lang == r.language.language for r in got) > 0.98 * len(got)
+
+
 def test_toxicity_on_held_out_labels(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = X.op8_toxicity(spark, SF).join(labels, "doc_id").filter("toxic IS NOT NULL").collect()

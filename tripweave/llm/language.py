@@ -13,7 +13,8 @@ neighbouring trigrams repeat each other's evidence.
 
 Rules: a row without letters has no text evidence and is rejected, as is one
 whose best language stays under ``LEAST``; a null declared value, host or
-suffix adds nothing; languages are the codes of ISO 639 (``CODES``) whose declared rows
+suffix adds nothing; a declared tag counts by its primary subtag (``pt-BR`` is ``pt``);
+languages are the codes of ISO 639 (``CODES``) whose declared rows
 hold ``TRIGRAMS`` trigrams, however small their share, and any other values that
 ``SHARE`` of the declared rows name (so there are at most as many as codes and
 1 / SHARE); without any, all rows are rejected.
@@ -24,7 +25,6 @@ and joined back, a hot host's rows staying spread over the partitions.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tripweave.llm.common import free_name, slices, table, texts_of, worker_memory
+from tripweave.llm.common import free_name, groups, once, slices, table, texts_of, worker_memory
 from tripweave.session import stored
 
 BINS = 1 << 14
@@ -43,7 +43,7 @@ TRIGRAMS = 1000
 #: Share of the declared rows that any other value needs; strengths of the smoothing towards the suffix and the whole.
 SHARE, TO_SUFFIX, TO_ALL = 0.001, 20.0, 100.0
 
-#: ISO 639-1, and those of ISO 639-2 without a code there (no collections of none, many or unknown languages).
+#: ISO 639-1, and those of ISO 639-2 without a code there (no collections of none, many or unknown languages).
 CODES = frozenset("""
     aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu fa ff fi
     fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik io is it iu ja jv ka kg ki kj kk kl km kn ko kr ks ku kv kw
@@ -81,46 +81,87 @@ def _lower(batch, text):
     return pa.RecordBatch.from_arrays([pc.utf8_lower(batch.column(text).cast(pa.string()))], names=["t"])
 
 
+def primary(declared) -> F.Column:
+    """The primary subtag of a declared language, in lower case; any other value as it is."""
+    return F.regexp_replace(F.lower(declared), r"^([a-z]{2,3})[-_].*$", "$1")
+
+
 @dataclass
 class Model:
-    """Languages, log trigram frequencies, log P(declared | language), and the stored priors by host and by suffix."""
+    """Languages, log trigram frequencies, log P(declared | language) with a last row for other values, and the stored priors by host and by suffix."""
 
     languages: list[str]
     grams: np.ndarray
-    declared: dict[str, list[float]]
-    other: list[float]
+    channel: np.ndarray
     hosts: DataFrame
     suffixes: DataFrame
     overall: list[float]
 
 
-def _evidence(df: DataFrame, text: str, grams: np.ndarray, out: str) -> DataFrame:
-    """``df`` with an array of log likelihoods by language; null where the text has no letters."""
+def _evidence(df: DataFrame, text: str, model: Model, out: str, declared: str | None = None) -> DataFrame:
+    """``df`` with (logs by language, letters): log likelihoods of the text, and of the declared value if one is named."""
     columns = df.columns
+    grams, channel = model.grams, model.channel
+    place = {x: i for i, x in enumerate(model.languages)}
+    n, kind = len(place), T.StructType([T.StructField("logs", T.ArrayType(T.DoubleType())), T.StructField("letters", T.BooleanType())])
 
     def run(batches):
         worker_memory("language")
         for batch in batches:
             for part in slices(batch, text):
                 bins, owner = trigrams(texts_of(_lower(part, text), "t"))
-                n = np.bincount(owner, minlength=part.num_rows)
-                sums = np.stack([np.bincount(owner, g[bins], minlength=part.num_rows) for g in grams], axis=1)
-                sums = sums * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
-                rows = pa.array([r if k else None for r, k in zip(sums.tolist(), n)], pa.list_(pa.float64()))
+                found = np.bincount(owner, minlength=part.num_rows)
+                sums = np.empty((part.num_rows, n))
+                for i, g in enumerate(grams):
+                    sums[:, i] = np.bincount(owner, g[bins], minlength=part.num_rows)
+                sums *= (np.minimum(found, EVIDENCE) / np.maximum(found, 1))[:, None]
+                if declared:
+                    said = part.column(declared).to_pylist()
+                    at = np.flatnonzero([bool(x) for x in said])
+                    sums[at] += channel[[place.get(said[i], n) for i in at]]
+                logs = pa.ListArray.from_arrays(np.arange(0, sums.size + 1, n, dtype=np.int32), pa.array(sums.ravel()))
+                rows = pa.StructArray.from_arrays([logs, pa.array(found > 0)], names=["logs", "letters"])
                 yield pa.RecordBatch.from_arrays([*part.columns, rows], names=[*columns, out])
 
-    return df.mapInArrow(run, T.StructType([*df.schema, T.StructField(out, T.ArrayType(T.DoubleType()))]))
+    return df.mapInArrow(run, T.StructType([*df.schema, T.StructField(out, kind)]))
 
 
-def _shares(logs, n: int):
+def _shares(logs: F.Column) -> F.Column:
     """Log weights to shares that add up to 1."""
-    top = F.array_max(logs)
-    raised = F.transform(logs, lambda x: F.exp(x - top))
-    return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, y: a + y))
+    raised = once(logs, lambda x: once(F.array_max(x), lambda top: F.transform(x, lambda v: F.exp(v - top))))
+    return once(raised, lambda r: once(F.aggregate(r, F.lit(0.0), lambda a, y: a + y), lambda total: F.transform(r, lambda v: v / total)))
+
+
+def _counted(named: DataFrame, languages: list[str]) -> np.ndarray:
+    """Occurrences of each trigram bin by declared language, languages by ``BINS``; the driver gets one row per language."""
+    place = {x: i for i, x in enumerate(languages)}
+
+    def count(batches):
+        worker_memory("language")
+        held = np.zeros((len(languages), BINS), np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                bins, owner = trigrams(texts_of(_lower(part, "text"), "t"))
+                own = np.array([place.get(x, -1) for x in part.column("declared").to_pylist()])[owner]
+                np.add.at(held, (own[own >= 0], bins[own >= 0]), 1)
+        lang, b = np.nonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(lang.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(held[lang, b])], names=["lang", "bin", "n"])
+
+    def gather(batches):
+        for part in groups(batches, ["lang"]):
+            row = np.zeros(BINS, np.int64)
+            row[part.column("bin").to_numpy()] = part.column("n").to_numpy()
+            yield pa.RecordBatch.from_arrays([part.column("lang")[:1], pa.array([row.astype("<i8").tobytes()], pa.binary())], names=["lang", "counts"])
+
+    sums = named.select("text", "declared").mapInArrow(count, "lang int, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    out = np.zeros((len(languages), BINS))
+    for r in sums.repartition("lang").sortWithinPartitions("lang").mapInArrow(gather, "lang int, counts binary").collect():
+        out[r.lang] = np.frombuffer(r.counts, "<i8")
+    return out
 
 
 def fit(df: DataFrame, text: str = "text", declared: str = "lang", host: str | None = None, suffix: str | None = None) -> Model:
-    named = df.select(F.col(text).alias("text"), F.lower(F.col(declared)).alias("declared"),
+    named = df.select(F.col(text).alias("text"), primary(F.col(declared)).alias("declared"),
                       (F.col(host) if host else F.lit(None).cast("string")).alias("host"),
                       (F.col(suffix) if suffix else F.lit(None).cast("string")).alias("suffix"))
     counts = named.filter("declared IS NOT NULL AND declared <> ''").groupBy("declared").count()
@@ -135,53 +176,41 @@ def fit(df: DataFrame, text: str = "text", declared: str = "lang", host: str | N
         languages += [r.declared for r in enough.collect()]
     languages.sort()
     place = {x: i for i, x in enumerate(languages)}
-
-    def count(batches):
-        worker_memory("language")
-        held = np.zeros((len(languages), BINS), np.int64)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                bins, owner = trigrams(texts_of(_lower(part, "text"), "t"))
-                own = np.array([place.get(x, -1) for x in part.column("declared").to_pylist()])[owner]
-                held += np.bincount((own * BINS + bins)[own >= 0], minlength=held.size).reshape(held.shape)
-        lang, b = np.nonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(lang.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(held[lang, b])], names=["lang", "bin", "n"])
-
-    seen = np.ones((len(languages), BINS))
-    if not languages:
-        return Model([], seen, {}, [], counts, counts, [])
-    for r in named.select("text", "declared").mapInArrow(count, "lang int, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect():
-        seen[r.lang, r.bin] += r.n  # at most languages * BINS rows
-    grams = np.log(seen / seen.sum(axis=1, keepdims=True))
     n = len(languages)
+    if not n:
+        return Model([], np.ones((0, BINS)), np.zeros((1, 0)), counts, counts, [])
+    seen = _counted(named, languages) + 1
+    model = Model(languages, np.log(seen / seen.sum(axis=1, keepdims=True)), np.zeros((n + 1, n)), counts, counts, [])
     # one scan for all sums: by declared value, by host and by suffix
-    posterior = _evidence(named, "text", grams, "logs").filter("logs IS NOT NULL").withColumn("p", _shares(F.col("logs"), n)).select("declared", "host", "suffix", "p")
+    posterior = _evidence(named, "text", model, "e").filter("e.letters").withColumn("p", _shares(F.col("e.logs"))).select("declared", "host", "suffix", "p")
     sums = [F.sum(F.get("p", F.lit(i))).alias(f"s{i}") for i in range(n)]
     known = F.when(F.col("declared").isin(languages), F.col("declared"))
-    cells = stored(posterior.withColumn("declared", known).groupBy("declared", "host", "suffix").agg(*sums, F.count("*").alias("n")), "language_cells")
-    again = [F.sum(f"s{i}").alias(f"s{i}") for i in range(n)]
-    row = cells.agg(*again).first()
-    whole = np.array([row[f"s{i}"] or 0.0 for i in range(n)]) + 1
+    summed = posterior.withColumn("declared", known).groupBy("declared", "host", "suffix").agg(*sums)
+    cells = stored(summed.select("declared", "host", "suffix", F.array(*[f"s{i}" for i in range(n)]).alias("s")), "language_cells")
+    again = F.array(*[F.sum(F.get("s", F.lit(i))) for i in range(n)]).alias("s")
+    whole = np.array(cells.agg(again).first().s, float)
+    whole = np.nan_to_num(whole) + 1
     overall = whole / whole.sum()
     channel = np.full((n + 1, n), 0.5)  # declared languages and any other value, by language
-    for r in cells.filter("declared IS NOT NULL").groupBy("declared").agg(*again).collect():
-        channel[place[r.declared]] += [r[f"s{i}"] for i in range(n)]
-    channel = np.log(channel / channel.sum(axis=0))
+    for r in cells.filter("declared IS NOT NULL").groupBy("declared").agg(again).collect():
+        channel[place[r.declared]] += r.s
+    model.channel = np.log(channel / channel.sum(axis=0))
 
     def priors(key, parent, strength, name):
         """Smoothed shares by ``key``: (key, its log shares)."""
-        own = cells.filter(F.col(key).isNotNull()).groupBy(key, *([] if parent is None else ["suffix"])).agg(*again)
+        own = cells.filter(F.col(key).isNotNull()).groupBy(key, *([] if parent is None else ["suffix"])).agg(again)
         base = F.array(*map(F.lit, overall.tolist()))
         if parent is not None:
             own = own.join(parent.withColumnRenamed("logs", "up"), "suffix", "left")
             base = F.coalesce(F.transform("up", F.exp), base)
-        size = sum((F.col(f"s{i}") for i in range(n)), F.lit(0.0))
-        logs = F.array(*[F.log((F.col(f"s{i}") + strength * F.get(base, F.lit(i))) / (size + strength)) for i in range(n)])
+        size = F.aggregate("s", F.lit(0.0), lambda a, x: a + x)
+        logs = once(size, lambda total: F.zip_with("s", base, lambda x, up: F.log((x + strength * up) / (total + strength))))
         return stored(own.select(*([key] if parent is None else [key, "suffix"]), logs.alias("logs")), name)
 
-    suffixes = priors("suffix", None, TO_ALL, "suffix_priors")
-    hosts = priors("host", suffixes, TO_SUFFIX, "host_priors")
-    return Model(languages, grams, {x: channel[i].tolist() for x, i in place.items()}, channel[n].tolist(), hosts, suffixes, np.log(overall).tolist())
+    model.suffixes = priors("suffix", None, TO_ALL, "suffix_priors")
+    model.hosts = priors("host", model.suffixes, TO_SUFFIX, "host_priors")
+    model.overall = np.log(overall).tolist()
+    return model
 
 
 def identify(df: DataFrame, model: Model, text: str = "text", declared: str = "lang", host: str | None = None,
@@ -190,9 +219,8 @@ def identify(df: DataFrame, model: Model, text: str = "text", declared: str = "l
     if not model.languages:
         none = F.struct(F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"), F.lit(False).alias("accepted"))
         return df.withColumn(verdict, none)
-    n = len(model.languages)
-    logs, up_host, up_suffix, key_h, key_s = (free_name(df, x) for x in ("_logs", "_by_host", "_by_suffix", "_host", "_suffix"))
-    out = _evidence(df, text, model.grams, logs)
+    e, say, up_host, up_suffix, key_h, key_s = (free_name(df, x) for x in ("_evidence", "_say", "_by_host", "_by_suffix", "_host", "_suffix"))
+    out = _evidence(df.withColumn(say, primary(F.col(declared))), text, model, e, say).drop(say)
     prior = F.array(*map(F.lit, model.overall))
     if suffix:
         out = out.join(model.suffixes.select(F.col("suffix").alias(key_s), F.col("logs").alias(up_suffix)), F.col(suffix) == F.col(key_s), "left").drop(key_s)
@@ -202,17 +230,15 @@ def identify(df: DataFrame, model: Model, text: str = "text", declared: str = "l
         same = F.lit(None).cast("string").eqNullSafe(F.col(key_s)) if not suffix else F.col(suffix).eqNullSafe(F.col(key_s))
         out = out.join(mine, (F.col(host) == F.col(key_h)) & same, "left").drop(key_h, key_s)
         prior = F.coalesce(up_host, prior)
-    say = F.lower(F.col(declared))
-    # one literal, as there may be hundreds of languages
-    channel = F.element_at(F.from_json(F.lit(json.dumps(model.declared)), "map<string,array<double>>"), say)
-    channel = F.when(say.isNull() | (say == ""), F.array_repeat(F.lit(0.0), n)).otherwise(F.coalesce(channel, F.array(*map(F.lit, model.other))))
-    fused = _shares(F.zip_with(F.zip_with(F.coalesce(F.col(logs), F.array_repeat(F.lit(0.0), n)), channel, lambda a, b: a + b), prior, lambda a, b: a + b), n)
+    fused = _shares(F.zip_with(F.col(f"{e}.logs"), prior, lambda a, b: a + b))
     names = F.array(*map(F.lit, model.languages))
-    best = F.array_max(F.col(verdict))
-    shares = out.withColumn(verdict, fused)
-    return shares.withColumn(verdict, F.struct(
-        F.get(names, (F.array_position(F.col(verdict), best) - 1).cast("int")).alias("language"), best.alias("confidence"),
-        (F.col(logs).isNotNull() & (best >= LEAST)).alias("accepted"))).drop(logs, up_host, up_suffix)
+
+    def verdict_of(shares):
+        return once(F.array_max(shares), lambda best: F.struct(
+            F.get(names, (F.array_position(shares, best) - 1).cast("int")).alias("language"), best.alias("confidence"),
+            (F.col(f"{e}.letters") & (best >= LEAST)).alias("accepted")))
+
+    return out.withColumn(verdict, once(fused, verdict_of)).drop(e, up_host, up_suffix)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
