@@ -57,3 +57,12 @@ def test_odd_documents(spark):
     empty = docs.limit(0)
     for _, stage in C.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_one_id_with_two_texts_loses_neither(spark):
+    words = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen".split()
+    a, b = " ".join(words), " ".join(words[::-1])
+    rows = [(1, a, "en", "x", 1), (1, b, "en", "x", 1), (1, a, "en", "w", 1), (2, a, "en", "x", 1), (None, a, "en", "x", 1), (3, b + " more", "fr", "x", 1), (1, None, "en", "x", 1)]
+    got = C.near_copies(spark, spark.createDataFrame(rows, DOCUMENTS).repartition(3), SF).collect()
+    assert Counter((r.doc_id, r.text, r.source) for r in got if r.doc_id in (1, 2)) == Counter([(1, a, "w"), (1, b, "x"), (1, None, "x")])
+    assert sum(r.doc_id is None for r in got) == 1
