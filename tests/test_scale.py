@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripweave import schemas as S
 from tripweave.operators import parse as P
+from tripweave.operators.trees import leaves, number_text
 from tripweave.plans.pipeline import Pipeline
 
 _POINT = {"latitude": 1.0, "longitude": 2.0, "accuracy": 3.0}
@@ -61,3 +62,17 @@ def test_payloads_are_parsed_before_rows_are_read_twice(spark, name):
     from tripweave.plans import catalog
     plan = catalog.REGISTRY[name][0](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "try_variant_get" not in plan and "parse_json" not in plan.lower()
+
+
+def test_leaves_of_scalars_are_not_looked_into_again(spark):
+    texts = ["5", '{"a":{"b":[1,{"c":[]},[2.50,"x"]],"d":null},"e":{}}', "[]", "[[[[1]]]]", "null", '{"a":1e30,"b":-0.0000001,"c":100,"d":true}']
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t"), leaves(F.expr("try_parse_json(t)"), 3).alias("x"))
+    got = {r.t: sorted((x.path, x.kind, x.value) for x in r.x) for r in df.collect()}
+    assert got[texts[0]] == [("", "number", "5")]
+    assert got[texts[1]] == [("a.b[]", "number", "1"), ("a.b[]", "tree", '[2.5,"x"]'), ("a.b[]", "tree", '{"c":[]}'), ("a.d", "null", None)]
+    assert got["[]"] == [] and got["[[[[1]]]]"] == [("[][][]", "tree", "[1]")]
+    assert ("c", "number", "100") in got[texts[5]] and ("d", "boolean", "true") in got[texts[5]]
+    x = spark.range(1).select(*[number_text(F.lit(n)).alias(str(i)) for i, n in enumerate((5.0, 100.0, 0.0, 2.5, 1e33, -0.25))]).first()
+    assert list(x)[:4] == ["5", "100", "0", "2.5"] and x[5] == "-0.25"
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "forall" in plan and plan.lower().count("schemaofvariant(") + plan.count("schema_of_variant(") == 1
