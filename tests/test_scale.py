@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import glob
+import tempfile
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from tripweave import schemas as S
 from tripweave.operators import parse as P
 from tripweave.operators.trees import leaves, number_text
 from tripweave.plans.pipeline import Pipeline
+from tripweave.sources.landing import read_json_array, write_json_arrays
 
 _POINT = {"latitude": 1.0, "longitude": 2.0, "accuracy": 3.0}
 _OBJECTS = ({"semanticTime": "NIGHT", "events": []}, {"events": [1]}, {"events": {"a": 1}}, {"events": None}, {"events": [None]},
@@ -76,3 +80,11 @@ def test_leaves_of_scalars_are_not_looked_into_again(spark):
     assert list(x)[:4] == ["5", "100", "0", "2.5"] and x[5] == "-0.25"
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "forall" in plan and plan.lower().count("schemaofvariant(") + plan.count("schema_of_variant(") == 1
+
+
+def test_compressed_documents_are_bounded_and_read_back(spark, landing):
+    rows = landing([(i, f"u{i}", S.STATUS, {"a": '},{"', "i": i}) for i in range(25)])
+    path = f"{tempfile.mkdtemp(prefix='tripweave-docs-')}/gz"
+    write_json_arrays(rows.coalesce(1), path, compression="gzip", rows_per_file=10)
+    assert len(glob.glob(f"{path}/*.gz")) == 3
+    assert _rows(read_json_array(spark, path)) == _rows(rows.select("id", "user_id", "tipo", "json", "created_at", "app_version"))
