@@ -88,3 +88,20 @@ def test_compressed_documents_are_bounded_and_read_back(spark, landing):
     write_json_arrays(rows.coalesce(1), path, compression="gzip", rows_per_file=10)
     assert len(glob.glob(f"{path}/*.gz")) == 3
     assert _rows(read_json_array(spark, path)) == _rows(rows.select("id", "user_id", "tipo", "json", "created_at", "app_version"))
+
+
+def test_stored_stage_has_no_second_copy_of_trip_candidates(spark, landing):
+    rows = landing([(1, "u", S.TIMELINE, [{"id": "e", "type": "IN_TRANSPORT", "startTime": "2024-01-01T10:00:00.000Z", "waypoints": [_POINT]}]),
+                    (2, "u", S.DRIVING_INSIGHTS, {"transportEvent": {"id": "e", "distance": 5.0}})])
+    p = Pipeline(rows)
+    stored = p.materialized(texts=False).trips()
+    assert _rows(stored) == _rows(p.trips())
+    assert not [f for f in stored.inputFiles() if "/trip_candidates/" in f]
+
+
+def test_guard_moves_no_texts(spark, landing):
+    """The texts are dropped below the join by which children find their parents."""
+    plan = Pipeline(_odd(landing)).staged._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(plan) if "Join LeftOuter" in line)
+    assert any("AS json" in line for line in plan[join:])
+    assert _rows(Pipeline(_odd(landing)).materialized(texts=False).quarantine) == _rows(Pipeline(_odd(landing)).quarantine)
