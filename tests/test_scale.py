@@ -13,6 +13,7 @@ from tripweave.operators import parse as P
 from tripweave.operators.trees import leaves, number_text
 from tripweave.plans.pipeline import Pipeline
 from tripweave.sources.landing import read_json_array, write_json_arrays
+from tripweave.streaming.stream import drain, stage_files
 
 _POINT = {"latitude": 1.0, "longitude": 2.0, "accuracy": 3.0}
 _OBJECTS = ({"semanticTime": "NIGHT", "events": []}, {"events": [1]}, {"events": {"a": 1}}, {"events": None}, {"events": [None]},
@@ -90,6 +91,12 @@ def test_compressed_documents_are_bounded_and_read_back(spark, landing):
     assert _rows(read_json_array(spark, path)) == _rows(rows.select("id", "user_id", "tipo", "json", "created_at", "app_version"))
 
 
+def test_waiting_children_are_kept_without_their_texts(spark, landing):
+    rows = landing([(1, "u", S.HARSH, {"transportId": "t1", "events": [{"magnitude": 1.0}]}), (2, "u", S.HARSH, {"transportId": "t1", "events": [{"magnitude": 1e9}]})])
+    proc = drain(spark, stage_files(rows, f"{tempfile.mkdtemp(prefix='tripweave-zone-')}/zone"))
+    assert {r.id: r.json is None for r in proc.state.read("pending").collect()} == {1: True, 2: False}
+
+
 def test_stored_stage_has_no_second_copy_of_trip_candidates(spark, landing):
     rows = landing([(1, "u", S.TIMELINE, [{"id": "e", "type": "IN_TRANSPORT", "startTime": "2024-01-01T10:00:00.000Z", "waypoints": [_POINT]}]),
                     (2, "u", S.DRIVING_INSIGHTS, {"transportEvent": {"id": "e", "distance": 5.0}})])
