@@ -177,3 +177,18 @@ def test_a_second_run_reads_new_loads_only(spark, landing):
     assert (cursor.mark, cursor.loads) == (1, []) and cursor.pending().count() == 0
     plan = cursor.pending()._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "load" in plan and "Join" not in plan
+
+
+def test_newest_insights_parse_no_other_payload(spark, landing):
+    """Rows of one id and a child under an insight's id included, the result is that of the joins over all rows."""
+    from tripweave.operators.views import newest_insights, recent_insights
+    rows = landing([*[(i, "u", S.DRIVING_INSIGHTS, {"transportEvent": {"id": f"t{i}"}}) for i in range(1, 9)], (8, "u", S.HARSH, {"transportId": "t2", "events": [{}]}),
+                    (9, "u", S.DRIVING_INSIGHTS, "{broken"), (10, "u", S.METADATA, {"label": "a", "value": 1})])
+    p = Pipeline(rows)
+    ids = newest_insights(rows, 3)
+    few = p.chosen(ids)
+    assert sorted(r.id for r in few.classified.select("id").collect()) == [7, 8, 8, 9]
+    whole = recent_insights(rows, p.source_event, p.insight_trip, 5)
+    got = recent_insights(rows, few.source_event, few.insight_trip, 3)
+    assert sorted(map(str, got.collect())) == sorted(map(str, recent_insights(rows, p.source_event, p.insight_trip, 3).collect()))
+    assert [r.id for r in whole.collect()] == [9, 8, 8, 7, 6] and [r.id for r in got.collect()] == [9, 8, 8]

@@ -43,14 +43,18 @@ def queue_depth(status: DataFrame) -> DataFrame:
     return status.filter(F.col("status") == S.PENDING).groupBy("tipo").agg(F.count("*").alias("pending"))
 
 
+def newest_insights(landing: DataFrame, n: int) -> DataFrame:
+    """The ``n`` newest insight payloads by their times alone: no text is read."""
+    return (landing.filter(F.col("tipo") == S.DRIVING_INSIGHTS).select("id", "user_id", "created_at")
+            .orderBy(F.desc("created_at"), F.desc("id")).limit(n))
+
+
 def recent_insights(landing: DataFrame, source_event: DataFrame, insight: DataFrame, n: int = 20) -> DataFrame:
     """J5 + O2: landing -> source event -> insight trip (two left joins), newest first."""
     se = source_event.select(F.col("landing_id").alias("id"), "source_event_id", "source_time")
     it = insight.select("source_event_id", "insight_trip_id", "canonical_id", "is_provisional")
     return (
-        landing.filter(F.col("tipo") == S.DRIVING_INSIGHTS)
-        .select("id", "user_id", "created_at")
-        .join(se, "id", "left").join(it, "source_event_id", "left")
+        newest_insights(landing, n).join(se, "id", "left").join(it, "source_event_id", "left")
         .orderBy(F.desc("created_at"), F.desc("id")).limit(n)
     )
 
