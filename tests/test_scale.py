@@ -112,3 +112,15 @@ def test_guard_moves_no_texts(spark, landing):
     join = next(i for i, line in enumerate(plan) if "Join LeftOuter" in line)
     assert any("AS json" in line for line in plan[join:])
     assert _rows(Pipeline(_odd(landing)).materialized(texts=False).quarantine) == _rows(Pipeline(_odd(landing)).quarantine)
+
+
+def test_segments_and_events_of_a_context_are_dealt_once_each(spark, monkeypatch):
+    from tripweave.sources import fixtures
+    monkeypatch.setattr(fixtures, "EVENTS_PER_TASK", 3)
+    data = [(i, f"2024-01-0{i % 3 + 1} 10:00:00", i % 2, "click", 1.0, f'{{"k": {i % 4}}}') for i in range(30)]
+    events = spark.createDataFrame(data, "event_id bigint, ts string, user_id bigint, event_type string, value double, props string").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz"))
+    out = fixtures.context_payloads(events)
+    exchanges = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2 and all("REPARTITION_BY_NUM" in line for line in exchanges)
+    assert out.count() == 6
