@@ -123,4 +123,4 @@ def test_segments_and_events_of_a_context_are_dealt_once_each(spark, monkeypatch
     out = fixtures.context_payloads(events)
     exchanges = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
     assert len(exchanges) == 2 and all("REPARTITION_BY_NUM" in line for line in exchanges)
-    assert out.count() == 6
+    assert out.count() == 4
