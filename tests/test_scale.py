@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripweave import schemas as S
+from tripweave.functions import overflows
 from tripweave.operators import parse as P
 from tripweave.operators.trees import leaves, number_text
 from tripweave.plans.pipeline import Pipeline
@@ -124,3 +125,34 @@ def test_segments_and_events_of_a_context_are_dealt_once_each(spark, monkeypatch
     exchanges = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
     assert len(exchanges) == 2 and all("REPARTITION_BY_NUM" in line for line in exchanges)
     assert out.count() == 4
+
+
+def test_audit_fields_are_found_in_one_look(spark, landing):
+    """An object is read once for all audit fields; they equal those that each path leads to."""
+    texts = ['{"transportEvent":{"id":"t","startTime":"2024-01-01T10:00:00.000Z"},"id":"x"}', '{"transportEvent":{"id":""},"id":7,"startTime":"2024-01-01T10:00:00"}',
+             '{"transportEvent":[{"id":"t"}],"startTime":""}', '[{"id":"e","startTime":"2024-02-02T10:00:00"},{"id":"f"}]', '[5]', '[]', '5', 'null', '{"id":{"a":1}}',
+             '{"transportEvent":3,"id":true}', '{"transportEvent":null,"id":null}', '{"id":"a","id":"b"}', '{broken']
+    rows = P.parse(landing([(i, "u", S.TECHNICAL, t) for i, t in enumerate(texts)]))
+    at = lambda p: F.when(F.length(F.try_variant_get("v", p, "string")) > 0, F.try_variant_get("v", p, "string"))
+    want = rows.select("id", F.coalesce(at("$.transportEvent.startTime"), at("$[0].startTime"), at("$.startTime")).isNotNull().alias("timed"),
+                       F.coalesce(at("$.transportEvent.id"), at("$[0].id"), at("$.id")).alias("ref"))
+    got = P.typed(rows, ("p_activity",), judged=True)
+    assert _rows(got.select("id", F.col("src_time").isNotNull().alias("timed"), F.col("src_ref").alias("ref"))) == _rows(want)
+    plan = got.select("src_time", "src_ref")._jdf.queryExecution().optimizedPlan().toString()
+    assert "$.transportEvent" not in plan
+    assert plan.count("transportEvent,StructType") == 1
+
+
+def test_families_are_typed_in_steps_of_their_own(spark, landing):
+    """No generator holds all families: the JVM does not compile a method that long."""
+    plan = P.typed(P.parse(_odd(landing)), judged=True)._jdf.queryExecution().analyzed().toString()
+    assert sum("Generate inline" in line for line in plan.splitlines()) == len(P.JUDGED)
+
+
+@pytest.mark.parametrize("kind", [S.DEC_SCORE, S.DEC_MAGNITUDE, S.DEC_METRES, S.DEC_LAT])
+def test_overflow_is_judged_as_by_the_cast(spark, kind):
+    top = {S.DEC_SCORE: 10.0, S.DEC_MAGNITUDE: 1000.0, S.DEC_METRES: 1e10, S.DEC_LAT: 100.0}[kind]
+    values = [v for x in (0.0, 0.5, top - 1, top - 1.0001, top - 0.5, top - 0.0005, top - 0.0004, top - 0.005, top - 1e-9, top, top * 2) for v in (x, -x)]
+    df = spark.createDataFrame([(v,) for v in (*values, float("nan"), float("inf"), float("-inf"), None)], "x double")
+    got = df.select("x", overflows("x", kind).alias("a"), (F.col("x").isNotNull() & F.col("x").try_cast(kind).isNull()).alias("b"))
+    assert all(r.a == r.b for r in got.collect()) and {r.a for r in got.collect()} == {True, False}
