@@ -156,3 +156,22 @@ def test_overflow_is_judged_as_by_the_cast(spark, kind):
     df = spark.createDataFrame([(v,) for v in (*values, float("nan"), float("inf"), float("-inf"), None)], "x double")
     got = df.select("x", overflows("x", kind).alias("a"), (F.col("x").isNotNull() & F.col("x").try_cast(kind).isNull()).alias("b"))
     assert all(r.a == r.b for r in got.collect()) and {r.a for r in got.collect()} == {True, False}
+
+
+def test_trips_and_insight_rows_come_from_one_pass_without_waypoints(spark, landing):
+    """The stored copy gives the same insight rows and trips as the whole payloads, and no payload is parsed again."""
+    extra = [(1000 + i, "u", tipo, payload) for i, (tipo, payload) in enumerate((
+        (S.DRIVING_INSIGHTS, {"transportEvent": {"id": "t1", "isProvisional": True, "waypoints": [_POINT]}}),
+        (S.TIMELINE, [{"id": "t1", "type": "IN_TRANSPORT", "occupantRole": "A", "venue": {"type": "x"}, "waypoints": [_POINT], "transportTags": {"a": "b"}}]),
+        (S.CONTEXT_LISTENER, {"userContext": {"events": [{"id": "t9", "transportMode": "BUS", "endTime": "2024-01-01T10:00:00.000Z"}]}}),
+        (S.ACTIVITY, {"type": "IN_TRANSPORT", "startTime": "2024-01-01T10:00:00.000Z"})))]
+    p = Pipeline(_odd(landing).unionByName(landing(extra)))
+    q = p.reporting()
+    assert _rows(q.insight_trip) == _rows(p.insight_trip)
+    columns = ["trip_id", "updated_at", "occupant_role", "first_seen_from", "start_time", "end_time", "transport_mode", "n_writers"]
+    assert _rows(q.trips().select(columns)) == _rows(p.trips().select(columns)) and q.trips().count() >= 4
+    few = p.trips(columns=("waypoints", "transport_tags"))
+    assert "end_time" not in few.columns and _rows(few.select("trip_id", "waypoints", "transport_tags")) == _rows(p.trips().select("trip_id", "waypoints", "transport_tags"))
+    assert _rows(p.trips("enrich", ("waypoints", "end_time")).select("trip_id", "waypoints", "end_time")) == _rows(p.trips("enrich").select("trip_id", "waypoints", "end_time"))
+    plan = q.insight_trip._jdf.queryExecution().optimizedPlan().toString()
+    assert "parse" not in plan.lower() and "waypoints" not in str(q.resolved.schema)
